@@ -232,8 +232,15 @@ def _describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return raw.mapInPandas(describe, "doc_id long, n_shingles long, k1 long, k2 long, sigs array<long>")
 
 
+#: Up to so many rows of three numbers and an id, about 16 MB, are broadcast to the texts; more are joined by a shuffle.
+BROADCAST_ROWS = 400_000
+
+
 def _sets_of(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
-    """reps (doc_id, k1, k2, family) with the tokens of their sets, made again from the texts."""
+    """reps (doc_id, k1, k2, family) with the tokens of their sets, made again from the texts.
+
+    A set may come more than once where rows share a doc_id; equal sets link with each other.
+    """
 
     def read(batches):
         for b in batches:
@@ -243,7 +250,7 @@ def _sets_of(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
             yield out[right]
 
     texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), text_bytes().alias("data"))
-    joined = texts.join(reps.hint("shuffle_hash"), "doc_id").select("k1", "k2", "family", "data")
+    joined = texts.join(reps.hint("broadcast" if reps.count() <= BROADCAST_ROWS else "shuffle_hash"), "doc_id").select("k1", "k2", "family", "data")
     return joined.mapInPandas(read, "k1 long, k2 long, family long, tokens binary")
 
 
@@ -278,7 +285,7 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90, block: int =
 
     classes = cut(described.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id")), "classes")
     reps = cut(classes.join(families, "k1").select("doc_id", "k1", "k2", "family"), "reps")
-    sets = cut(_sets_of(docs, reps, n).dropDuplicates(["k1", "k2"]).select("k1", "family", "tokens", F.lit(0).cast("long").alias("label")), "sets")
+    sets = cut(_sets_of(docs, reps, n).select("k1", "family", "tokens", F.lit(0).cast("long").alias("label")), "sets")
     sizes = sets.groupBy("family").agg((F.greatest(F.count(F.lit(1)), F.sum(F.octet_length("tokens")) / (1 << 13)) > block).alias("large"))
     large = cut(sizes.filter("large").select("family"), "large")
     small = sets.join(large, "family", "left_anti").withColumns({"i": F.lit(0), "j": F.lit(0), "side": F.lit(0)})
