@@ -91,6 +91,16 @@ def shard_bounds(pages: DataFrame, shard_bytes: int, most_shards: int) -> list[i
     return [r["first"] for r in firsts[1:]]
 
 
+def _even_keys(spark, n: int) -> np.ndarray:
+    """n numbers that hash partitioning into n deals out one to each partition, as far as some are found."""
+    tried = spark.range(int(n * (np.log(n) + 12))).select(F.col("id").cast("int").alias("key"))
+    found = tried.groupBy(F.pmod(F.hash("key"), F.lit(n)).alias("part")).agg(F.min("key").alias("key")).collect()
+    keys = np.arange(n, dtype=np.int32)
+    for r in found:
+        keys[r["part"]] = r["key"]
+    return keys
+
+
 def _write_shards(rows, folder: str, roll_bytes: int, level: int):
     """Rows in order of shard and page to files under temporary names; yields their manifest entries."""
     store, root = arrow_fs.FileSystem.from_uri(folder)
@@ -135,7 +145,7 @@ def _write_shards(rows, folder: str, roll_bytes: int, level: int):
     return done
 
 
-def write_archive(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, shard_bytes: int = 32 << 20, most_shards: int = 100_000, roll_bytes: int = 64 << 20, level: int = 4) -> DataFrame:
+def write_archive(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, shard_bytes: int = 8 << 20, most_shards: int = 100_000, roll_bytes: int = 64 << 20, level: int = 4) -> DataFrame:
     """Write one record per row of pages (page_id, url, html) under folder; returns the committed manifest.
 
     Payload is the html as UTF-8, null as empty.  Of rows with equal payloads of at least
@@ -155,27 +165,31 @@ def write_archive(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, sha
     narrow = cut(base.select("page_id", "digest", "size"), "digests")
     largest = narrow.filter(F.col("size") >= min_revisit_bytes).groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     revisits = narrow.join(largest, "digest").filter(~F.col("page_id").eqNullSafe(F.col("refers_to")))
-    bounds = spark.sparkContext.broadcast(np.array(shard_bounds(narrow, shard_bytes, most_shards), dtype=np.int64))
+    first_ids = np.array(shard_bounds(narrow, shard_bytes, most_shards), dtype=np.int64)
+    n = len(first_ids) + 1
+    given = spark.sparkContext.broadcast((first_ids, _even_keys(spark, n)))
 
     @F.pandas_udf("int")
-    def shard_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds.value, ids.to_numpy(), side="right").astype(np.int32))
+    def deal_of(ids: pd.Series) -> pd.Series:
+        firsts, keys = given.value
+        return pd.Series(keys[np.searchsorted(firsts, ids.to_numpy(), side="right")])
 
-    shard = shard_of(F.coalesce("page_id", F.lit(-(1 << 62))))
-    shape = ("page_id", "shard", "digest", "refers_to", "is_ref", "url", "payload")
-    records = base.select("page_id", shard.alias("shard"), "digest", F.lit(None).cast("long").alias("refers_to"), F.lit(False).alias("is_ref"), "url", "payload")
-    marks = revisits.select("page_id", shard.alias("shard"), "digest", "refers_to", F.lit(True).alias("is_ref"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload")).distinct()
-    n = max(len(bounds.value) + 1, 1)
-    dealt = records.unionByName(marks).select(*shape).repartition(n, "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), F.desc("is_ref"), "url", "digest")
+    deal = deal_of(F.coalesce("page_id", F.lit(-(1 << 62))))
+    shape = ("page_id", "digest", "refers_to", "is_ref", "url", "payload")
+    records = base.select("page_id", "digest", F.lit(None).cast("long").alias("refers_to"), F.lit(False).alias("is_ref"), "url", "payload")
+    marks = revisits.select("page_id", "digest", "refers_to", F.lit(True).alias("is_ref"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload")).distinct()
+    dealt = records.unionByName(marks).select(*shape, deal.alias("deal")).repartition(n, "deal").drop("deal")
+    dealt = dealt.sortWithinPartitions(F.col("page_id").asc_nulls_first(), F.desc("is_ref"), "url", "digest")
 
     def write(batches):
         def rows():
             for batch in batches:
                 page = batch.column("page_id").to_pylist()
-                others = [batch.column(c).to_pylist() for c in shape[1:6]]
+                shard = np.searchsorted(given.value[0], [-(1 << 62) if p is None else p for p in page], side="right").tolist()
+                others = [batch.column(c).to_pylist() for c in shape[1:5]]
                 blob = batch.column("payload")
                 for i, p in enumerate(page):
-                    yield (p, *(o[i] for o in others), blob[i].as_py())
+                    yield (p, shard[i], *(o[i] for o in others), blob[i].as_py())
 
         import pyarrow as pa
 
@@ -237,7 +251,7 @@ def read_archive(spark, folder: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    files = manifest.select("name").repartition(F.col("name"))
+    files = manifest.select("name").repartition(min(max(manifest.count(), 1), 100_000), "name")
     return files.mapInArrow(read, kinds)
 
 
