@@ -122,7 +122,7 @@ class LanguageModel:
     pieces: list[str]
     probabilities: np.ndarray
 
-    def scorer(self, remember: int = 400_000):
+    def scorer(self, remember: int = 200_000):
         """A function from a text to (language or und, posterior of it); remembers so many words at most."""
         lattice, p = Lattice(self.pieces), self.probabilities
         index: dict[str, int] = {}
@@ -142,10 +142,9 @@ class LanguageModel:
                 store["m"] = np.concatenate([store["m"], lattice.log_likelihood([SPACE + w for w in letters], p)])
 
         def score(texts: list[str]) -> list[tuple[str, float]]:
-            split = [text_words(t) for t in texts]
             out = []
-            for start in range(0, len(split), 256):
-                part = split[start : start + 256]
+            for start in range(0, len(texts), 128):  # so that the words of few texts are held at a time
+                part = [text_words(t) for t in texts[start : start + 128]]
                 add([w for ws in part for w in ws])
                 for ws in part:
                     at = np.array([index[w] for w in ws], dtype=np.int64)
