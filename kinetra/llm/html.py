@@ -166,10 +166,13 @@ def classify(blocks: list[Block], stop_words: frozenset = STOP_WORDS, short: int
 
 
 def _nearest(blocks: list[Block], i: int, step: int) -> tuple[int, str]:
-    """Distance and label of the next decided block that way, on the same side of the article's border."""
+    """Distance and label of the next decided block that way, on the same side of the article's border.
+
+    Inside the article element, what stands in a container of comments, notices and such says nothing of the rest.
+    """
     k = i + step
     while 0 <= k < len(blocks) and blocks[k].inside == blocks[i].inside:
-        if blocks[k].label in ("good", "bad"):
+        if blocks[k].label in ("good", "bad") and not (blocks[k].inside and blocks[k].bad):
             return abs(k - i), blocks[k].label
         k += step
     return len(blocks) + 1, ""

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinetra.llm.common import NOT_ALNUM, gram_hashes, text_bytes, word_hashes
+from kinetra.llm.common import NO_ID, NOT_ALNUM, gram_hashes, text_bytes, word_hashes
 
 # Notices of well-known licenses.
 TEMPLATES = {
@@ -128,9 +128,12 @@ def find_licenses(data: bytes, index: Index, gram: int, band: int, least: float)
             top = min(base + 4 * band - 1, high)
             first = max(0, base - band)
             words = hashes[first : top + band + template.size + 1].tolist()
-            m, a, b = align(template.tolist(), words, first, base - band, top + band)
-            if m / template.size >= least:
+            while True:  # until no further occurrence is in the band
+                m, a, b = align(template.tolist(), words, first, base - band, top + band)
+                if m / template.size < least:
+                    break
                 found.append((m, t, a, b))
+                words[a - first : b - first] = [-1] * (b - a)
     found.sort(key=lambda x: (-x[0], x[1], x[2]))
     kept: list[tuple] = []
     for m, t, a, b in found:
@@ -163,8 +166,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, gram: int = 4
         index = Index(templates, gram, window)
         for b in batches:
             rows = [(doc, *r) for doc, data in zip(b["doc_id"], b["data"], strict=True) for r in find_licenses(bytes(data), index, gram, band, least)]
-            out = pd.DataFrame(rows, columns=["doc_id", *names])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            yield pd.DataFrame(rows, columns=["doc_id", *names])
 
-    return docs.select("doc_id", text_bytes().alias("data")).mapInPandas(search, f"doc_id long, {kinds}")
+    found = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), text_bytes().alias("data")).mapInPandas(search, f"doc_id long, {kinds}")
+    return found.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))

@@ -217,7 +217,7 @@ class LineIndex:
         parts = cut(parts, "parts")
         blank = F.lit(None)
         asking = dealt.join(parts, "shard").select("shard", F.pmod(F.xxhash64("doc_id"), "parts").cast("int").alias("part"), "key", "doc_id", blank.cast("binary").alias("data"))
-        answering = self.filters.join(parts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), blank.cast("binary").alias("key"), blank.cast("long").alias("doc_id"), "data")
+        answering = self.filters.join(parts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), blank.cast("binary").alias("key"), F.lit(0).cast("long").alias("doc_id"), "data")
         met = answering.unionByName(asking).repartition("shard", "part").sortWithinPartitions("shard", "part", F.col("data").isNull())
 
         def probe(batches):
