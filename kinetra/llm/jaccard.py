@@ -236,6 +236,11 @@ def _describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
 BROADCAST_ROWS = 400_000
 
 
+def _checked(few: DataFrame) -> DataFrame:
+    """A written table of few columns as the right side of a join: broadcast if it is small enough, else shuffled."""
+    return few.hint("broadcast" if few.count() <= BROADCAST_ROWS else "shuffle_hash")
+
+
 def _sets_of(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
     """reps (doc_id, k1, k2, family) with the tokens of their sets, made again from the texts.
 
@@ -250,7 +255,7 @@ def _sets_of(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
             yield out[right]
 
     texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), text_bytes().alias("data"))
-    joined = texts.join(reps.hint("broadcast" if reps.count() <= BROADCAST_ROWS else "shuffle_hash"), "doc_id").select("k1", "k2", "family", "data")
+    joined = texts.join(_checked(reps), "doc_id").select("k1", "k2", "family", "data")
     return joined.mapInPandas(read, "k1 long, k2 long, family long, tokens binary")
 
 
@@ -258,7 +263,8 @@ def _blocks(sets: DataFrame, block: int, salt: int | None) -> DataFrame:
     """Deal each family's sets into blocks: side by side if there is a salt, else every pair of blocks."""
     sizes = sets.groupBy("family").agg(F.count(F.lit(1)).alias("sets"), F.sum(F.octet_length("tokens")).alias("bytes"))
     n = F.ceil(F.greatest(F.col("sets") / block, F.col("bytes") / (block << 13))).cast("int")
-    dealt = sets.join(sizes.select("family", n.alias("n")), "family").withColumn("side", F.pmod(F.xxhash64(F.lit(salt or 0), "k1"), "n").cast("int"))
+    sizes = cut(sizes.select("family", n.alias("n")), "sizes")
+    dealt = sets.join(_checked(sizes), "family").withColumn("side", F.pmod(F.xxhash64(F.lit(salt or 0), "k1"), "n").cast("int"))
     if salt is not None:
         return dealt.withColumn("i", F.col("side")).withColumn("j", F.col("side"))
     other = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
@@ -288,17 +294,17 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90, block: int =
     sets = cut(_sets_of(docs, reps, n).select("k1", "family", "tokens", F.lit(0).cast("long").alias("label")), "sets")
     sizes = sets.groupBy("family").agg((F.greatest(F.count(F.lit(1)), F.sum(F.octet_length("tokens")) / (1 << 13)) > block).alias("large"))
     large = cut(sizes.filter("large").select("family"), "large")
-    small = sets.join(large, "family", "left_anti").withColumns({"i": F.lit(0), "j": F.lit(0), "side": F.lit(0)})
+    small = sets.join(_checked(large), "family", "left_anti").withColumns({"i": F.lit(0), "j": F.lit(0), "side": F.lit(0)})
     links = [cut(_solve(small, percent, pairs=False), "links")]
     if not large.isEmpty():
-        big = cut(sets.join(large, "family", "left_semi"), "big")
+        big = sets.join(_checked(large), "family", "left_semi")
         links += [cut(_solve(_blocks(big, block, salt), percent, pairs=False), "links") for salt in (1, 2)]
-        labels = components(links[1].unionByName(links[2]))
-        labelled = big.drop("label").join(labels.withColumnRenamed("node", "k1"), "k1", "left").withColumn("label", F.coalesce("label", "k1"))
-        labelled = cut(labelled, "labelled")
-        buckets = postings.join(labelled.select("k1", "label"), "k1").groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-        open_ = postings.join(buckets, "sig", "left_semi").select("k1").distinct()
-        rest = cut(labelled.join(open_, "k1", "left_semi"), "rest")
+        labels = components(links[1].unionByName(links[2])).withColumnRenamed("node", "k1")
+        labelled = big.select("k1").distinct().join(labels, "k1", "left").select("k1", F.coalesce("label", "k1").alias("label"))
+        own = cut(postings.join(_checked(cut(labelled, "labelled")), "k1"), "own")
+        buckets = own.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+        open_ = cut(own.join(buckets, "sig", "left_semi").select("k1", "label").distinct(), "open")
+        rest = big.drop("label").join(_checked(open_), "k1")
         links.append(cut(_solve(_blocks(rest, block, None), percent, pairs=True), "links"))
     together = links[0]
     for more in links[1:]:
