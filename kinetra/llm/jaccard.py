@@ -205,10 +205,24 @@ def _solve(sets: DataFrame, percent: int, pairs: bool) -> DataFrame:
     return dealt.mapInPandas(solve, "a long, b long")
 
 
+def _first_holders(keys: list[int], sigs: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each set, which of its signatures no set before it has, and the sets that first had the others."""
+    if not sigs:
+        return [], []
+    sizes = [s.size for s in sigs]
+    owner = np.repeat(np.array(keys, dtype=np.int64), sizes)
+    _, first, inverse = np.unique(np.concatenate(sigs), return_index=True, return_inverse=True)
+    fresh = first[inverse] == np.arange(owner.size)
+    holder, borders = owner[first[inverse]], np.cumsum(sizes)[:-1]
+    return np.split(fresh, borders), [np.unique(h[~f]) for h, f in zip(np.split(holder, borders), np.split(fresh, borders), strict=True)]
+
+
 def _describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, k1, k2, sigs) of each row; k1, k2 are a hash of the set, none of no shingles.
+    """(doc_id, n_shingles, k1, k2, sigs, fresh, near) of each row; k1, k2 are a hash of the set, none of no shingles.
 
     A task gives the signatures of a set once, however many copies it meets, as long as it remembers it.
+    Inside a batch of rows fresh is true for the first set with a signature, and near has the k1 of that set for
+    the others: a signature of a third of all sets so reaches the exchange once a batch.
     """
 
     def describe(batches):
@@ -226,10 +240,15 @@ def _describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
             if len(seen) > 1_000_000:
                 seen.clear()
             size, k1, k2, sigs = zip(*out, strict=True) if out else ((), (), (), ())
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n_shingles": size, "k1": pd.Series(k1, dtype="Int64"), "k2": pd.Series(k2, dtype="Int64"), "sigs": sigs})
+            new = [i for i, s in enumerate(sigs) if s is not None]
+            fresh, near = [None] * len(out), [None] * len(out)
+            for i, f, holders in zip(new, *_first_holders([k1[i] for i in new], [sigs[i] for i in new]), strict=True):
+                fresh[i], near[i] = f, holders
+            keys = {"k1": pd.Series(k1, dtype="Int64"), "k2": pd.Series(k2, dtype="Int64")}
+            yield pd.DataFrame({"doc_id": b["doc_id"], "n_shingles": size, **keys, "sigs": sigs, "fresh": fresh, "near": near})
 
     raw = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), text_bytes().alias("data"))
-    return raw.mapInPandas(describe, "doc_id long, n_shingles long, k1 long, k2 long, sigs array<long>")
+    return raw.mapInPandas(describe, "doc_id long, n_shingles long, k1 long, k2 long, sigs array<long>, fresh array<boolean>, near array<long>")
 
 
 #: Up to so many rows of three numbers and an id, about 16 MB, are broadcast to the texts; more are joined by a shuffle.
@@ -285,8 +304,11 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90, block: int =
     described = cut(_describe(docs, n, percent), "described")
     postings = described.select(F.explode("sigs").alias("sig"), "k1")
     bucket = Window.partitionBy("sig")
-    near = postings.select("k1", F.min("k1").over(bucket).alias("low"), F.max("k1").over(bucket).alias("high")).filter("low < high")
-    edges = cut(near.filter("k1 != low").select(F.col("k1").alias("a"), F.col("low").alias("b")).distinct(), "near")
+    firsts = described.select(F.explode(F.filter("sigs", lambda _, i: F.get("fresh", i))).alias("sig"), "k1")
+    near = firsts.select("k1", F.min("k1").over(bucket).alias("low"), F.max("k1").over(bucket).alias("high")).filter("low < high")
+    across = near.filter("k1 != low").select(F.col("k1").alias("a"), F.col("low").alias("b"))
+    within = described.select(F.col("k1").alias("a"), F.explode("near").alias("b"))
+    edges = cut(across.unionByName(within).distinct(), "near")
     families = components(edges).select(F.col("node").alias("k1"), F.col("label").alias("family"))
 
     classes = cut(described.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id")), "classes")

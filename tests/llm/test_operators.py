@@ -302,6 +302,14 @@ def test_near_duplicates(spark, block):
     assert sorted(str(tuple(r)) for r in got) == brute_components(rows)
 
 
+def test_first_holders():
+    sigs = [np.array(x, dtype=np.int64) for x in ([5, 6], [6, 7], [], [5, 6, 7])]
+    fresh, near = jaccard._first_holders([10, 20, 30, 40], sigs)
+    assert [f.tolist() for f in fresh] == [[True, True], [False, True], [], [False, False, False]]
+    assert [x.tolist() for x in near] == [[], [10], [], [10, 20]]
+    assert jaccard._first_holders([], []) == ([], [])
+
+
 def test_signatures_meet():
     rng = np.random.default_rng(2)
     for n in [*range(1, 60), 300, 1000]:
