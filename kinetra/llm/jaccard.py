@@ -130,7 +130,8 @@ def link_block(sets: list[np.ndarray], percent: int = 90, sides: list[int] | Non
             forest.up[i] = first.setdefault(label, i)
     everything, inverse = np.unique(np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64), return_inverse=True)
     length = np.bincount(inverse, minlength=everything.size)
-    ends = np.cumsum([s.size for s in sets])
+    size = np.array([s.size for s in sets], dtype=np.int64)
+    ends = np.cumsum(size)
     local = [inverse[e - s.size : e] for s, e in zip(sets, ends, strict=True)]
     lists: dict[int, list[int]] = {}
     links = []
@@ -155,21 +156,23 @@ def link_block(sets: list[np.ndarray], percent: int = 90, sides: list[int] | Non
         if sides is not None and candidates.size:
             other = np.array([sides[c] != sides[x] for c in candidates])
             candidates, hits = candidates[other], hits[other]
+        wanted = required(mine.size, size[candidates], percent)
+        possible = (hits + long.size >= wanted) & (size[candidates] * 100 >= mine.size * percent)
+        candidates, hits, wanted = candidates[possible], hits[possible], wanted[possible]
+        joined = True
         while candidates.size:
-            apart = forest.roots(candidates) != forest.root(x)
-            candidates, hits = candidates[apart], hits[apart]
-            if not candidates.size:
-                break
-            y, overlap = int(candidates[-1]), int(hits[-1])
-            candidates, hits = candidates[:-1], hits[:-1]
-            t = required(mine.size, local[y].size, percent)
-            if overlap + long.size < t or local[y].size * 100 < mine.size * percent:
+            if joined:  # only a link can bring further candidates into the query's component
+                apart = forest.roots(candidates) != forest.root(x)
+                candidates, hits, wanted, joined = candidates[apart], hits[apart], wanted[apart], False
                 continue
+            y, missing = int(candidates[-1]), int(wanted[-1] - hits[-1])
+            candidates, hits, wanted = candidates[:-1], hits[:-1], wanted[:-1]
             at = np.searchsorted(local[y], long)
             at[at == local[y].size] = 0
-            if overlap + int((local[y][at] == long).sum()) >= t:
+            if np.count_nonzero(local[y][at] == long) >= missing:
                 links.append((x, y))
                 forest.join(x, y)
+                joined = True
         for t in mine.tolist():
             lists.setdefault(t, []).append(x)
     return links
