@@ -123,6 +123,9 @@ def link_block(sets: list[np.ndarray], percent: int = 90, sides: list[int] | Non
     """
     n = len(sets)
     order = sorted(range(n), key=lambda i: sets[i].size)
+    # Numbered by size, so that sets join the inverted lists in ascending order, which the merge needs.
+    sets = [sets[i] for i in order]
+    sides, known = sides and [sides[i] for i in order], known and [known[i] for i in order]
     forest = _Forest(n)
     if known:
         first: dict[int, int] = {}
@@ -135,7 +138,7 @@ def link_block(sets: list[np.ndarray], percent: int = 90, sides: list[int] | Non
     local = [inverse[e - s.size : e] for s, e in zip(sets, ends, strict=True)]
     lists: dict[int, list[int]] = {}
     links = []
-    for x in order:
+    for x in range(n):
         mine = local[x]
         if not mine.size:
             continue
@@ -170,7 +173,7 @@ def link_block(sets: list[np.ndarray], percent: int = 90, sides: list[int] | Non
             at = np.searchsorted(local[y], long)
             at[at == local[y].size] = 0
             if np.count_nonzero(local[y][at] == long) >= missing:
-                links.append((x, y))
+                links.append((order[x], order[y]))
                 forest.join(x, y)
                 joined = True
         for t in mine.tolist():

@@ -302,6 +302,47 @@ def test_near_duplicates(spark, block):
     assert sorted(str(tuple(r)) for r in got) == brute_components(rows)
 
 
+def linked_pairs(sets, percent):
+    """For each pair whether links lead from one to the other, by comparing all sets."""
+    reach = np.eye(len(sets), dtype=bool)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            both = np.intersect1d(a, b).size
+            reach[i, j] |= both > 0 and 100 * both >= percent * (a.size + b.size - both)
+    for k in range(len(sets)):
+        reach |= np.outer(reach[:, k], reach[k])
+    return reach.tolist()
+
+
+@pytest.mark.parametrize("percent", [90, 80])
+def test_link_block_of_unequal_sizes(percent):
+    rng = np.random.default_rng(percent)
+    families = []
+    for size in (12, 40, 100):
+        for _ in range(40):  # words inserted and deleted
+            base = rng.integers(1, 1 << 62, size)
+            copies = []
+            for _ in range(int(rng.integers(3, 21))):
+                gone, more = rng.integers(0, 2 + size * (100 - percent) // 150, 2)
+                copies.append(np.unique(np.concatenate([rng.permutation(base)[gone:], rng.integers(1, 1 << 62, more)]).astype(np.uint64)))
+            families.append(copies)
+    for size in (20, 57, 100):  # pairs at the threshold and one shingle off it, beside sets that lengthen the lists
+        base = np.sort(rng.integers(1, 1 << 62, size).astype(np.uint64))
+        least = -(-size * percent // 100)
+        for left in (least - 1, least, least + 1):
+            families.append([base, base[:left], *(np.unique(np.concatenate([base[: size // 2], rng.integers(1, 1 << 62, k).astype(np.uint64)])) for k in (3, 70, 9))])
+    for copies in families:
+        links = jaccard.link_block(copies, percent)
+        up = np.eye(len(copies), dtype=bool)
+        for i, j in links:
+            up[i, j] = up[j, i] = True
+        for k in range(len(copies)):
+            up |= np.outer(up[:, k], up[k])
+        assert up.tolist() == linked_pairs(copies, percent)
+    sides = [i % 2 for i in range(len(families[0]))]
+    assert all(sides[i] != sides[j] for i, j in jaccard.link_block(families[0], percent, sides))
+
+
 def test_first_holders():
     sigs = [np.array(x, dtype=np.int64) for x in ([5, 6], [6, 7], [], [5, 6, 7])]
     fresh, near = jaccard._first_holders([10, 20, 30, 40], sigs)
