@@ -7,6 +7,8 @@ make a candidate, and an alignment inside a band around it gives the words match
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -54,33 +56,54 @@ def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
     return np.unique(np.arange(len(views)) + window - 1 - np.argmin(views, axis=1))
 
 
+def fingerprint_sizes(words: int, gram: int, window: int, least: float) -> tuple[int, int, int]:
+    """Least number of matched words of a notice of a template, and the gram and window that find it.
+
+    With so many words matched, e others are not.  After up to e words, but one at least, were replaced, left out or put
+    in, the matched words have a run of need / (e + 1) or more.  Winnowing has a fingerprint in every run of
+    gram + window - 1 words, so neither is larger than that run allows.
+    """
+    need = next((m for m in range(words) if m / words >= least), words)
+    run = max(1, -(-need // (max(1, words - need) + 1)))
+    gram = min(gram, run)
+    return need, gram, min(window, run - gram + 1)
+
+
 class Index:
-    """Inverted index of the templates' fingerprints, sorted by hash."""
+    """Inverted indices of the templates' fingerprints, one for each length of grams, sorted by hash."""
 
-    def __init__(self, templates: dict[str, str], gram: int, window: int):
+    def __init__(self, templates: dict[str, str], gram: int, window: int, least: float):
         self.names = sorted(templates)
         self.words = [word_hashes(templates[n].encode(), NOT_ALNUM)[0] for n in self.names]
-        rows = []
+        self.counts = [Counter(words.tolist()) for words in self.words]
+        self.need = []
+        rows: dict[int, list] = {}
         for t, words in enumerate(self.words):
-            grams = gram_hashes(words, gram, whole_if_short=False)
-            rows += [(int(grams[i]), t, int(i)) for i in winnow(grams, window)]
-        rows.sort()
-        self.hashes = np.array([r[0] for r in rows], dtype=np.uint64)
-        self.template = np.array([r[1] for r in rows], dtype=np.int64)
-        self.place = np.array([r[2] for r in rows], dtype=np.int64)
-
-    def hits(self, grams: np.ndarray) -> list[tuple[int, int, int]]:
-        """(template, diagonal, place in the document) of every gram that is a fingerprint."""
-        lo = np.searchsorted(self.hashes, grams, side="left")
-        known = np.flatnonzero((lo < self.hashes.size) & (self.hashes[np.minimum(lo, self.hashes.size - 1)] == grams))
-        out = []
-        for i in known.tolist():
-            k = int(lo[i])
-            while k < self.hashes.size and self.hashes[k] == grams[i]:
-                out.append((int(self.template[k]), i - int(self.place[k]), i))
-                k += 1
+            need, n, w = fingerprint_sizes(int(words.size), gram, window, least)
+            self.need.append(need)
+            grams = gram_hashes(words, n, whole_if_short=False)
+            rows.setdefault(n, []).extend((int(grams[i]), t, int(i)) for i in winnow(grams, w))
+        self.tables = {n: tuple(np.array(c, dtype=d) for c, d in zip(zip(*sorted(found), strict=True), ("u8", "i8", "i8"), strict=True)) for n, found in rows.items() if found}
+
+    def hits(self, words: np.ndarray) -> set[tuple[int, int]]:
+        """(template, diagonal) of every gram of the document's words that is a fingerprint."""
+        out = set()
+        for n, (hashes, template, place) in self.tables.items():
+            grams = gram_hashes(words, n, whole_if_short=False)
+            lo = np.searchsorted(hashes, grams, side="left")
+            known = np.flatnonzero(hashes[np.minimum(lo, hashes.size - 1)] == grams)
+            for i in known.tolist():
+                k = int(lo[i])
+                while k < hashes.size and hashes[k] == grams[i]:
+                    out.add((int(template[k]), i - int(place[k])))
+                    k += 1
         return out
 
+    def possible(self, t: int, words: list[int]) -> bool:
+        """Whether there are enough of the template's words, in any order, for a notice of it."""
+        there = Counter(words)
+        return sum(min(n, there[w]) for w, n in self.counts[t].items()) >= self.need[t]
+
 
 def align(template: list[int], words: list[int], first: int, low: int, high: int) -> tuple[int, int, int]:
     """(matched words, first and last+1 matched word of the document) of the best alignment in a band.
@@ -111,12 +134,12 @@ def align(template: list[int], words: list[int], first: int, low: int, high: int
     return m, a, b
 
 
-def find_licenses(data: bytes, index: Index, gram: int, band: int, least: float) -> list[tuple]:
+def find_licenses(data: bytes, index: Index, band: int, least: float) -> list[tuple]:
     """(template, words, matched, coverage, first word, end word, first character, end character)."""
     hashes, starts, ends = word_hashes(data, NOT_ALNUM)
     found = []
     groups: list[list] = []  # template, lowest and highest diagonal of hits close together
-    for t, diagonal, _ in sorted(set(index.hits(gram_hashes(hashes, gram, whole_if_short=False)))):
+    for t, diagonal in sorted(index.hits(hashes)):
         if groups and groups[-1][0] == t and diagonal - groups[-1][2] <= band:
             groups[-1][2] = diagonal
         else:
@@ -128,7 +151,7 @@ def find_licenses(data: bytes, index: Index, gram: int, band: int, least: float)
             top = min(base + 4 * band - 1, high)
             first = max(0, base - band)
             words = hashes[first : top + band + template.size + 1].tolist()
-            while True:  # until no further occurrence is in the band
+            while index.possible(t, words):  # until no further occurrence is in the band
                 m, a, b = align(template.tolist(), words, first, base - band, top + band)
                 if m / template.size < least:
                     break
@@ -154,6 +177,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, gram: int = 4
     words and in code points, ends excluded.  Notices with coverage below least are not reported; of
     notices that overlap by more than half, the one with more matched words is.  Null and empty texts have
     none; a null doc_id stays null; equal rows each give their notices.
+    gram and window are the largest used: a template has smaller ones where a notice with few words changed, up to
+    the share that least leaves, would have no fingerprint.  Words shifted by more than band are not matched.
     The templates are an argument of the call, at most 1 MB of text, and go to every task.
     """
     templates = TEMPLATES if templates is None else templates
@@ -163,9 +188,9 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, gram: int = 4
     names = [k.split()[0] for k in kinds.split(", ")]
 
     def search(batches):
-        index = Index(templates, gram, window)
+        index = Index(templates, gram, window, least)
         for b in batches:
-            rows = [(doc, *r) for doc, data in zip(b["doc_id"], b["data"], strict=True) for r in find_licenses(bytes(data), index, gram, band, least)]
+            rows = [(doc, *r) for doc, data in zip(b["doc_id"], b["data"], strict=True) for r in find_licenses(bytes(data), index, band, least)]
             yield pd.DataFrame(rows, columns=["doc_id", *names])
 
     found = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), text_bytes().alias("data")).mapInPandas(search, f"doc_id long, {kinds}")

@@ -91,6 +91,39 @@ def test_license_spans(spark):
     assert {r.doc_id for r in got} == {1, 2}
 
 
+def plain_alignment(template, words):
+    """Most matched words of an alignment of the whole template with a part of the words, by its score."""
+    row = [(0, 0)] * (len(words) + 1)
+    for t in template:
+        new = [(row[0][0] - 1, row[0][1])]
+        for j, w in enumerate(words):
+            s, m = row[j]
+            new.append(max((s + 2, m + 1) if w == t else (s - 1, m), (row[j + 1][0] - 1, row[j + 1][1]), (new[j][0] - 1, new[j][1])))
+        row = new
+    return max(row)[1]
+
+
+def test_license_words_changed():
+    found = tried = 0
+    short = {"one": "copyleft", "three": "all rights reserved", "six": "see the file named license text"}
+    for name, text in (licenses.TEMPLATES | short).items():
+        index = licenses.Index({name: text}, 4, 4, 0.8)
+        words = re.findall("[a-z0-9]+", text.lower())
+        n = len(words)
+        changes = [words[:i] + new + words[i + k :] for i in range(n) for new, k in ((["zzz"], 1), ([], 1), (["zzz"], 0))]
+        few = n - next(m for m in range(n + 1) if m / n >= 0.8)
+        if few > 1:  # as many words replaced as least allows, spread evenly
+            spread = {round((i + 1) * n / (few + 1)) for i in range(few)}
+            changes.append(["zzz" if i in spread else w for i, w in enumerate(words)])
+        for change in changes:
+            data = " ".join(["aaa", "bbb", "ccc", *change, "ddd", "eee", "fff"]).encode()
+            best = plain_alignment(words, data.decode().split())
+            got = [r[2] for r in licenses.find_licenses(data, index, 6, 0.8)]
+            assert got == ([best] if best / n >= 0.8 else []), (name, change)
+            tried, found = tried + 1, found + len(got)
+    assert found > 0.9 * tried
+
+
 # 3 pages
 
 
