@@ -223,9 +223,15 @@ def _first_holders(keys: list[int], sigs: list[np.ndarray]) -> tuple[list[np.nda
     return np.split(fresh, borders), [np.unique(h[~f]) for h, f in zip(np.split(holder, borders), np.split(fresh, borders), strict=True)]
 
 
-def _describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
+def _text_digest():
+    """128 bits of a row's text; with the doc_id, they name the rows that are judged alike."""
+    return F.unhex(F.md5(text_bytes()))
+
+
+def _describe(docs: DataFrame, n: int, percent: int, digest: bool) -> DataFrame:
     """(doc_id, n_shingles, k1, k2, sigs, fresh, near) of each row; k1, k2 are a hash of the set, none of no shingles.
 
+    If asked for, digest, of the whole text, comes before them.
     A task gives the signatures of a set once, however many copies it meets, as long as it remembers it.
     Inside a batch of rows fresh is true for the first set with a signature, and near has the k1 of that set for
     the others: a signature of a third of all sets so reaches the exchange once a batch.
@@ -251,10 +257,12 @@ def _describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
             for i, f, holders in zip(new, *_first_holders([k1[i] for i in new], [sigs[i] for i in new]), strict=True):
                 fresh[i], near[i] = f, holders
             keys = {"k1": pd.Series(k1, dtype="Int64"), "k2": pd.Series(k2, dtype="Int64")}
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n_shingles": size, **keys, "sigs": sigs, "fresh": fresh, "near": near})
+            yield pd.DataFrame({**{c: b[c] for c in names}, "n_shingles": size, **keys, "sigs": sigs, "fresh": fresh, "near": near})
 
-    raw = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), text_bytes().alias("data"))
-    return raw.mapInPandas(describe, "doc_id long, n_shingles long, k1 long, k2 long, sigs array<long>, fresh array<boolean>, near array<long>")
+    raw = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), text_bytes().alias("data"), *[_text_digest().alias("digest")] * digest)
+    names = [c for c in raw.columns if c != "data"]
+    kinds = "doc_id long, digest binary" if digest else "doc_id long"
+    return raw.mapInPandas(describe, f"{kinds}, n_shingles long, k1 long, k2 long, sigs array<long>, fresh array<boolean>, near array<long>")
 
 
 #: Up to so many rows of three numbers and an id, about 16 MB, are broadcast to the texts; more are joined by a shuffle.
@@ -296,18 +304,14 @@ def _blocks(sets: DataFrame, block: int, salt: int | None) -> DataFrame:
     return dealt.withColumn("other", other).withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other"))
 
 
-def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 1024) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of docs (doc_id, text).
+def _label_sets(docs: DataFrame, n: int, percent: int, block: int, digest: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows as _describe gives them, and (k1, k2, first, label) of each set: its smallest doc_id and its component.
 
-    component_id is the smallest doc_id that links reach, its own included.  Rows link when their sets of
-    n-word shingles share percent/100 of their union; equal sets always do.  A text of fewer words is one shingle;
-    null, empty and blank texts have none and link with nothing.  Every row is judged by its own text, so rows
-    may share a doc_id.  A null doc_id counts as larger than all others and comes back as null.
     Equal sets are one node of all that follows.  Families of more than block sets are first linked inside
     blocks, twice, dealt by different hashes; that is linear and joins nearly all that belongs together.  Only
     sets that still share a signature with another component are then compared block by block.
     """
-    described = cut(_describe(docs, n, percent), "described")
+    described = cut(_describe(docs, n, percent, digest), "described")
     postings = described.select(F.explode("sigs").alias("sig"), "k1")
     bucket = Window.partitionBy("sig")
     firsts = described.select(F.explode(F.filter("sigs", lambda _, i: F.get("fresh", i))).alias("sig"), "k1")
@@ -338,7 +342,18 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90, block: int =
     for more in links[1:]:
         together = together.unionByName(more)
     linked = components(together).withColumnRenamed("node", "k1")
-    named = classes.join(linked, "k1", "left").select("k1", "k2", F.col("doc_id").alias("first"), F.coalesce("label", "k1").alias("label"))
+    return described, classes.join(linked, "k1", "left").select("k1", "k2", F.col("doc_id").alias("first"), F.coalesce("label", "k1").alias("label"))
+
+
+def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 1024) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of docs (doc_id, text).
+
+    component_id is the smallest doc_id that links reach, its own included.  Rows link when their sets of
+    n-word shingles share percent/100 of their union; equal sets always do.  A text of fewer words is one shingle;
+    null, empty and blank texts have none and link with nothing.  Every row is judged by its own text, so rows
+    may share a doc_id.  A null doc_id counts as larger than all others and comes back as null.
+    """
+    described, named = _label_sets(docs, n, percent, block)
     smallest = named.groupBy("label").agg(F.min("first").alias("component_id"))
     by_class = cut(named.join(smallest, "label").select("k1", "k2", "component_id"), "components")
     rows = described.select("doc_id", "n_shingles", "k1", "k2").join(by_class, ["k1", "k2"], "left")
@@ -348,12 +363,26 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90, block: int =
     )
 
 
-def keep_one(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """docs without the rows that are not the smallest doc_id of their component; same columns.
+def keep_one(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 1024) -> DataFrame:
+    """docs with one row of each component of near duplicates, and all rows whose texts have no shingles; same columns.
 
-    Of rows that share doc_id and component one stays for each text.
+    The row with the smallest doc_id stays, a null one being the largest; of several with that id the one with
+    the smallest digest of its text, of equal texts the smallest as JSON.  Every row is judged by its own text.
     """
-    gone_id = spare("gone_id", docs.columns)
-    found = near_duplicates(docs, n, percent)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(NO_ID)).alias(gone_id)).distinct()
-    return docs.join(gone, F.coalesce(docs["doc_id"], F.lit(NO_ID)) == gone[gone_id], "left_anti")
+    described, named = _label_sets(docs, n, percent, block, digest=True)
+    rows = described.filter("n_shingles > 0").select("doc_id", "digest", "k1", "k2")
+    first = rows.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "digest")).alias("first"))
+    best = first.join(named.select("k1", "k2", "label"), ["k1", "k2"]).groupBy("label").agg(F.min("first").alias("first"))
+    best = cut(best.select("first.*", F.lit(True).alias("stays")), "best")
+    texts = rows.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("rows"))
+    found = texts.join(best, ["doc_id", "digest"], "left").filter("stays IS NULL OR rows > 1")
+    names = [spare(c, docs.columns) for c in ("one_id", "one_digest", "one_row")]
+    found = cut(found.select(F.col("doc_id").alias(names[0]), F.col("digest").alias(names[1]), "stays"), "gone")
+    gone, repeated = _checked(found.select(*names[:2])), cut(found.filter("stays").select(*names[:2]), "repeated")
+    same = (F.coalesce(F.col("doc_id"), F.lit(NO_ID)) == F.col(names[0])) & (_text_digest() == F.col(names[1]))
+    left = docs.join(gone, same, "left_anti")
+    if repeated.isEmpty():
+        return left
+    whole = F.struct(*(F.col(c) for c in docs.columns))
+    one = docs.join(_checked(repeated), same).groupBy(*names[:2]).agg(F.min_by(whole, F.to_json(whole)).alias(names[2]))
+    return left.unionByName(one.select(f"{names[2]}.*"))

@@ -376,6 +376,29 @@ def test_link_block_of_unequal_sizes(percent):
     assert all(sides[i] != sides[j] for i, j in jaccard.link_block(families[0], percent, sides))
 
 
+@pytest.mark.parametrize("n, percent", [(3, 90), (5, 80)])
+def test_keep_one_judges_rows(spark, n, percent):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(300)]
+    clean = [" ".join(rng.choice(words, 60)) for _ in range(12)]
+    near = [c + " end" for c in clean]
+    rows = [
+        (7, clean[0], "en", "a", 1), (None, near[0], "en", "a", 2), (None, clean[1], "en", "a", 3), (None, clean[2], "en", "a", 4),  # a null id copies 7
+        (8, clean[3], "en", "a", 5), (9, near[3], "en", "a", 6), (9, clean[4], "en", "a", 7), (9, clean[5], "en", "a", 8),  # one row of 9 copies 8
+        (10, clean[6], "en", "a", 9), (10, clean[6], "en", "a", 9), (10, clean[6], "en", "b", 9),  # equal rows, and another of the same text
+        (11, clean[7], "en", "a", 10), (11, near[7], "en", "a", 10), (12, clean[7].upper(), "en", "a", 10),  # near copies under one id
+        (None, clean[8], "en", "a", 11), (None, near[8], "en", "a", 11), (None, clean[8], "en", "a", 11),  # and under none
+        (13, None, "en", "a", None), (13, "", "en", "a", 0), (13, "", "en", "a", 0), (None, " ", "en", "a", 0), (None, None, None, None, None),
+    ]
+    got = jaccard.keep_one(docs(spark, rows).withColumnRenamed("source", "one_id"), n, percent)
+    assert got.columns == ["doc_id", "text", "lang", "one_id", "n_chars"]
+    got = sorted(map(str, map(tuple, got.collect())))
+    sure = [rows[i] for i in (0, 2, 3, 4, 6, 7, 8, 17, 18, 19, 20, 21)]
+    assert [x for x in map(str, sorted(sure, key=str)) if x not in got] == []
+    rest = [x for x in got if x not in map(str, sure)]
+    assert len(got) == len(sure) + 2 and sorted(x.split(",")[0] for x in rest) == ["(11", "(None"]
+
+
 def test_first_holders():
     sigs = [np.array(x, dtype=np.int64) for x in ([5, 6], [6, 7], [], [5, 6, 7])]
     fresh, near = jaccard._first_holders([10, 20, 30, 40], sigs)
