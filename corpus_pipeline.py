@@ -23,8 +23,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id stays."""
-    return jaccard.keep_one(docs)
+    """Of each group of documents linked at a similarity of 0.8 in five-word shingles the one with the smallest doc_id stays."""
+    return jaccard.keep_one(docs, n=5, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
