@@ -45,7 +45,8 @@ STAGES = [
     ("mixture", mix_sources),
 ]
 
-#: The fitted model and the seeded knapsack have no SQL; tests/llm compares run() with brute force.
+#: The fitted model and the seeded knapsack have no SQL.  tests/llm holds only the near-duplicate stage against a brute
+#: force on the stage's own input; the other stages' operators are tested there on their own, run() as a whole is not.
 ORACLE_SQL = None
 
 
