@@ -30,12 +30,16 @@ RAW = frozenset("script style textarea title noscript template iframe xmp".split
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody tfoot thead tr ul caption title".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: Words of class and id names that mark a container as no part of the article.
-BAD_NAMES = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header menu nav navbar navigation newsletter notice notices popup promo promoted related reply replies respond share sharing sidebar sidebars social sponsor sponsored subscribe toolbar widget disclaimer".split())
+# Words of class and id names.  The first kind marks a container as no part of the article whatever else is in
+# the name; the second only where all other words of the name are of the third, which say nothing of what is inside.
+SURE_NAMES = frozenset("adsense advert adverts advertisement advertising breadcrumb breadcrumbs disqus navbar newsletter sidebar sidebars".split())
+BAD_NAMES = frozenset("ad ads banner comment comments consent cookie cookies footer header menu nav navigation notice notices popup promo promoted related reply replies respond share sharing social sponsor sponsored subscribe toolbar widget disclaimer".split())
+VAGUE_NAMES = frozenset("area articles bar block body bottom box button buttons col column container content entry fixed form global group head inner item items js left link links list main md modal outer page panel policy post posts reader right row section site slot sm sticky stories thread top user users view wrap wrapper".split())
 BAD_ROLES = frozenset("banner navigation complementary contentinfo search form dialog alert menu menubar".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
-_MARKS = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# A value may hold > inside quotes only right after =; a quote elsewhere is a character like others.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAMES = re.compile(r"[a-z]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -50,17 +54,23 @@ class Block:
     label: str = ""
 
 
-def _is_bad(name: str, attributes: str) -> bool:
+def _marks_furniture(name: str) -> bool:
+    """Whether a class or id name such as cookie-notice or siteHeader is of a container beside the article."""
+    words = set(_NAMES.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()))
+    return not words.isdisjoint(SURE_NAMES) or not words.isdisjoint(BAD_NAMES) and words <= BAD_NAMES | VAGUE_NAMES
+
+
+def _badness(name: str, attributes: str, inside: bool) -> int:
+    """2: a container of no part of the article; 1: an article's own header, whose headings are part; else 0."""
     if name in SKIPPED:
-        return True
-    for key, *values in _MARKS.findall(attributes) if attributes else ():
-        value = "".join(values).lower()
-        key = key.lower()
-        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in BAD_ROLES:
-            return True
-        if key in ("class", "id") and name not in ("html", "body", "article", "main") and not BAD_NAMES.isdisjoint(_NAMES.findall(value)):
-            return True
-    return False
+        return 1 if name == "header" and inside else 2
+    for key, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
+        value, key = "".join(values), key.lower()
+        if key == "hidden" and value.lower() != "until-found" or key == "aria-hidden" and value.lower() == "true" or key == "role" and value.lower() in BAD_ROLES:
+            return 2
+        if key in ("class", "id") and name not in ("html", "body", "article", "main") and any(map(_marks_furniture, value.split())):
+            return 2
+    return 0
 
 
 def split_blocks(page: str) -> list[Block]:
@@ -69,7 +79,7 @@ def split_blocks(page: str) -> list[Block]:
     Tolerates what pages in the wild have: unclosed and crossed elements, a cut-off end, < in text.
     """
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, bad, inside; of open block-level and bad elements
+    stack: list[tuple[str, int, bool]] = []  # name, badness, inside; of open block-level and bad elements
     parts: list[str] = []
     link_parts: list[str] = []
     heading = False
@@ -80,8 +90,9 @@ def split_blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join(references.unescape("".join(parts)).split())
             if text:
-                bad, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-                out.append(Block(text, len(" ".join(references.unescape("".join(link_parts)).split())), bad, inside, heading))
+                bad, inside = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+                linked = len(" ".join(references.unescape("".join(link_parts)).split()))
+                out.append(Block(text, linked, bad > (1 if heading else 0), inside, heading))
             parts.clear()
             link_parts.clear()
 
@@ -126,12 +137,12 @@ def split_blocks(page: str) -> list[Block]:
                         break
                     if stack[k][0] not in ("p", *HEADINGS):
                         break
-        bad = _is_bad(name, m[3])
-        was_bad, was_inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        was_bad, was_inside = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+        bad = _badness(name, m[3], was_inside)
         if (block or bad) and name not in VOID and not m[3].endswith("/"):
             if bad and not was_bad and not block:
                 flush()
-            stack.append((name, was_bad or bad, (was_inside or name in ("article", "main"))))
+            stack.append((name, max(was_bad, bad), was_inside or name in ("article", "main")))
         if name in RAW:
             end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             if name == "title" or name == "textarea":
@@ -145,37 +156,49 @@ def split_blocks(page: str) -> list[Block]:
 
 
 def classify(blocks: list[Block], stop_words: frozenset = STOP_WORDS, short: int = 70, long: int = 200, low: float = 0.15, high: float = 0.3, links: float = 0.35) -> None:
-    """First pass, label of each block: good, bad, short, neargood."""
+    """First pass, label of each block: good, bad, short (which is ambiguous), neargood.
+
+    Outside the article element many links make a block bad, as few stop words do; inside it either makes it
+    ambiguous, for an article may quote, link, list and count.  Where no longer block of the page reaches the low
+    density, its language is none of the stop words': density is left out and length alone decides.
+    """
+    density = []
     for b in blocks:
-        density = b.linked / max(1, len(b.text))
-        if b.bad or density > links:
-            b.label = "bad"
-            continue
         words = _WORD.findall(b.text.lower())
-        stops = sum(w in stop_words for w in words) / max(1, len(words))
-        if b.heading or len(b.text) < short:
+        density.append(sum(w in stop_words for w in words) / max(1, len(words)))
+    plain = [not b.bad and not b.heading and len(b.text) >= short and b.linked <= links * len(b.text) for b in blocks]
+    known = any(d >= low for d, fine in zip(density, plain, strict=True) if fine)
+    for b, d, fine in zip(blocks, density, plain, strict=True):
+        d = d if known else high
+        if b.bad or b.linked > links * len(b.text) and not b.inside:
+            b.label = "bad"
+        elif not fine:
             b.label = "short"
         elif b.inside:
-            b.label = "good"
-        elif stops >= high:
+            b.label = "good" if d >= low else "short"
+        elif d >= high:
             b.label = "good" if len(b.text) > long else "neargood"
-        elif stops >= low:
-            b.label = "neargood"
         else:
-            b.label = "bad"
+            b.label = "neargood" if d >= low else "bad"
 
 
-def _nearest(blocks: list[Block], i: int, step: int) -> tuple[int, str]:
-    """Distance and label of the next decided block that way, on the same side of the article's border.
+def _sweep(blocks: list[Block], order) -> list[tuple[int, str]]:
+    """For each block the distance and label of the last decided one before it in that order; "" if there is none.
 
-    Inside the article element, what stands in a container of comments, notices and such says nothing of the rest.
+    It looks on its own side of the article's border only.  Inside the article element, what stands in a container of
+    comments, notices and such says nothing of the rest.
     """
-    k = i + step
-    while 0 <= k < len(blocks) and blocks[k].inside == blocks[i].inside:
-        if blocks[k].label in ("good", "bad") and not (blocks[k].inside and blocks[k].bad):
-            return abs(k - i), blocks[k].label
-        k += step
-    return len(blocks) + 1, ""
+    out = [(len(blocks) + 1, "")] * len(blocks)
+    last, inside = None, None
+    for i in order:
+        b = blocks[i]
+        if b.inside != inside:
+            last, inside = None, b.inside
+        if last is not None:
+            out[i] = (abs(i - last), blocks[last].label)
+        if b.label in ("good", "bad") and not (b.inside and b.bad):
+            last = i
+    return out
 
 
 def inherit(blocks: list[Block]) -> list[bool]:
@@ -186,19 +209,22 @@ def inherit(blocks: list[Block]) -> list[bool]:
     outside the article element and good inside it.  A heading goes with what follows it.  Inside the
     article element a block without a decided neighbour is kept, elsewhere a short one is not.
     """
-    almost = [(i, {_nearest(blocks, i, -1)[1], _nearest(blocks, i, 1)[1]}) for i, b in enumerate(blocks) if b.label == "neargood"]
-    for i, labels in almost:
-        blocks[i].label = "bad" if labels <= {"bad", ""} and "bad" in labels else "good"
+    there, back = range(len(blocks)), range(len(blocks) - 1, -1, -1)
+    for b, (_, before), (_, after) in zip(blocks, _sweep(blocks, there), _sweep(blocks, back), strict=True):
+        if b.label == "neargood":
+            b.label = "neargood bad" if "good" not in (before, after) and "bad" in (before, after) else "neargood good"
+    for b in blocks:
+        b.label = b.label.removeprefix("neargood ")
     out = []
-    for i, b in enumerate(blocks):
+    for b, (d1, before), (d2, after) in zip(blocks, _sweep(blocks, there), _sweep(blocks, back), strict=True):
         if b.label != "short":
             out.append(b.label == "good")
-            continue
-        (d1, before), (d2, after) = _nearest(blocks, i, -1), _nearest(blocks, i, 1)
-        if b.heading and after:
+        elif b.heading and after:
             out.append(after == "good")
-        elif before == after or d1 == d2:
-            out.append((before or after or ("good" if b.inside else "bad")) == "good" if before == after else b.inside)
+        elif before == after:
+            out.append((before or ("good" if b.inside else "bad")) == "good")
+        elif d1 == d2:
+            out.append(b.inside)
         else:
             out.append((before if d1 < d2 else after) == "good")
     return out
@@ -213,7 +239,9 @@ def main_text(page: str | None) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every page; null or empty html gives an empty text.
 
-    Pages are independent of each other: one pass, no exchange.  Other columns are ignored.
+    Pages are independent of each other: one pass, no exchange.  Repeated rows, null ids and null urls give a row each,
+    other columns are ignored.  A page of any length is read whole, in time that grows with its length: the second pass
+    finds nearest decided blocks in one sweep each way.
     """
 
     def texts(batches):
