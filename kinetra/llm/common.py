@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 #: Stands in for a null id while rows are compared; such rows sort after all others.
 NO_ID = (1 << 63) - 1
 
+#: Up to so many rows of a few numbers, about 16 MB, are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 400_000
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Fixed odd multipliers of the 64-bit finaliser and of the rolling hashes.
@@ -24,9 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or an own one where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir.  Where that is unset, as in tests, an own one of local mode."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: a cluster needs a folder that all its machines share")
         where = "file://" + tempfile.mkdtemp(prefix="spark-kinetra-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -121,6 +126,16 @@ def text_bytes(col: str = "text"):
     return F.coalesce(F.col(col), F.lit("")).cast("binary")
 
 
+def quoted(name: str) -> str:
+    """A column name to select by, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def columns(df: DataFrame) -> list:
+    """All columns of df, of any names."""
+    return [df[quoted(c)] for c in df.columns]
+
+
 def spare(name: str, taken: list[str]) -> str:
     """A column name that is not among those taken: the input may have columns of any name."""
     while name.lower() in {x.lower() for x in taken}:

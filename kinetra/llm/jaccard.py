@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kinetra.llm.common import NO_ID, cut, gram_hashes, mix64, spare, text_bytes, word_hashes
+from kinetra.llm.common import BROADCAST_ROWS, NO_ID, cut, gram_hashes, mix64, spare, text_bytes, word_hashes
 from kinetra.llm.graph import components
 
 
@@ -265,10 +265,6 @@ def _describe(docs: DataFrame, n: int, percent: int, digest: bool) -> DataFrame:
     return raw.mapInPandas(describe, f"{kinds}, n_shingles long, k1 long, k2 long, sigs array<long>, fresh array<boolean>, near array<long>")
 
 
-#: Up to so many rows of three numbers and an id, about 16 MB, are broadcast to the texts; more are joined by a shuffle.
-BROADCAST_ROWS = 400_000
-
-
 def _checked(few: DataFrame) -> DataFrame:
     """A written table of few columns as the right side of a join: broadcast if it is small enough, else shuffled."""
     return few.hint("broadcast" if few.count() <= BROADCAST_ROWS else "shuffle_hash")

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetra.llm.common import NO_ID, cut, mix64, new_dir, spare, text_bytes
+from kinetra.llm.common import BROADCAST_ROWS, NO_ID, columns, cut, mix64, quoted, spare, text_bytes
 
 _SPACE = b" \t\n\x0b\x0c\r"
 
@@ -113,19 +113,122 @@ def _fresh(key, group):
     return pd.DataFrame({"shard": [key[0]], "data": [CuckooFilter.build(np.unique(_values(group["key"]))).to_bytes()]})
 
 
+def _row(text: str = "text"):
+    """A hash of a row's text: rows that share a doc_id are looked up one by one, not in one heap."""
+    return F.hash(text_bytes(text))
+
+
+def line_pairs(docs: DataFrame, least: int = 10) -> DataFrame:
+    """(doc_id, row, key) for each distinct line key of each row; a null id becomes NO_ID, row is a hash of the text."""
+
+    def pairs(batches):
+        for b in batches:
+            ids, rows, keys = [], [], []
+            for doc, row, data in zip(b["doc_id"], b["row"], b["data"], strict=True):
+                found = {k for line in set(bytes(data).split(b"\n")) if (k := line_key(line, least))}
+                ids += [doc] * len(found)
+                rows += [row] * len(found)
+                keys += found
+            yield pd.DataFrame({"doc_id": ids, "row": rows, "key": keys})
+
+    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), _row().alias("row"), text_bytes().alias("data"))
+    return texts.mapInPandas(pairs, "doc_id long, row int, key binary")
+
+
+class LineIndex:
+    """Reference counts of line keys over the documents inserted so far, with a filter for each shard.
+
+    Three tables, each operation writing new ones to the shared folder: postings (doc_id, key), refs (key,
+    refs, first: number of distinct documents and the smallest id) and filters (shard, data) over the keys
+    with refs of two or more.  Shards are dealt by key and have about shard_keys keys; once they have grown to twice
+    that, all filters are built anew for more shards.
+    """
+
+    def __init__(self, spark: SparkSession, shard_keys: int = 500_000):
+        self.spark, self.shard_keys, self.shards = spark, shard_keys, 0
+        self.postings = spark.createDataFrame([], "doc_id long, key binary")
+        self.refs = spark.createDataFrame([], "key binary, refs long, first long")
+        self.filters = spark.createDataFrame([], "shard int, data binary")
+
+    def _shard(self, key: str = "key"):
+        return F.pmod(F.xxhash64(key), F.lit(self.shards)).cast("int")
+
+    def insert(self, pairs: DataFrame) -> None:
+        """Add documents, given by their line pairs.  An id that the index holds is an error: delete it first.
+
+        Rows of one id count as one document, so pairs may repeat.  They are made distinct by document and key and
+        then counted by key, after partial counts in each task: a line in a third of all documents is a few rows there.
+        """
+        first_time, old = self.shards == 0, self.refs
+        pairs = pairs.select("doc_id", "key")
+        if not first_time:
+            known = self.postings.select("doc_id").join(pairs.select("doc_id").distinct(), "doc_id", "left_semi").first()
+            if known is not None:
+                raise ValueError(f"document {known['doc_id']} is in the index")
+        added = pairs.distinct().groupBy("key").agg(F.count(F.lit(1)).alias("refs"), F.min("doc_id").alias("first"))
+        refs = added if first_time else old.unionByName(added).groupBy("key").agg(F.sum("refs").alias("refs"), F.min("first").alias("first"))
+        refs = cut(refs, "refs")
+        keys = refs.count()
+        if keys > 2 * self.shards * self.shard_keys or first_time:
+            self.shards = max(1, -(-keys // self.shard_keys))
+            self.filters = cut(self._built(refs), "filters")
+        else:
+            self._change_filters(refs.filter("refs > 1").join(old.filter("refs > 1"), "key", "left_anti"), refs, add=True)
+        self.refs, self.postings = refs, pairs if first_time else cut(self.postings.unionByName(pairs), "postings")
+
+    def _built(self, refs: DataFrame) -> DataFrame:
+        """Filters of all shards from the exact counts."""
+        return refs.filter("refs > 1").select(self._shard().alias("shard"), "key").groupBy("shard").applyInPandas(_fresh, "shard int, data binary")
+
+    def delete(self, values: np.ndarray) -> None:
+        """Remove values that were inserted."""
+        mark, at = self._places(values)
+        for m, x, y in zip(mark, at, self._other(at, mark), strict=True):
+            for bucket in (x, y):
+                hit = np.flatnonzero(self.marks[bucket] == m)
+                if hit.size:
+                    self.marks[bucket, hit[0]] = 0
+                    break
+
+    def to_bytes(self) -> bytes:
+        return self.marks.tobytes()
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> CuckooFilter:
+        marks = np.frombuffer(data, dtype=np.uint16).reshape(-1, cls.WIDTH).copy()
+        out = cls(1)
+        out.marks, out.buckets = marks, len(marks)
+        return out
+
+
+def _values(keys) -> np.ndarray:
+    return np.frombuffer(b"".join(keys), dtype="<u8")[::2]
+
+
+def _fresh(key, group):
+    return pd.DataFrame({"shard": [key[0]], "data": [CuckooFilter.build(np.unique(_values(group["key"]))).to_bytes()]})
+
+
+def _row(text: str = "text"):
+    """A hash of a row's text: rows that share a doc_id are looked up one by one, not in one heap."""
+    return F.hash(text_bytes(text))
+
+
 def line_pairs(docs: DataFrame, least: int = 10) -> DataFrame:
-    """(doc_id, key) for each distinct line key of each row; a null id becomes NO_ID."""
+    """(doc_id, row, key) for each distinct line key of each row; a null id becomes NO_ID, row is a hash of the text."""
 
     def pairs(batches):
         for b in batches:
-            ids, keys = [], []
-            for doc, data in zip(b["doc_id"], b["data"], strict=True):
+            ids, rows, keys = [], [], []
+            for doc, row, data in zip(b["doc_id"], b["row"], b["data"], strict=True):
                 found = {k for line in set(bytes(data).split(b"\n")) if (k := line_key(line, least))}
                 ids += [doc] * len(found)
+                rows += [row] * len(found)
                 keys += found
-            yield pd.DataFrame({"doc_id": ids, "key": keys})
+            yield pd.DataFrame({"doc_id": ids, "row": rows, "key": keys})
 
-    return docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), text_bytes().alias("data")).mapInPandas(pairs, "doc_id long, key binary")
+    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), _row().alias("row"), text_bytes().alias("data"))
+    return texts.mapInPandas(pairs, "doc_id long, row int, key binary")
 
 
 class LineIndex:
@@ -183,10 +286,6 @@ class LineIndex:
     def _change_filters(self, keys: DataFrame, refs: DataFrame, add: bool) -> None:
         """Insert keys into, or delete them from, the filters of their shards."""
         n = "shard int, data binary"
-        if self.filters.isEmpty():
-            made = keys.select(self._shard().alias("shard"), "key").groupBy("shard").applyInPandas(_fresh, n)
-            self.filters = cut(made, "filters")
-            return
 
         def step(key, old, group):
             values = np.unique(_values(group["key"])) if len(group) else np.zeros(0, dtype=np.uint64)
@@ -200,15 +299,17 @@ class LineIndex:
         changed = cut(changed.applyInPandas(step, n), "filters")
         full = changed.filter(F.octet_length("data") == 0).select("shard")
         if not full.isEmpty():  # these shards outgrew their filters: build them from the exact counts
-            again = refs.filter("refs > 1").select(self._shard().alias("shard"), "key").join(full, "shard", "left_semi").groupBy("shard").applyInPandas(_fresh, n)
-            changed = cut(changed.filter(F.octet_length("data") > 0).unionByName(again), "filters")
+            again = refs.withColumn("shard", self._shard()).join(full, "shard", "left_semi").drop("shard")
+            changed = cut(changed.filter(F.octet_length("data") > 0).unionByName(self._built(again)), "filters")
         self.filters = changed
 
-    def repeated_in(self, pairs: DataFrame, task_rows: int = 500_000) -> DataFrame:
-        """Those pairs whose key at least two documents hold and whose document isn't the smallest of them.
+    def repeated_in(self, pairs: DataFrame, task_rows: int = 500_000, most_hot: int = 100_000) -> DataFrame:
+        """Those (doc_id, row, key) whose key at least two documents hold and whose document isn't the smallest of them.
 
         Pairs meet the filter of their shard; a shard with many pairs is split into as many parts as it
-        takes, each with a copy of the filter, so a line in a third of all documents fills no task.
+        takes, each with a copy of the filter, so a line in a third of all documents fills no task.  The exact table
+        then comes to the pairs of lines with more than one in most_hot of all references, which are fewer than
+        that many, by a broadcast, and all others are joined by key.
         """
         if self.filters.isEmpty():
             return pairs.limit(0)
@@ -216,8 +317,8 @@ class LineIndex:
         parts = dealt.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / task_rows).cast("int").alias("parts"))
         parts = cut(parts, "parts")
         blank = F.lit(None)
-        asking = dealt.join(parts, "shard").select("shard", F.pmod(F.xxhash64("doc_id"), "parts").cast("int").alias("part"), "key", "doc_id", blank.cast("binary").alias("data"))
-        answering = self.filters.join(parts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), blank.cast("binary").alias("key"), F.lit(0).cast("long").alias("doc_id"), "data")
+        asking = dealt.join(parts, "shard").select("shard", F.pmod(F.xxhash64("doc_id", "row"), "parts").cast("int").alias("part"), "key", "doc_id", "row", blank.cast("binary").alias("data"))
+        answering = self.filters.join(parts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), blank.cast("binary").alias("key"), F.lit(0).cast("long").alias("doc_id"), F.lit(0).alias("row"), "data")
         met = answering.unionByName(asking).repartition("shard", "part").sortWithinPartitions("shard", "part", F.col("data").isNull())
 
         def probe(batches):
@@ -234,22 +335,32 @@ class LineIndex:
                     if len(rows):
                         out.append(rows[f.contains(_values(rows["key"]))])
                 if out:
-                    yield pd.concat(out)[["doc_id", "key"]]
+                    yield pd.concat(out)[["doc_id", "row", "key"]]
 
-        maybe = met.mapInPandas(probe, "doc_id long, key binary")
-        exact = self.refs.filter("refs > 1").select("key", "first")
-        return maybe.join(exact, "key").filter(F.col("doc_id") != F.col("first")).select("doc_id", "key")
+        maybe = met.mapInPandas(probe, "doc_id long, row int, key binary")
+        exact = self.refs.filter("refs > 1")
+        least = (self.refs.agg(F.sum("refs")).first()[0] or 0) // min(most_hot, BROADCAST_ROWS)
+        hot = cut(exact.filter(F.col("refs") > max(least, 1000)).select("key", "first"), "hot")
+        cold = exact.filter(F.col("refs") <= max(least, 1000)).select("key", "first")
+        if hot.isEmpty():
+            found = maybe.join(cold, "key")
+        else:
+            maybe = cut(maybe, "maybe")
+            found = maybe.join(F.broadcast(hot), "key").unionByName(maybe.join(F.broadcast(hot.select("key")), "key", "left_anti").join(cold, "key"))
+        return found.filter(F.col("doc_id") != F.col("first")).select("doc_id", "row", "key")
 
 
 def drop_lines(docs: DataFrame, dropped: DataFrame, least: int = 10) -> DataFrame:
-    """docs with columns n_lines, n_dropped and kept: the text without the lines in dropped (doc_id, key).
+    """docs with columns n_lines, n_dropped and kept: the text without the lines in dropped (doc_id, row, key).
 
-    A null text is one empty line.  Kept lines stay as they are, joined by line feeds.
+    A null text is one empty line.  Kept lines stay as they are, joined by line feeds.  A row is joined to the keys of
+    rows with its id and text, of which there are no more than it has lines.
     """
-    key, keys = spare("line_doc_id", docs.columns), spare("line_keys", docs.columns)
+    key, row, keys = (spare(c, docs.columns) for c in ("line_doc_id", "line_row", "line_keys"))
     names = [spare(c, docs.columns) for c in ("n_lines", "n_dropped", "kept")]
-    per_doc = dropped.groupBy(F.col("doc_id").alias(key)).agg(F.collect_set("key").alias(keys))
-    joined = docs.join(per_doc.hint("shuffle_hash"), F.coalesce(docs["doc_id"], F.lit(NO_ID)) == F.col(key), "left")
+    per_doc = dropped.groupBy(F.col("doc_id").alias(key), F.col("row").alias(row)).agg(F.collect_set("key").alias(keys))
+    same = (F.coalesce(docs["doc_id"], F.lit(NO_ID)) == F.col(key)) & (_row() == F.col(row))
+    joined = docs.join(per_doc.hint("shuffle_hash"), same, "left")
 
     def keep(batches):
         for texts, drops in batches:
@@ -265,15 +376,16 @@ def drop_lines(docs: DataFrame, dropped: DataFrame, least: int = 10) -> DataFram
             yield pd.DataFrame({"n_lines": total, "n_dropped": lost, "kept": kept})
 
     cleaned = F.pandas_udf(keep, "n_lines long, n_dropped long, kept binary", F.PandasUDFType.SCALAR_ITER)
-    out = joined.select(*(docs[c] for c in docs.columns), cleaned(text_bytes(), F.col(keys)).alias(key))
-    return out.select(*docs.columns, F.col(f"{key}.n_lines").alias(names[0]), F.col(f"{key}.n_dropped").alias(names[1]), F.col(f"{key}.kept").cast("string").alias(names[2]))
+    out = joined.select(*columns(docs), cleaned(text_bytes(), F.col(keys)).alias(key))
+    return out.select(*map(quoted, docs.columns), F.col(f"{key}.n_lines").alias(names[0]), F.col(f"{key}.n_dropped").alias(names[1]), F.col(f"{key}.kept").cast("string").alias(names[2]))
 
 
 def dedup_lines(docs: DataFrame, least: int = 10) -> DataFrame:
     """Index all documents and drop, from each, the repeated lines that a smaller doc_id holds too.
 
-    Returns docs with n_lines, n_dropped and kept.  Rows with one doc_id are one document; a null doc_id is
-    one too, larger than all others.  Empty and short lines always stay.
+    Returns docs with n_lines, n_dropped and kept, with a _ in front where docs has columns of these names.  Rows with
+    one doc_id are one document; a null doc_id is one too, larger than all others.  Empty and short lines always
+    stay, null texts are one empty line, an empty table gives none.  Texts of any length are read whole.
     """
     pairs = cut(line_pairs(docs, least), "pairs")
     index = LineIndex(docs.sparkSession)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kinetra.llm.common import cut, spare
+from kinetra.llm.common import cut, quoted, spare
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,66 +25,90 @@ def count_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _ranked(totals: DataFrame) -> DataFrame:
+    """totals with nth: the place of its source, from 0, in code-point order with null last.
+
+    Ranges of sources are dealt out to tasks and ranked there; only one row a range is summed up in one task.
+    """
+    by_name = F.col("source").asc_nulls_last()
+    ranges = cut(totals.repartitionByRange(by_name).withColumn("range", F.spark_partition_id()), "ranges")
+    counts = ranges.groupBy("range").agg(F.count(F.lit(1)).alias("sources"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("range", F.coalesce(F.sum("sources").over(before), F.lit(0)).alias("offset"))
+    inside = F.row_number().over(Window.partitionBy("range").orderBy(by_name)) - 1
+    return ranges.withColumn("inside", inside).join(offsets, "range").select(*totals.columns, (F.col("offset") + F.col("inside")).alias("nth"))
+
+
 def source_targets(totals: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """(source, source_size) to the same with target: a weighted share of the budget, filled like water.
 
     Sources in code-point order, null last, take the weights in turn.  The budget is share times the
     sum of all sizes; no target exceeds most times its source's size, and what is cut off goes to
     the others by weight until none is above.  Where share is over most, every source is at its limit.
-    There is one row per source here, and only these rows meet in one task.
+    Each round of sharing is an aggregate over the sources; the driver sees sums by weight.
     """
-    everything = Window.partitionBy()
-    by_name = everything.orderBy(F.col("source").asc_nulls_last())
-    w = F.element_at(F.array(*map(F.lit, map(float, weights))), (F.row_number().over(by_name) - 1) % len(weights) + 1)
-    limit = F.col("source_size") * F.lit(float(most))
-    fill = everything.orderBy(F.col("limit") / F.col("weight"), F.col("source").asc_nulls_last())
-    before, rest = fill.rowsBetween(Window.unboundedPreceding, -1), fill.rowsBetween(0, Window.unboundedFollowing)
-    level = (F.lit(float(share)) * F.sum("source_size").over(everything) - F.coalesce(F.sum("limit").over(before), F.lit(0.0))) / F.sum("weight").over(rest)
-    return (
-        totals.withColumn("weight", w)
-        .withColumn("limit", limit)
-        .withColumn("level", level)
-        .withColumn("level", F.max(F.when(F.col("level") * F.col("weight") <= F.col("limit"), F.col("level"))).over(everything))
-        .select("source", "source_size", F.least(F.col("limit"), F.coalesce(F.col("level") * F.col("weight"), F.col("limit"))).alias("target"))
-    )
-
-
-def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int = 1 << 13) -> np.ndarray:
+    w = F.element_at(F.array(*map(F.lit, map(float, weights))), (F.col("nth") % len(weights) + 1).cast("int"))
+    sources = cut(_ranked(totals).select("source", "source_size", w.alias("weight")), "weights")
+    limit, level, full = F.col("source_size") * F.lit(float(most)), 0.0, -1
+    while True:  # the level only rises, so sources only leave the sharing
+        at_limit = F.lit(level) * F.col("weight") >= limit
+        rows = sources.groupBy("weight").agg(
+            F.sum("source_size").alias("size"), F.coalesce(F.sum(F.when(at_limit, F.col("source_size"))), F.lit(0)).alias("cut"),
+            F.count_if(at_limit).alias("full"), F.count_if(~at_limit).alias("open"),
+        ).orderBy("weight").collect()
+        now, shared = sum(r["full"] for r in rows), sum(r["open"] * r["weight"] for r in rows)
+        if now == full or not shared:
+            break
+        full, level = now, max(level, (share * sum(r["size"] for r in rows) - most * sum(r["cut"] for r in rows)) / shared)
+    return sources.select("source", "source_size", F.least(limit, F.lit(level) * F.col("weight") if any(r["open"] for r in rows) else limit).alias("target"))
+
+
+def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int = 1 << 13, seed: int = 17) -> np.ndarray:
     """How many documents of each length to take so that their words come as near to budget as can be.
 
-    First a proportional share of every length, then whole documents from the longest down until less
-    than window plus one document is missing, then an exact bounded knapsack over that rest: the
-    programme finds the sum nearest below it, among all that the remaining documents can make.
+    First a proportional share of every length, rounded so that among any stretch of lengths the number taken is within
+    one of the proportion: the fractions are added up from the shortest length on, from a seeded start, and whole
+    documents taken as the sum passes whole numbers.  What that leaves over or short is about one document.  Documents
+    that come nearest make it less than window, then an exact bounded knapsack fits the rest: it finds
+    the sum nearest below, among all that the remaining documents can make.
     """
-    lengths, counts = np.asarray(lengths, dtype=np.int64), np.asarray(counts, dtype=np.int64)
-    order = np.argsort(-lengths, kind="stable")
+    lengths, counts = np.asarray(lengths, dtype=np.int64), np.where(np.asarray(lengths) > 0, counts, 0).astype(np.int64)
     total = int((lengths * counts).sum())
-    take = np.zeros_like(counts)
     if budget <= 0 or total == 0:
-        return take
+        return np.zeros_like(counts)
     if budget >= total:
-        return np.where(lengths > 0, counts, 0)
-    take = np.array([int(c) * budget // total for c in counts], dtype=np.int64)
-    take[lengths <= 0] = 0
+        return counts
+    order = np.argsort(lengths, kind="stable")
+    start = np.random.default_rng(seed).random()
+    passed = np.floor(np.cumsum(counts[order]) * (budget / total) + start).astype(np.int64)
+    take = np.empty_like(counts)
+    take[order] = np.clip(np.diff(passed, prepend=0), 0, counts[order])
     rest = budget - int((take * lengths).sum())
-    for i in order:
+    while rest < 0:  # give back the shortest document that is enough, or else the longest
+        held = order[take[order] > 0]
+        one = next((i for i in held if lengths[i] >= -rest), held[-1])
+        take[one] -= 1
+        rest += int(lengths[one])
+    for i in order[::-1]:
         if rest <= window:
             break
-        if lengths[i] > 0:
-            k = min(int(counts[i] - take[i]), (rest - window) // int(lengths[i]))
-            take[i] += k
-            rest -= k * int(lengths[i])
-    return take + _knapsack(lengths, counts - take, rest)
+        k = min(int(counts[i] - take[i]), rest // int(lengths[i])) if lengths[i] > 0 else 0
+        take[i] += k
+        rest -= k * int(lengths[i])
+    return take + _knapsack(lengths, counts - take, rest, seed)
+
 
+def _knapsack(lengths: np.ndarray, free: np.ndarray, rest: int, seed: int = 17) -> np.ndarray:
+    """Bounded knapsack: counts per length whose words sum to the largest reachable value up to rest.
 
-def _knapsack(lengths: np.ndarray, free: np.ndarray, rest: int) -> np.ndarray:
-    """Bounded knapsack: counts per length whose words sum to the largest reachable value up to rest."""
+    Lengths come in a seeded order, so that no kind of document is preferred.
+    """
     out = np.zeros_like(free)
     reached = np.zeros(rest + 1, dtype=bool)
     reached[0] = True
     #: For each sum first made with length i: that i, and how many of it the sum holds.
     last, held = np.full(rest + 1, -1, dtype=np.int32), np.zeros(rest + 1, dtype=np.int32)
-    for i in np.argsort(-lengths, kind="stable"):
+    for i in np.random.default_rng(seed).permutation(lengths.size):
         step, most = int(lengths[i]), int(free[i])
         if step <= 0 or most <= 0 or step > rest:
             continue
@@ -114,56 +138,84 @@ def _fit_source(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"source": group["source"], "size": group["size"], "n": group["n"], "passes": passes, "extra": extra})
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, seed: int = 17, slice_rows: int = 4096) -> DataFrame:
-    """Every row (doc_id, source, size, source_size, target, copies): how often the mix takes each document.
+def _row_key(docs: DataFrame, seed: int) -> list[Column]:
+    """Two seeded 64-bit hashes of a whole row; which columns are null counts too."""
+    whole = [c for name in docs.columns for c in (docs[quoted(name)].isNull(), docs[quoted(name)])]
+    return [F.xxhash64(F.lit(seed + i), *whole) for i in (0, 1)]
 
-    docs needs doc_id, text, source; other columns are ignored.  A null or empty text has no words and is
-    never taken.  A null source is a source of its own.  Rows with equal doc_id count and are chosen
-    as rows; equal rows are alike, and which of them is taken makes no difference.
-    No group is gathered whole: documents of one source and length are counted in slices of a seeded
-    hash of about slice_rows rows each; slices below the wanted number go in whole, and only the slice
-    on the edge is ranked.
+
+def _choose(docs: DataFrame, weights, share: float, most: float, seed: int, slice_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct rows (k1, k2, doc_id, source, size, n, passes, more) and the sources' targets.
+
+    k1, k2 are a hash of the whole row and n is how often it occurs; more of these n are taken once more than passes.
     """
-    sized = cut(docs.select("doc_id", "source", count_words(F.col("text")).alias("size")), "sizes")
-    counts = cut(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "lengths")
+    k1, k2 = _row_key(docs, seed)
+    sized = docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), k1.alias("k1"), k2.alias("k2"))
+    sized = cut(sized.groupBy("k1", "k2").agg(*(F.first(c).alias(c) for c in ("doc_id", "source", "size")), F.count(F.lit(1)).alias("n")), "sizes")
+    counts = cut(sized.groupBy("source", "size").agg(F.sum("n").alias("n")), "lengths")
     targets = cut(source_targets(counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, share, most), "targets")
     keyed = counts.join(targets, counts["source"].eqNullSafe(targets["source"])).select(counts["source"], "size", "n", "source_size", "target")
     fitted = cut(keyed.groupBy("source").applyInPandas(_fit_source, "source string, size long, n long, passes long, extra long"), "fitted")
 
-    hashed = F.xxhash64(F.lit(seed), "doc_id")
-    plan = fitted.select(F.col("source").alias("s"), F.col("size").alias("z"), "n", "passes", "extra", (F.ceil(F.col("n") / slice_rows)).cast("long").alias("slices"))
-    known = sized.join(plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")), "left").select(
-        "doc_id", "source", "size", "passes", "extra", hashed.alias("h"), F.pmod(hashed, F.col("slices")).alias("slice")
-    )
-    split = known.filter((F.col("extra") > 0))
-    per_slice = split.groupBy("source", "size", "slice", "extra").agg(F.count(F.lit(1)).alias("m"))
+    plan = fitted.select(F.col("source").alias("s"), F.col("size").alias("z"), "passes", "extra", F.ceil(F.col("n") / slice_rows).cast("long").alias("slices"))
+    known = sized.join(plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))).drop("s", "z")
+    known = known.withColumn("slice", F.pmod("k1", "slices")).drop("slices")
+    per_slice = known.filter("extra > 0").groupBy("source", "size", "slice", "extra").agg(F.sum("n").alias("m"))
     up_to = Window.partitionBy("source", "size").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    per_slice = per_slice.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("slice").alias("c"), "m", (F.col("extra") - F.coalesce(F.sum("m").over(up_to), F.lit(0))).alias("left"))
+    left = F.col("extra") - F.coalesce(F.sum("m").over(up_to), F.lit(0))
+    per_slice = per_slice.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("slice").alias("c"), "m", left.alias("left"))
     per_slice = cut(per_slice.filter(F.col("left") > 0), "slices")
     at_slice = F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("slice") == F.col("c"))
-    chosen = known.join(per_slice, at_slice, "left").drop("s", "z", "c")
-    edge = F.col("left").isNotNull() & (F.col("left") < F.col("m"))
-    rank = F.row_number().over(Window.partitionBy("source", "size", "slice").orderBy("h", "doc_id"))
-    chosen = cut(chosen, "chosen")
-    picked = chosen.filter(~edge | F.col("left").isNull()).withColumn("more", F.col("left").isNotNull().cast("long"))
-    ranked = chosen.filter(edge).withColumn("more", (rank <= F.col("left")).cast("long"))
-    rows = picked.unionByName(ranked).select("doc_id", "source", "size", (F.when(F.col("size") > 0, F.coalesce("passes", F.lit(0)) + F.col("more")).otherwise(F.lit(0))).alias("copies"))
+    dealt = cut(known.join(per_slice, at_slice, "left").drop("s", "z", "c", "extra"), "chosen")
+    edge = F.coalesce(F.col("left") < F.col("m"), F.lit(False))
+    before = Window.partitionBy("source", "size", "slice").orderBy("k1", "k2").rowsBetween(Window.unboundedPreceding, -1)
+    whole = dealt.filter(~edge).withColumn("more", F.when(F.col("left").isNotNull(), F.col("n")).otherwise(0))
+    on_edge = dealt.filter(edge).withColumn("more", F.greatest(F.lit(0), F.least("n", F.col("left") - F.coalesce(F.sum("n").over(before), F.lit(0)))))
+    rows = whole.unionByName(on_edge).select("k1", "k2", "doc_id", "source", "size", "n", "passes", F.col("more").cast("long").alias("more"))
+    return rows, targets
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, seed: int = 17, slice_rows: int = 1024) -> DataFrame:
+    """Every row (doc_id, source, size, source_size, target, copies): how often the mix takes each document.
+
+    docs needs doc_id, text, source; other columns only tell rows apart.  A null or empty text has no words and is
+    never taken.  A null source is a source of its own.  Rows with equal doc_id are chosen each for
+    itself; rows equal in all columns are alike, and so many of them as wanted are taken.  An empty table gives none.
+    Very long texts count whole; one longer than the budget of its source's last pass is left out of that pass.
+    No group is gathered whole: documents of one source and length are counted in slices of a seeded
+    hash of about slice_rows rows each; slices below the wanted number go in whole, and only the slice
+    on the edge is ranked.  Equal rows are one row with a number there.
+    """
+    rows, targets = _choose(docs, weights, share, most, seed, slice_rows)
+    has_words = (F.col("size") > 0).cast("long")
+    kinds = F.array(*(F.struct((F.col("passes") * has_words + k).alias("copies"), times.alias("times")) for k, times in ((1, F.col("more")), (0, F.col("n") - F.col("more")))))
+    each = rows.select("doc_id", "source", "size", F.inline(kinds)).filter("times > 0")
+    each = each.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).drop("times", "nth")
     t = targets.select(F.col("source").alias("s"), "source_size", "target")
-    return rows.join(t, rows["source"].eqNullSafe(t["s"]), "left").drop("s")
+    return each.join(t, each["source"].eqNullSafe(t["s"])).select("doc_id", "source", "size", "source_size", "target", "copies")
 
 
-def mix_documents(docs: DataFrame, **options) -> DataFrame:
+def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, seed: int = 17, slice_rows: int = 1024) -> DataFrame:
     """The mixed corpus: each document's row as often as the mix takes it, numbered from 1 in column copy.
 
-    Rows with equal doc_id and text are taken alike: each of them gets the number of the one with the most.
+    Rows are told apart by all their columns.  Rows that are equal in all of them are numbered through together, in
+    parts of ten thousand copies that are made in tasks of their own.  Null and empty texts are never taken.
     """
-    key = spare("mix_doc_id", docs.columns)
-    size = spare("mix_size", docs.columns)
-    copies = spare("mix_copies", docs.columns)
-    times = (
-        mix(docs, **options).filter(F.col("copies") > 0)
-        .groupBy(F.col("doc_id").alias(key), F.col("size").alias(size)).agg(F.max("copies").alias(copies))
-    )
-    joined = docs.join(times, docs["doc_id"].eqNullSafe(times[key]) & (count_words(docs["text"]) == times[size]))
+    rows, _ = _choose(docs, weights, share, most, seed, slice_rows)
+    names = [spare(c, docs.columns) for c in ("mix_k1", "mix_k2", "mix_rows", "mix_copies", "mix_row")]
+    total = (F.col("n") * F.col("passes") + F.col("more")).alias(names[3])
+    times = rows.filter("size > 0").select(F.col("k1").alias(names[0]), F.col("k2").alias(names[1]), F.col("n").alias(names[2]), total).filter(F.col(names[3]) > 0)
+    k1, k2 = _row_key(docs, seed)
+    keyed = docs.withColumns({names[0]: k1, names[1]: k2})
+    columns = [quoted(c) for c in docs.columns]
     out = spare("copy", docs.columns)
-    return joined.select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))).alias(out))
+    one = F.lit(1).cast("long")
+    single = keyed.join(times.filter(F.col(names[2]) == 1), names[:2]).select(*columns, F.explode(F.sequence(one, F.col(names[3]))).alias(out))
+    again = times.filter(F.col(names[2]) > 1)
+    if again.isEmpty():
+        return single
+    part = 10_000
+    alike = keyed.join(again, names[:2]).groupBy(*names[:2]).agg(F.first(F.struct(*columns)).alias(names[4]), F.first(names[3]).alias(names[3]))
+    starts = alike.select(*names[:2], names[4], names[3], F.explode(F.sequence(one, F.col(names[3]), F.lit(part).cast("long"))).alias(names[2])).repartition(*names[:3])
+    copies = F.explode(F.sequence(F.col(names[2]), F.least(F.col(names[2]) + part - 1, F.col(names[3]))))
+    return single.unionByName(starts.select(F.col(names[4]), copies.alias(names[2])).select(f"{names[4]}.*", F.col(names[2]).alias(out)))
