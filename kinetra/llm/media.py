@@ -1,7 +1,8 @@
 """Media columns: WAV bytes written and read by the wave module, and spectral fingerprints of them.
 
 The features are those of audio matching: short-time Fourier transforms, local spectral peaks, and pairs
-of a peak with the next ones, kept as arrays of time, two frequency bins and time difference.
+of a peak with the next ones, kept as time-coded arrays: the time of each pair and its code of two frequency bins
+and their time difference.
 """
 
 from __future__ import annotations
@@ -62,16 +63,16 @@ def fingerprint(samples: bytes, per_frame: int = 3, reach: int = 3, block: int =
     """Rows (time, bin, later bin, time difference) of spectral-peak pairs, int32, in time order.
 
     Frames of 576 samples, half overlapping; per_frame peaks of each frame, each paired with all peaks of
-    the next reach frames.  Frames are taken block by block, with one frame more on either side, so that
-    memory doesn't grow with the recording and the blocks' borders don't show in the result.
+    the next reach frames.  Frames are transformed block by block, with one frame more on either side, so that the
+    blocks' borders don't show in the result; besides the samples only the peaks and pairs grow with the recording.
     """
-    x = np.frombuffer(samples, dtype=np.uint8).astype(np.float32) - np.float32(128)
-    n = 1 + (x.size - FRAME) // HOP
-    frames = np.lib.stride_tricks.sliding_window_view(x, FRAME)[::HOP]
+    raw = np.frombuffer(samples, dtype=np.uint8)
+    n = 1 + (raw.size - FRAME) // HOP
     times, bins = [], []
     for start in range(0, n, block):
         lo, hi = max(0, start - 1), min(n, start + block + 1)
-        spectrum = np.fft.rfft(frames[lo:hi] * _HANN)
+        x = raw[lo * HOP : (hi - 1) * HOP + FRAME].astype(np.float32) - np.float32(128)
+        spectrum = np.fft.rfft(np.lib.stride_tricks.sliding_window_view(x, FRAME)[::HOP] * _HANN)
         power = spectrum.real**2 + spectrum.imag**2
         t, f = _peaks(power, start - lo, min(n, start + block) - lo, per_frame)
         times.append(t + lo)
@@ -88,9 +89,19 @@ def fingerprint(samples: bytes, per_frame: int = 3, reach: int = 3, block: int =
     return out[np.lexsort(out.T[::-1])]
 
 
-def feature_text(codes: np.ndarray) -> str:
-    """Number of pairs, frames they span and SHA-256 of the codes as little-endian int32."""
-    return f"pairs={len(codes)};last={int(codes[-1, 0]) if len(codes) else -1};sha256={hashlib.sha256(codes.astype('<i4').tobytes()).hexdigest()}"
+def pack(pairs: np.ndarray) -> np.ndarray:
+    """One int32 for each pair: bin * 2**13 + later bin * 2**4 + time difference."""
+    return (pairs[:, 1] << 13) | (pairs[:, 2] << 4) | pairs[:, 3]
+
+
+def unpack(code: np.ndarray) -> np.ndarray:
+    """Rows (bin, later bin, time difference) of codes."""
+    return np.stack([code >> 13, code >> 4 & 511, code & 15], axis=1)
+
+
+def feature_text(pairs: np.ndarray) -> str:
+    """Number of pairs, frames they span and SHA-256 of the rows as little-endian int32."""
+    return f"pairs={len(pairs)};last={int(pairs[-1, 0]) if len(pairs) else -1};sha256={hashlib.sha256(pairs.astype('<i4').tobytes()).hexdigest()}"
 
 
 def store_media(docs: DataFrame) -> DataFrame:
@@ -108,28 +119,37 @@ def store_media(docs: DataFrame) -> DataFrame:
     return cut(docs.select("doc_id", F.octet_length(raw).cast("long").alias("n_bytes"), make(raw).alias("media")), "media")
 
 
-def media_columns(stored: DataFrame, codes: bool = True) -> DataFrame:
-    """Digests and features of stored media, all from the bytes read back.
+def media_columns(stored: DataFrame) -> DataFrame:
+    """Digests, features and fingerprints of stored media (doc_id, n_bytes, media), all from the bytes read back.
 
-    Adds payload_bytes, payload_sha256, tail_crc32 (of the last 32 payload bytes), media_bytes,
-    media_sha256, feature and, if asked for, the codes: array of struct time, bin, later bin, time difference.
+    doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32 (of the last 32 payload bytes), media_bytes, media_sha256,
+    feature, and the fingerprints as codes: array of struct time, pair (see pack()), in order of time.  Null ids stay
+    null, repeated rows stay, an empty table gives none; a recording of any length is read whole.
     """
-    kinds = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string" + ", codes array<int>" * codes
+    kinds = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, codes array<struct<time:int,pair:int>>"
 
     def read(batches):
-        for media in batches:
-            rows = []
-            for m in map(bytes, media):
-                payload = from_wav(m)
-                found = fingerprint(payload)
-                row = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(m), hashlib.sha256(m).hexdigest(), feature_text(found))
-                rows.append(row + ((found.ravel(),) if codes else ()))
-            yield pd.DataFrame(rows, columns=[k.split()[0] for k in kinds.split(", ")])
-
-    got = F.pandas_udf(read, kinds, F.PandasUDFType.SCALAR_ITER)
-    out = stored.select("doc_id", "n_bytes", got("media").alias("m")).select("doc_id", "n_bytes", "m.*")
-    if codes:
-        at = lambda k: F.get("codes", k)
-        each = F.transform(F.sequence(F.lit(0), (F.size("codes") / 4).cast("int") - 1), lambda i: F.struct(at(4 * i).alias("time"), at(4 * i + 1).alias("bin"), at(4 * i + 2).alias("later_bin"), at(4 * i + 3).alias("time_difference")))
-        out = out.withColumn("codes", F.when(F.size("codes") > 0, each).otherwise(F.array().cast("array<struct<time:int,bin:int,later_bin:int,time_difference:int>>")))
-    return out
+        import pyarrow as pa
+
+        names, types = [k.split()[0] for k in kinds.split(", ")], (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+
+        def emit(ids, rows, found):
+            ends = np.cumsum([0, *map(len, found)])
+            pairs = np.concatenate([np.zeros((0, 4), dtype=np.int32), *found])
+            each = pa.StructArray.from_arrays([pa.array(x, type=pa.int32()) for x in (pairs[:, 0], pack(pairs))], ["time", "pair"])
+            plain = [pa.array(x, type=t) for x, t in zip(zip(*rows, strict=True) if rows else [()] * 6, types, strict=True)]
+            return pa.RecordBatch.from_arrays([*ids, *plain, pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), each)], names)
+
+        for batch in batches:
+            rows, found, start, size = [], [], 0, 0
+            for i, cell in enumerate(batch.column("media")):
+                media = cell.as_py()
+                payload = from_wav(media)
+                found.append(fingerprint(payload))
+                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature_text(found[-1])))
+                size += len(found[-1])
+                if size > 1 << 20 or i == batch.num_rows - 1:  # a batch of long recordings goes on in parts
+                    yield emit([batch.column(c).slice(start, i + 1 - start) for c in ("doc_id", "n_bytes")], rows, found)
+                    rows, found, start, size = [], [], i + 1, 0
+
+    return stored.select("doc_id", "n_bytes", "media").mapInArrow(read, kinds)

@@ -49,7 +49,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.media_columns(media.store_media(table(spark, sf_dir, "documents")), codes=False)
+    return media.media_columns(media.store_media(table(spark, sf_dir, "documents")))
 
 
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
