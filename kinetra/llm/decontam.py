@@ -2,85 +2,148 @@
 
 Patterns are runs of ten words of a benchmark item (or the whole item, if it has fewer).  Patterns of one
 length share a table: a shift for each block of two words says how far the search may jump, zero shifts
-lead to a bucket of patterns by a hash of their last words, and each is compared word by word.
+lead to a bucket of patterns by a hash of their last words, and each is compared word by word.  The tables are
+arrays of numbers, built once and sent to the tasks: a few bytes for each word of the benchmark.
 """
 
 from __future__ import annotations
 
-import hashlib
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinetra.llm.common import NO_ID, cut, spare, text_bytes
+from kinetra.llm.common import BROADCAST_ROWS, NO_ID, NOT_ALNUM, columns, cut, mix64, quoted, spare, text_bytes, word_hashes
+
 
-#: Bytes that are no part of a word become spaces, A-Z become a-z: words are [^\x00-\x2F\x3A-\x60\x7B-\x7F]+.
-_TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+class Vocabulary:
+    """The benchmark's words, numbered by the order of their hashes."""
 
+    def __init__(self, texts: list[bytes]):
+        found: dict[int, bytes] = {}
+        for data in texts:
+            low = data.lower()
+            hashes, starts, ends = word_hashes(data, NOT_ALNUM)
+            once, at = np.unique(hashes, return_index=True)
+            for h, a, b in zip(once.tolist(), starts[at].tolist(), ends[at].tolist(), strict=True):
+                if found.setdefault(h, low[a:b]) != low[a:b]:
+                    raise ValueError("two words have one hash")
+        self.hashes = np.array(sorted(found), dtype=np.uint64)
+        self.words = [found[h] for h in self.hashes.tolist()]
 
-def words(data: bytes) -> list[bytes]:
-    return data.translate(_TABLE).split()
+    def number(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of words given by hash, -1 for words the benchmark doesn't have."""
+        if not self.hashes.size:
+            return np.full(hashes.size, -1, dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), self.hashes.size - 1)
+        return np.where(self.hashes[at] == hashes, at, -1)
 
 
 class WuManber:
-    """Search tables for patterns of equal length, given as tuples of words with the items they are from."""
-
-    def __init__(self, patterns: dict[tuple[bytes, ...], frozenset]):
-        self.length = m = len(next(iter(patterns)))
-        self.block = b = min(2, m)
-        self.far = m - b + 1
-        self.shift: dict = {}
-        self.buckets: dict = {}
-        for pattern, items in patterns.items():
-            for end in range(b, m + 1):
-                key = pattern[end - b : end]
-                jump = m - end
-                if self.shift.get(key, self.far) > jump:
-                    self.shift[key] = jump
-            self.buckets.setdefault(hash(pattern[-min(3, m) :]), []).append((pattern, items))
-
-    def search(self, text: list[bytes]):
-        """(first word, items) of every occurrence, from left to right."""
-        m, b, far, shift, buckets, suffix = self.length, self.block, self.far, self.shift, self.buckets, min(3, self.length)
-        end, n = m, len(text)
+    """Search tables for the runs of m words that start at given places of an array of word numbers."""
+
+    def __init__(self, numbers: np.ndarray, starts: np.ndarray, items: np.ndarray, m: int, size: int):
+        self.numbers, self.length, self.size = numbers, m, size
+        self.block, self.suffix, self.far = min(2, m), min(3, m), m - min(2, m) + 1
+        keys, jumps = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint8)
+        for end in range(m, self.block - 1, -1):  # least shifts first: a block keeps the first it gets
+            new = np.unique(self._blocks(numbers, starts + end))
+            if keys.size:
+                new = new[keys[np.minimum(np.searchsorted(keys, new), keys.size - 1)] != new]
+            both = np.concatenate([keys, new])
+            order = np.argsort(both, kind="stable")
+            keys, jumps = both[order], np.concatenate([jumps, np.full(new.size, m - end, dtype=np.uint8)])[order]
+        self.keys, self.jumps = keys, jumps
+        # Equal runs of several items are one pattern.
+        runs = [self._hash(numbers, starts + m, m, salt) for salt in (1, 2)]
+        last = self._hash(numbers, starts + m, self.suffix, 0)
+        order = np.lexsort((items, runs[1], runs[0], last))
+        new = np.ones(order.size, dtype=bool)
+        new[1:] = (np.diff(np.stack([x[order] for x in (last, *runs)])) != 0).any(axis=0)
+        first = np.flatnonzero(new)
+        self.bucket, self.start, self.items = last[order][first], starts[order][first], items[order]
+        self.item_range = np.concatenate([first, [order.size]])
+
+    def _blocks(self, numbers: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A number for the block of words before each end; negative where a word is unknown."""
+        if self.block == 1:
+            return numbers[ends - 1]
+        a, b = numbers[ends - 2], numbers[ends - 1]
+        return np.where((a < 0) | (b < 0), -1, a * self.size + b)
+
+    def _hash(self, numbers: np.ndarray, ends: np.ndarray, words: int, salt: int) -> np.ndarray:
+        out = np.full(ends.size, salt, dtype=np.uint64)
+        for k in range(words, 0, -1):
+            out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + numbers[ends - k].astype(np.uint64))
+        return out
+
+    def search(self, text: np.ndarray):
+        """(end, pattern) of every occurrence in an array of word numbers, from left to right."""
+        m = self.length
+        if text.size < m or not self.keys.size:
+            return
+        blocks = self._blocks(text, np.arange(self.block, text.size + 1))
+        at = np.minimum(np.searchsorted(self.keys, blocks), self.keys.size - 1)
+        jump = np.where(self.keys[at] == blocks, self.jumps[at], self.far).tolist()
+        end, n, ends = m, text.size, []
         while end <= n:
-            jump = shift.get((text[end - 2], text[end - 1]) if b == 2 else (text[end - 1],), far)
-            if jump:
-                end += jump
-                continue
-            for pattern, items in buckets.get(hash(tuple(text[end - suffix : end])), ()):
-                if tuple(text[end - m : end]) == pattern:
-                    yield end - m, items
-            end += 1
-
-
-def build(items: list[tuple[int | None, bytes]], window: int) -> list[WuManber]:
-    """One set of tables for each pattern length: all windows of long items, and the short items whole."""
-    by_length: dict[int, dict] = {}
-    for item, data in items:
-        ws = words(data)
-        m = min(window, len(ws))
-        for i in range(len(ws) - m + 1 if m else 0):
-            by_length.setdefault(m, {}).setdefault(tuple(ws[i : i + m]), set()).add(item)
-    return [WuManber({p: frozenset(ids) for p, ids in found.items()}) for _, found in sorted(by_length.items())]
-
-
-def scan(tables: list[WuManber], data: bytes) -> tuple[int, list[tuple[int, int]], set]:
-    """Number of words, merged spans of hit words and the items that occur."""
-    ws, found, spans = words(data), set(), []
-    for t in tables:
-        for start, items in t.search(ws):
-            found |= items
-            spans.append((start, start + t.length))
-    spans.sort()
+            j = jump[end - self.block]
+            if not j:
+                ends.append(end)
+            end += j or 1
+        if not ends:
+            return
+        last = self._hash(text, np.array(ends), self.suffix, 0)
+        lo, hi = np.searchsorted(self.bucket, last), np.searchsorted(self.bucket, last, side="right")
+        for k in np.flatnonzero(hi > lo).tolist():
+            window = text[ends[k] - m : ends[k]]
+            for g in range(int(lo[k]), int(hi[k])):
+                if (self.numbers[self.start[g] : self.start[g] + m] == window).all():
+                    yield ends[k], g
+
+    def items_of(self, pattern: int) -> np.ndarray:
+        return self.items[self.item_range[pattern] : self.item_range[pattern + 1]]
+
+
+class Tables:
+    """Everything the search needs of a list of (item, text): all windows of long items, and the short items whole."""
+
+    def __init__(self, items: list[tuple[int, bytes]], window: int):
+        self.vocabulary = Vocabulary([data for _, data in items])
+        each = [self.vocabulary.number(word_hashes(data, NOT_ALNUM)[0]) for _, data in items]
+        sizes = np.array([x.size for x in each], dtype=np.int64)
+        numbers = np.concatenate([np.zeros(0, dtype=np.int64), *each])
+        firsts = np.cumsum(sizes) - sizes
+        self.searches = []
+        for m in sorted({min(window, int(n)) for n in sizes} - {0}):
+            own = [i for i, n in enumerate(sizes) if min(window, int(n)) == m]
+            starts = np.concatenate([firsts[i] + np.arange(sizes[i] - m + 1) for i in own])
+            names = np.repeat(np.array([items[i][0] for i in own], dtype=np.int64), [sizes[i] - m + 1 for i in own])
+            self.searches.append(WuManber(numbers, starts, names, m, len(self.vocabulary.words)))
+
+    def scan(self, data: bytes) -> tuple[int, list[tuple[int, int]], set]:
+        """Number of words, merged spans of hit words and the items that occur."""
+        hashes, starts, ends = word_hashes(data, NOT_ALNUM)
+        text, found, spans, low = self.vocabulary.number(hashes), set(), [], None
+        for table in self.searches:
+            for end, pattern in table.search(text):
+                low = data.lower() if low is None else low
+                first = end - table.length
+                if all(low[starts[k] : ends[k]] == self.vocabulary.words[text[k]] for k in range(first, end)):
+                    found.update(table.items_of(pattern).tolist())
+                    spans.append((first, end))
+        return int(hashes.size), merge(spans), found
+
+
+def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans that touch or overlap made one."""
     merged: list[tuple[int, int]] = []
-    for a, b in spans:
+    for a, b in sorted(spans):
         if merged and a <= merged[-1][1]:
             merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
         else:
             merged.append((a, b))
-    return len(ws), merged, found
+    return merged
 
 
 def _blocks(benchmark: DataFrame, most_bytes: int) -> list[DataFrame]:
@@ -91,52 +154,69 @@ def _blocks(benchmark: DataFrame, most_bytes: int) -> list[DataFrame]:
     return [benchmark.filter(part == i) if n > 1 else benchmark for i in range(n)]
 
 
-def find_items(docs: DataFrame, benchmark: DataFrame, window: int = 10, most_bytes: int = 4 << 20) -> DataFrame:
+def _search(docs: DataFrame, block: DataFrame, window: int):
+    """A column function: bytes of a text to (n, spans as flat numbers, items), with the tables of this part."""
+    rows = block.select("item_id", text_bytes().alias("data")).toLocalIterator()
+    given = docs.sparkSession.sparkContext.broadcast(Tables([(NO_ID if r["item_id"] is None else r["item_id"], bytes(r["data"])) for r in rows], window))
+
+    def search(batches):
+        tables = given.value
+        for data in batches:
+            found = [tables.scan(bytes(x)) for x in data]
+            yield pd.DataFrame({
+                "n": [n for n, _, _ in found],
+                "spans": [[x for ab in s for x in ab] for _, s, _ in found],
+                "items": [sorted(k) for _, _, k in found],
+            })
+
+    return F.pandas_udf(search, "n long, spans array<long>, items array<long>", F.PandasUDFType.SCALAR_ITER)
+
+
+def find_items(docs: DataFrame, benchmark: DataFrame, window: int = 10, most_bytes: int = 16 << 20) -> DataFrame:
     """docs with three more columns: n_words, hit_spans (array of start, end in words) and hit_items.
 
     docs needs text, benchmark needs item_id and text; further columns stay.  A null or empty text has no
     words and is never hit; a null or empty item has no pattern; a null item_id comes back as NO_ID.  An
-    item in several rows is one item with the patterns of all.  Added columns get a _ in front where the
-    input has one of that name.
-    The search tables are broadcast: the benchmark's size is read first, and at most most_bytes of its
-    text are in tables at a time.  A larger benchmark takes several passes over the documents, each
-    with another part, and the passes' spans and items are merged; nothing is left out.
+    item in several rows is one item with the patterns of all.  Repeated documents are searched each, texts of any
+    length whole; an empty table gives none.  Added columns get a _ in front where the input has one of that name.
+    The search tables are built once and broadcast: the benchmark's size is read first, and at most most_bytes of its
+    text are in tables at a time.  A larger benchmark takes several passes that read the texts and write only
+    what they hit, by a hash of the text; one join brings all hits to the documents, and nothing is left out.
     """
-    spark = docs.sparkSession
     names = {c: spare(c, docs.columns) for c in ("n_words", "hit_spans", "hit_items")}
-    spans, items = (spare(c, docs.columns) for c in ("spans", "items"))
+    hit, own = spare("hit", docs.columns), columns(docs)
     blocks = _blocks(benchmark.select("item_id", "text"), most_bytes)
-    kept, out = docs.columns, docs
-    for i, block in enumerate(blocks):
-        rows = [(r["item_id"], r["data"]) for r in block.select("item_id", text_bytes().alias("data")).toLocalIterator()]
-        given = spark.sparkContext.broadcast(rows)
-
-        def search(batches, given=given):
-            tables = build([(NO_ID if k is None else k, bytes(v)) for k, v in given.value], window)
-            for data in batches:
-                found = [scan(tables, bytes(x)) for x in data]
-                yield pd.DataFrame({
-                    "n": [n for n, _, _ in found],
-                    "spans": [[x for ab in s for x in ab] for _, s, _ in found],
-                    "items": [sorted(k) for _, _, k in found],
-                })
-
-        one = F.pandas_udf(search, "n long, spans array<long>, items array<long>", F.PandasUDFType.SCALAR_ITER)
-        hit = spare("hit", out.columns)
-        out = out.withColumn(hit, one(text_bytes()))
-        more_spans, more_items = F.col(f"{hit}.spans"), F.col(f"{hit}.items")
-        out = out.select(
-            *kept, F.col(f"{hit}.n").alias(names["n_words"]),
-            (F.concat(spans, more_spans) if i else more_spans).alias(spans), (F.concat(items, more_items) if i else more_items).alias(items),
-        )
-        if i < len(blocks) - 1:
-            out = cut(out, "hits")
-    pairs = F.transform(F.sequence(F.lit(0), (F.size(spans) / 2).cast("int") - 1), lambda k: F.struct(F.get(F.col(spans), (2 * k).cast("int")).alias("start"), F.get(F.col(spans), (2 * k + 1).cast("int")).alias("end")))
+    out = docs.withColumn(hit, _search(docs, blocks[0], window)(text_bytes()))
+    n_words, spans, items = (F.col(f"{hit}.{c}") for c in ("n", "spans", "items"))
+    if len(blocks) > 1:
+        key, more_spans, more_items = (spare(c, docs.columns) for c in ("hit_key", "more_spans", "more_items"))
+        digest = F.unhex(F.md5(text_bytes())).alias(key)
+        passes = None
+        for block in blocks[1:]:
+            one = docs.select(digest, text_bytes().alias("data")).withColumn("h", _search(docs, block, window)("data"))
+            one = cut(one.filter(F.size("h.items") > 0).groupBy(key).agg(F.first("h.spans").alias("spans"), F.first("h.items").alias("items")), "hits")
+            passes = one if passes is None else passes.unionByName(one)
+        more = cut(passes.groupBy(key).agg(F.flatten(F.collect_list("spans")).alias(more_spans), F.flatten(F.collect_list("items")).alias(more_items)), "hits")
+        numbers = more.agg(F.sum(F.size(more_spans) + F.size(more_items))).first()[0] or 0
+        more = more.hint("broadcast" if numbers <= BROADCAST_ROWS else "shuffle_hash")
+        out = out.join(more, F.unhex(F.md5(text_bytes())) == F.col(key), "left")
+        none = F.array().cast("array<long>")
+        spans, items = (F.concat(old, F.coalesce(new, none)) for old, new in ((spans, F.col(more_spans)), (items, F.col(more_items))))
+    pairs = F.transform(F.sequence(F.lit(0), (F.size(spans) / 2).cast("int") - 1), lambda k: F.struct(F.get(spans, (2 * k).cast("int")).alias("start"), F.get(spans, (2 * k + 1).cast("int")).alias("end")))
     pairs = F.when(F.size(spans) > 0, pairs).otherwise(F.array().cast("array<struct<start:long,end:long>>"))
     if len(blocks) > 1:
-        zero = F.array().cast("array<struct<start:long,end:long>>")
-        pairs = F.aggregate(F.array_sort(pairs), zero, lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= x["start"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end"))))).otherwise(F.concat(acc, F.array(x))))
-    return out.select(*kept, names["n_words"], pairs.alias(names["hit_spans"]), F.array_sort(F.array_distinct(items)).alias(names["hit_items"]))
+        pairs = _merged()(pairs)
+    return out.select(*own, n_words.alias(names["n_words"]), pairs.alias(names["hit_spans"]), F.array_sort(F.array_distinct(items)).alias(names["hit_items"]))
+
+
+def _merged():
+    """A column function: spans of several passes, made disjoint."""
+
+    def join(batches):
+        for spans in batches:
+            yield pd.Series([[{"start": a, "end": b} for a, b in merge([(x["start"], x["end"]) for x in s])] for s in spans])
+
+    return F.pandas_udf(join, "array<struct<start:long,end:long>>", F.PandasUDFType.SCALAR_ITER)
 
 
 def hit_words(spans: str = "hit_spans"):
@@ -149,11 +229,10 @@ def item_digest(items: str = "hit_items"):
     return F.sha2(F.array_join(F.array_sort(as_text), ","), 256)
 
 
-def sha256_of(ids: list) -> str:
-    return hashlib.sha256(",".join(sorted(map(str, ids))).encode()).hexdigest()
-
-
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """The documents that hold no window of any item, with the columns they came with."""
+    """The documents that hold no window of any item, with the columns they came with.
+
+    Null, empty and wordless texts stay, as do all rows if the benchmark is empty; repeated rows are judged each.
+    """
     found = find_items(docs, benchmark, window)
-    return found.filter(F.size(found.columns[-1]) == 0).select(*docs.columns)
+    return found.filter(F.size(found.columns[-1]) == 0).select(*map(quoted, docs.columns))
