@@ -196,19 +196,19 @@ def _runs(batches, keys: list[str]):
 
 
 def _solve(sets: DataFrame, percent: int, pairs: bool) -> DataFrame:
-    """Edges (a, b) among sets (family, i, j, side, label, k1, tokens), block by block of (family, i, j)."""
+    """Edges (a, b) among sets (family, i, j, side, label, node, tokens), block by block of (family, i, j)."""
 
     def solve(batches):
         for rows in _runs(batches, ["family", "i", "j"]):
             arrays = [np.frombuffer(t, dtype="<u8") for t in rows["tokens"]]
-            k1 = rows["k1"].tolist()
+            node = rows["node"].tolist()
             sides = rows["side"].tolist() if rows["i"].iat[0] != rows["j"].iat[0] else None
             found = link_block(arrays, percent, sides, rows["label"].tolist() if pairs else None)
             if found:
-                yield pd.DataFrame({"a": [k1[x] for x, _ in found], "b": [k1[y] for _, y in found]})
+                yield pd.DataFrame({"a": [node[x] for x, _ in found], "b": [node[y] for _, y in found]})
 
-    dealt = sets.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "k1")
-    return dealt.mapInPandas(solve, "a long, b long")
+    dealt = sets.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "node")
+    return dealt.mapInPandas(solve, "a binary, b binary")
 
 
 def _first_holders(keys: list[int], sigs: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -270,6 +270,12 @@ def _checked(few: DataFrame) -> DataFrame:
     return few.hint("broadcast" if few.count() <= BROADCAST_ROWS else "shuffle_hash")
 
 
+def _node():
+    """All 128 bits of a set's hash as bytes: what links and components name sets by, so that no two sets share a name."""
+    part = lambda c: F.lpad(F.hex(c), 16, "0")
+    return F.unhex(F.concat(part("k1"), part("k2")))
+
+
 def _sets_of(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
     """reps (doc_id, k1, k2, family) with the tokens of their sets, made again from the texts.
 
@@ -293,7 +299,7 @@ def _blocks(sets: DataFrame, block: int, salt: int | None) -> DataFrame:
     sizes = sets.groupBy("family").agg(F.count(F.lit(1)).alias("sets"), F.sum(F.octet_length("tokens")).alias("bytes"))
     n = F.ceil(F.greatest(F.col("sets") / block, F.col("bytes") / (block << 13))).cast("int")
     sizes = cut(sizes.select("family", n.alias("n")), "sizes")
-    dealt = sets.join(_checked(sizes), "family").withColumn("side", F.pmod(F.xxhash64(F.lit(salt or 0), "k1"), "n").cast("int"))
+    dealt = sets.join(_checked(sizes), "family").withColumn("side", F.pmod(F.xxhash64(F.lit(salt or 0), "node"), "n").cast("int"))
     if salt is not None:
         return dealt.withColumn("i", F.col("side")).withColumn("j", F.col("side"))
     other = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
@@ -303,9 +309,11 @@ def _blocks(sets: DataFrame, block: int, salt: int | None) -> DataFrame:
 def _label_sets(docs: DataFrame, n: int, percent: int, block: int, digest: bool = False) -> tuple[DataFrame, DataFrame]:
     """Rows as _describe gives them, and (k1, k2, first, label) of each set: its smallest doc_id and its component.
 
-    Equal sets are one node of all that follows.  Families of more than block sets are first linked inside
+    Equal sets are one node of all that follows.  Families are found by 64-bit hashes, where a collision only makes one
+    larger; links and components go by 128 bits.  Families of more than block sets are first linked inside
     blocks, twice, dealt by different hashes; that is linear and joins nearly all that belongs together.  Only
-    sets that still share a signature with another component are then compared block by block.
+    sets that still share a signature with another component are then compared block by block, each with those that
+    such signatures lead to.
     """
     described = cut(_describe(docs, n, percent, digest), "described")
     postings = described.select(F.explode("sigs").alias("sig"), "k1")
@@ -319,7 +327,7 @@ def _label_sets(docs: DataFrame, n: int, percent: int, block: int, digest: bool
 
     classes = cut(described.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id")), "classes")
     reps = cut(classes.join(families, "k1").select("doc_id", "k1", "k2", "family"), "reps")
-    sets = cut(_sets_of(docs, reps, n).select("k1", "family", "tokens", F.lit(0).cast("long").alias("label")), "sets")
+    sets = cut(_sets_of(docs, reps, n).select("k1", _node().alias("node"), "family", "tokens", F.lit(None).cast("binary").alias("label")), "sets")
     sizes = sets.groupBy("family").agg((F.greatest(F.count(F.lit(1)), F.sum(F.octet_length("tokens")) / (1 << 13)) > block).alias("large"))
     large = cut(sizes.filter("large").select("family"), "large")
     small = sets.join(_checked(large), "family", "left_anti").withColumns({"i": F.lit(0), "j": F.lit(0), "side": F.lit(0)})
@@ -327,18 +335,20 @@ def _label_sets(docs: DataFrame, n: int, percent: int, block: int, digest: bool
     if not large.isEmpty():
         big = sets.join(_checked(large), "family", "left_semi")
         links += [cut(_solve(_blocks(big, block, salt), percent, pairs=False), "links") for salt in (1, 2)]
-        labels = components(links[1].unionByName(links[2])).withColumnRenamed("node", "k1")
-        labelled = big.select("k1").distinct().join(labels, "k1", "left").select("k1", F.coalesce("label", "k1").alias("label"))
+        labels = components(links[1].unionByName(links[2]))
+        labelled = big.select("k1", "node").distinct().join(labels, "node", "left").select("k1", "node", F.coalesce("label", "node").alias("label"))
         own = cut(postings.join(_checked(cut(labelled, "labelled")), "k1"), "own")
         buckets = own.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-        open_ = cut(own.join(buckets, "sig", "left_semi").select("k1", "label").distinct(), "open")
-        rest = big.drop("label").join(_checked(open_), "k1")
+        shared = cut(own.join(buckets, "sig").select("node", "label", "low").distinct(), "shared")
+        near = components(shared.select(F.col("label").alias("a"), F.col("low").alias("b")).distinct())
+        open_ = shared.join(_checked(near.select(F.col("node").alias("label"), F.col("label").alias("family"))), "label").select("node", "label", "family")
+        rest = big.drop("label", "family").join(_checked(cut(open_.distinct(), "open")), "node")
         links.append(cut(_solve(_blocks(rest, block, None), percent, pairs=True), "links"))
     together = links[0]
     for more in links[1:]:
         together = together.unionByName(more)
-    linked = components(together).withColumnRenamed("node", "k1")
-    return described, classes.join(linked, "k1", "left").select("k1", "k2", F.col("doc_id").alias("first"), F.coalesce("label", "k1").alias("label"))
+    named = classes.withColumn("node", _node()).join(_checked(components(together)), "node", "left")
+    return described, named.select("k1", "k2", F.col("doc_id").alias("first"), F.coalesce("label", "node").alias("label"))
 
 
 def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 1024) -> DataFrame:
