@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinetra.scratch import cut, new_dir, shared_dir  # noqa: F401
+
 #: Stands in for a null id while rows are compared; such rows sort after all others.
 NO_ID = (1 << 63) - 1
 
@@ -26,26 +25,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir.  Where that is unset, as in tests, an own one of local mode."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set: a cluster needs a folder that all its machines share")
-        where = "file://" + tempfile.mkdtemp(prefix="spark-kinetra-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
+def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str, total: int, most_hot: int = 100_000) -> DataFrame:
+    """rows joined to keyed (key, count, ...) by key, where count is about how many rows have the key.
 
-def new_dir(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/kinetra-{what}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame, what: str = "cut") -> DataFrame:
-    """Write df to the shared folder and read it back: later jobs neither repeat its work nor need its lineage."""
-    path = new_dir(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    Keys with more than one in most_hot of total are fewer than that many: they are broadcast, so that
+    their rows stay where they are.  All other keys are joined by a shuffle, in which none weighs much.
+    """
+    hot = F.col(count) > max(total // min(most_hot, BROADCAST_ROWS), 1000)
+    few = cut(keyed.filter(hot).drop(count), "hot")
+    cold = keyed.filter(~hot).drop(count)
+    if few.isEmpty():
+        return rows.join(cold, key)
+    rows = cut(rows, "dealt")
+    return rows.join(F.broadcast(few), key).unionByName(rows.join(F.broadcast(few.select(key)), key, "left_anti").join(cold, key))
 
 
 def digest_words(data: bytes) -> list[bytes]:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetra.llm.common import BROADCAST_ROWS, NO_ID, columns, cut, mix64, quoted, spare, text_bytes
+from kinetra.llm.common import NO_ID, columns, cut, join_counted, mix64, quoted, spare, text_bytes
 
 _SPACE = b" \t\n\x0b\x0c\r"
 
@@ -338,15 +338,8 @@ class LineIndex:
                     yield pd.concat(out)[["doc_id", "row", "key"]]
 
         maybe = met.mapInPandas(probe, "doc_id long, row int, key binary")
-        exact = self.refs.filter("refs > 1")
-        least = (self.refs.agg(F.sum("refs")).first()[0] or 0) // min(most_hot, BROADCAST_ROWS)
-        hot = cut(exact.filter(F.col("refs") > max(least, 1000)).select("key", "first"), "hot")
-        cold = exact.filter(F.col("refs") <= max(least, 1000)).select("key", "first")
-        if hot.isEmpty():
-            found = maybe.join(cold, "key")
-        else:
-            maybe = cut(maybe, "maybe")
-            found = maybe.join(F.broadcast(hot), "key").unionByName(maybe.join(F.broadcast(hot.select("key")), "key", "left_anti").join(cold, "key"))
+        total = self.refs.agg(F.sum("refs")).first()[0] or 0
+        found = join_counted(maybe, self.refs.filter("refs > 1"), "key", "refs", total, most_hot)
         return found.filter(F.col("doc_id") != F.col("first")).select("doc_id", "row", "key")
 
 

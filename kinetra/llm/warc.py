@@ -1,6 +1,6 @@
 """WARC archives of page records: a deterministic sharded writer, and a reader.
 
-Records are range-sorted by page id into shards of about equal payload, each shard rolls to a new file
+Records are range-sorted by page id and payload digest into shards of about equal payload, each shard rolls to a new file
 once the compressed size passes a limit, headers and digests are made anew from the payload, and files
 appear under their final names only when a manifest lists them.  The same rows give the same files.
 """
@@ -8,6 +8,7 @@ appear under their final names only when a manifest lists them.  The same rows g
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import re
 import uuid
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kinetra.llm.common import cut, new_dir
+from kinetra.llm.common import cut, join_counted, new_dir
 
 #: Written into every record, so that equal input gives equal bytes.
 DATE = "1970-01-01T00:00:00Z"
@@ -31,8 +32,9 @@ def sha1_base32(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def _urn(page_id: int | None, nth: int = 0) -> str:
-    return f"<urn:x-page:{'null' if page_id is None else page_id}{f':{nth}' if nth else ''}>"
+def _urn(page_id: int | None, digest: str, nth: int = 0) -> str:
+    """A record's name: its page and payload, and a number from the second record of both on."""
+    return f"<urn:x-page:{'null' if page_id is None else page_id}:{digest}{f':{nth}' if nth else ''}>"
 
 
 def _page_of(urn: str) -> int | None:
@@ -51,9 +53,9 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: tupl
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to else http + payload
     head = [
-        "WARC/1.1", f"WARC-Type: {'revisit' if refers_to else 'response'}", f"WARC-Record-ID: {_urn(page_id, nth)}", f"WARC-Date: {DATE}",
+        "WARC/1.1", f"WARC-Type: {'revisit' if refers_to else 'response'}", f"WARC-Record-ID: {_urn(page_id, digest, nth)}", f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {_clean(url or 'about:blank')}", f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Block-Digest: sha1:{sha1_base32(block)}",
-        *([f"WARC-Refers-To: {_urn(refers_to[0])}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"] if refers_to else []),
+        *([f"WARC-Refers-To: {_urn(refers_to[0], digest)}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"] if refers_to else []),
         "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}",
     ]
     return "\r\n".join(head).encode() + _END + block + _END
@@ -74,21 +76,34 @@ def parse(data: bytes) -> dict:
     return {"page_id": _page_of(fields["WARC-Record-ID"]), "url": fields["WARC-Target-URI"], "payload": payload if kind == "response" else None, "payload_bytes": length, "payload_digest": digest, "record_type": kind, "refers_to": _page_of(refers) if refers else None}
 
 
-def shard_bounds(pages: DataFrame, shard_bytes: int, most_shards: int) -> list[int]:
-    """First page id of each shard but the first, from exact running sums of payload in page order.
+#: Stands in for a null page id, which sorts first.
+_NO_PAGE = -(1 << 62)
 
-    Depends on the rows alone, not on how Spark deals them out.  At most most_shards numbers come back.
+
+def shard_bounds(pages: DataFrame, shard_bytes: int, most_shards: int) -> list[tuple[int, str]]:
+    """First page id and digest of each shard but the first, from exact running sums of payload in that order.
+
+    Depends on the rows of pages (page_id, digest, size) alone, not on how Spark deals them out.  At most most_shards
+    bounds come back.  Pages without an id, or with one and the same, are dealt by digest.
     """
-    sized = pages.filter(F.col("page_id").isNotNull()).select("page_id", "size").repartitionByRange("page_id").withColumn("part", F.spark_partition_id())
-    sized = cut(sized, "sizes")
+    sized = pages.groupBy(F.coalesce("page_id", F.lit(_NO_PAGE)).alias("page_id"), "digest").agg(F.sum("size").alias("size"))
+    sized = cut(sized.repartitionByRange("page_id", "digest").withColumn("part", F.spark_partition_id()), "sizes")
     sums = sized.groupBy("part").agg(F.sum("size").alias("total"))
     sums = sums.select("part", F.sum("total").over(Window.orderBy("part")).alias("up_to"), "total").select("part", (F.col("up_to") - F.col("total")).alias("before"))
     total = sized.agg(F.sum("size")).first()[0] or 0
     limit = max(shard_bytes, -(-total // most_shards))
-    running = F.sum("size").over(Window.partitionBy("part").orderBy("page_id")) - F.col("size") + F.col("before")
-    shards = sized.join(sums, "part").select("page_id", F.floor(running / limit).alias("shard"))
-    firsts = shards.groupBy("shard").agg(F.min("page_id").alias("first")).orderBy("first").collect()
-    return [r["first"] for r in firsts[1:]]
+    running = F.sum("size").over(Window.partitionBy("part").orderBy("page_id", "digest")) - F.col("size") + F.col("before")
+    shards = sized.join(sums, "part").select(F.struct("page_id", "digest").alias("at"), F.floor(running / limit).alias("shard"))
+    firsts = shards.groupBy("shard").agg(F.min("at").alias("first")).orderBy("first").collect()
+    return [(r["first"]["page_id"], r["first"]["digest"]) for r in firsts[1:]]
+
+
+def _shard_of(pages: np.ndarray, digests: list[str], bounds: list[tuple[int, str]], firsts: np.ndarray) -> np.ndarray:
+    """The shard of each record, from its page id and digest; firsts are the bounds' page ids."""
+    low, high = np.searchsorted(firsts, pages), np.searchsorted(firsts, pages, side="right")
+    for i in np.flatnonzero(low < high).tolist():  # the page id is a bound's
+        high[i] = bisect.bisect_right(bounds, (int(pages[i]), digests[i]), int(low[i]), int(high[i]))
+    return high
 
 
 def _even_keys(spark, n: int) -> np.ndarray:
@@ -132,14 +147,14 @@ def _write_shards(rows, folder: str, roll_bytes: int, level: int):
         if state["bytes"] >= roll_bytes:
             close()
 
-    refers, last, nth = {}, object(), 0
+    refers, last, nth = None, None, 0
     for page, shard, digest, refers_to, is_ref, url, payload in rows:
-        if page != last:
-            refers, last, nth = {}, page, 0
-        if is_ref:  # comes before the rows of its page
-            refers[digest] = (refers_to,)
+        if (page, digest) != last:
+            refers, last, nth = None, (page, digest), 0
+        if is_ref:  # comes before the rows of its page and digest
+            refers = (refers_to,)
             continue
-        put(shard, record(page, url, payload, refers.get(digest), nth))
+        put(shard, record(page, url, payload, refers, nth))
         nth += 1
     close()
     return done
@@ -150,42 +165,44 @@ def write_archive(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, sha
 
     Payload is the html as UTF-8, null as empty.  Of rows with equal payloads of at least
     min_revisit_bytes, that with the largest page_id is a response and the others are revisits of it; rows
-    that share that page_id too are all responses.  A null page_id counts as smaller than any, sorts first
-    and goes to shard 0.  Rows of one page_id keep their number; they are ordered by url and payload.
+    that share that page_id too are all responses.  A null page_id counts as smaller than any and sorts
+    first.  Rows of one page_id are ordered by digest and url, and those of one payload are numbered; an empty table
+    gives an empty archive, and a payload of any length is one record.
     Payloads cross the network once, for the range sort.  Which rows are revisits is found on digests alone:
-    counts of equal digests are aggregated before the exchange, so a page copied a million times is one row
-    there, and its revisit marks join the page rows inside the sort.
+    counts of equal digests are aggregated before the exchange, the few that hold a large share of all pages are
+    broadcast to their rows, and the marks join the page rows inside the sort.
     Files are written to _temporary under a name of the attempt; the manifest holds only files of attempts
-    that Spark committed, and the files it names are then moved.  A lost executor leaves stray temporaries,
-    never a half archive.
+    that Spark committed, and the files it names are then moved.  What lost attempts left goes with _temporary.
     """
     spark = pages.sparkSession
     payload = F.coalesce("html", F.lit("")).cast("binary")
     base = pages.select("page_id", "url", payload.alias("payload"), F.sha1(payload).alias("digest"), F.octet_length(payload).cast("long").alias("size"))
     narrow = cut(base.select("page_id", "digest", "size"), "digests")
     largest = narrow.filter(F.col("size") >= min_revisit_bytes).groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    revisits = narrow.join(largest, "digest").filter(~F.col("page_id").eqNullSafe(F.col("refers_to")))
-    first_ids = np.array(shard_bounds(narrow, shard_bytes, most_shards), dtype=np.int64)
-    n = len(first_ids) + 1
-    given = spark.sparkContext.broadcast((first_ids, _even_keys(spark, n)))
+    distinct = narrow.select("page_id", "digest").distinct()
+    revisits = join_counted(distinct, cut(largest, "largest"), "digest", "n", narrow.count()).filter(~F.col("page_id").eqNullSafe(F.col("refers_to")))
+    bounds = shard_bounds(narrow, shard_bytes, most_shards)
+    n = len(bounds) + 1
+    given = spark.sparkContext.broadcast((bounds, np.array([b for b, _ in bounds], dtype=np.int64), _even_keys(spark, n)))
 
     @F.pandas_udf("int")
-    def deal_of(ids: pd.Series) -> pd.Series:
-        firsts, keys = given.value
-        return pd.Series(keys[np.searchsorted(firsts, ids.to_numpy(), side="right")])
+    def deal_of(ids: pd.Series, digests: pd.Series) -> pd.Series:
+        bounds, firsts, keys = given.value
+        return pd.Series(keys[_shard_of(ids.to_numpy(), digests.tolist(), bounds, firsts)])
 
-    deal = deal_of(F.coalesce("page_id", F.lit(-(1 << 62))))
+    deal = deal_of(F.coalesce("page_id", F.lit(_NO_PAGE)), F.col("digest"))
     shape = ("page_id", "digest", "refers_to", "is_ref", "url", "payload")
     records = base.select("page_id", "digest", F.lit(None).cast("long").alias("refers_to"), F.lit(False).alias("is_ref"), "url", "payload")
-    marks = revisits.select("page_id", "digest", "refers_to", F.lit(True).alias("is_ref"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload")).distinct()
+    marks = revisits.select("page_id", "digest", "refers_to", F.lit(True).alias("is_ref"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"))
     dealt = records.unionByName(marks).select(*shape, deal.alias("deal")).repartition(n, "deal").drop("deal")
-    dealt = dealt.sortWithinPartitions(F.col("page_id").asc_nulls_first(), F.desc("is_ref"), "url", "digest")
+    dealt = dealt.sortWithinPartitions(F.col("page_id").asc_nulls_first(), "digest", F.desc("is_ref"), "url")
 
     def write(batches):
         def rows():
             for batch in batches:
                 page = batch.column("page_id").to_pylist()
-                shard = np.searchsorted(given.value[0], [-(1 << 62) if p is None else p for p in page], side="right").tolist()
+                ids = np.array([_NO_PAGE if p is None else p for p in page], dtype=np.int64)
+                shard = _shard_of(ids, batch.column("digest").to_pylist(), *given.value[:2]).tolist()
                 others = [batch.column(c).to_pylist() for c in shape[1:5]]
                 blob = batch.column("payload")
                 for i, p in enumerate(page):
@@ -209,6 +226,9 @@ def write_archive(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, sha
 
     manifest = written.mapInPandas(commit, "name string, records long, bytes long, sha256 string")
     manifest.write.mode("overwrite").parquet(f"{folder}/_manifest")
+    store, root = arrow_fs.FileSystem.from_uri(folder)
+    if store.get_file_info(f"{root}/_temporary").type != arrow_fs.FileType.NotFound:
+        store.delete_dir(f"{root}/_temporary")
     return spark.read.parquet(f"{folder}/_manifest")
 
 
@@ -216,7 +236,7 @@ def read_archive(spark, folder: str) -> DataFrame:
     """The records of all files that the manifest names, each file streamed member by member.
 
     page_id, url, payload (null for revisits), payload_bytes and payload_digest (both of the full payload),
-    record_type, refers_to.
+    record_type, refers_to.  Nulls, repeated rows and empty payloads come back as they were written.
     """
     manifest = spark.read.parquet(f"{folder}/_manifest")
     kinds = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
