@@ -7,6 +7,7 @@ make a candidate, and an alignment inside a band around it gives the words match
 
 from __future__ import annotations
 
+import bisect
 from collections import Counter
 
 import numpy as np
@@ -18,6 +19,10 @@ from kinetra.llm.common import NO_ID, NOT_ALNUM, gram_hashes, text_bytes, word_h
 
 # Notices of well-known licenses.
 TEMPLATES = {
+    "AGPL-3.0-header": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General
+        Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
+        version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+        warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.""",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0-header": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
         with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable
@@ -28,8 +33,12 @@ TEMPLATES = {
         following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions
         and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of
         conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.""",
+    "BSD-3-Clause": """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission.""",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
     "GPL-3.0-header": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
         License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This
@@ -37,6 +46,10 @@ TEMPLATES = {
         MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
     "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
         provided that the above copyright notice and this permission notice appear in all copies.""",
+    "LGPL-3.0-header": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General
+        Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later
+        version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+        warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.""",
     "MIT": "Released under the MIT License",
     "MIT-text": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
         files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
@@ -45,6 +58,9 @@ TEMPLATES = {
         in all copies or substantial portions of the Software.""",
     "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
         distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use,
+        compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or
+        non-commercial, and by any means.""",
 }
 
 
@@ -157,16 +173,22 @@ def find_licenses(data: bytes, index: Index, band: int, least: float) -> list[tu
                     break
                 found.append((m, t, a, b))
                 words[a - first : b - first] = [-1] * (b - a)
-    found.sort(key=lambda x: (-x[0], x[1], x[2]))
-    kept: list[tuple] = []
+    # More matched words first, then the template that they are more of.
+    found.sort(key=lambda x: (-x[0], index.words[x[1]].size, x[1], x[2]))
+    longest = max((b - a for _, _, a, b in found), default=0)
+    kept: list[tuple] = []  # by first word; only those that start near can overlap
     for m, t, a, b in found:
-        if all(min(b, y) - max(a, x) <= 0.5 * (b - a) for _, _, x, y in kept):
-            kept.append((m, t, a, b))
+        near = kept[bisect.bisect_left(kept, (a - longest,)) : bisect.bisect_left(kept, (b,))]
+        if all(min(b, y) - max(a, x) <= 0.5 * (b - a) for x, y, _, _ in near):
+            bisect.insort(kept, (a, b, t, m))
+    if not kept:
+        return []
+    # How many code points start before each byte.
+    points = np.concatenate([[0], np.cumsum((np.frombuffer(data, dtype=np.uint8) & 0xC0) != 0x80)])
     out = []
-    for m, t, a, b in sorted(kept, key=lambda x: (x[2], x[1])):
+    for a, b, t, m in kept:
         n = int(index.words[t].size)
-        at = len(data[: starts[a]].decode("utf-8", "replace"))
-        out.append((index.names[t], n, m, round(m / n, 6), a, b, at, at + len(data[starts[a] : ends[b - 1]].decode("utf-8", "replace"))))
+        out.append((index.names[t], n, m, round(m / n, 6), a, b, int(points[starts[a]]), int(points[ends[b - 1]])))
     return out
 
 
@@ -175,8 +197,9 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, gram: int = 4
 
     doc_id, license, template_words, matched_words, coverage (matched share of the template), and the span in
     words and in code points, ends excluded.  Notices with coverage below least are not reported; of
-    notices that overlap by more than half, the one with more matched words is.  Null and empty texts have
-    none; a null doc_id stays null; equal rows each give their notices.
+    notices that overlap by more than half, the one with more matched words is, then that of the shorter template.
+    Null and empty texts and an empty table have none; a null doc_id stays null; equal rows each give their notices;
+    other columns are ignored.  Texts of any length are searched whole, in time linear in their notices.
     gram and window are the largest used: a template has smaller ones where a notice with few words changed, up to
     the share that least leaves, would have no fingerprint.  Words shifted by more than band are not matched.
     The templates are an argument of the call, at most 1 MB of text, and go to every task.
