@@ -8,98 +8,94 @@ arrays of numbers, built once and sent to the tasks: a few bytes for each word o
 
 from __future__ import annotations
 
+import array
+from bisect import bisect_left
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinetra.llm.common import BROADCAST_ROWS, NO_ID, NOT_ALNUM, columns, cut, mix64, quoted, spare, text_bytes, word_hashes
+from kinetra.llm.common import BROADCAST_ROWS, NO_ID, columns, cut, mix64, quoted, spare, text_bytes
+
+
+#: Bytes that are no part of a word become spaces, A-Z become a-z: words are [^\x00-\x2F\x3A-\x60\x7B-\x7F]+.
+_TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
-class Vocabulary:
-    """The benchmark's words, numbered by the order of their hashes."""
+def words(data: bytes) -> list[bytes]:
+    return data.translate(_TABLE).split()
 
-    def __init__(self, texts: list[bytes]):
-        found: dict[int, bytes] = {}
-        for data in texts:
-            low = data.lower()
-            hashes, starts, ends = word_hashes(data, NOT_ALNUM)
-            once, at = np.unique(hashes, return_index=True)
-            for h, a, b in zip(once.tolist(), starts[at].tolist(), ends[at].tolist(), strict=True):
-                if found.setdefault(h, low[a:b]) != low[a:b]:
-                    raise ValueError("two words have one hash")
-        self.hashes = np.array(sorted(found), dtype=np.uint64)
-        self.words = [found[h] for h in self.hashes.tolist()]
 
-    def number(self, hashes: np.ndarray) -> np.ndarray:
-        """Numbers of words given by hash, -1 for words the benchmark doesn't have."""
-        if not self.hashes.size:
-            return np.full(hashes.size, -1, dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), self.hashes.size - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
+#: Suffix hashes are taken modulo 2**63 with this fixed odd multiplier.
+_MIX, _MASK = 1_000_003, (1 << 63) - 1
 
 
 class WuManber:
-    """Search tables for the runs of m words that start at given places of an array of word numbers."""
+    """Search tables for the runs of m words that start at given places of an array of word numbers below size.
+
+    Sorted arrays hold the blocks with their shifts and the patterns by the hash of their last words: they take
+    about 40 bytes a pattern and are searched by bisection, at the places that the shifts leave.
+    """
 
     def __init__(self, numbers: np.ndarray, starts: np.ndarray, items: np.ndarray, m: int, size: int):
         self.numbers, self.length, self.size = numbers, m, size
         self.block, self.suffix, self.far = min(2, m), min(3, m), m - min(2, m) + 1
         keys, jumps = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint8)
         for end in range(m, self.block - 1, -1):  # least shifts first: a block keeps the first it gets
-            new = np.unique(self._blocks(numbers, starts + end))
+            new = numbers[starts + end - 1] if self.block == 1 else numbers[starts + end - 2] * size + numbers[starts + end - 1]
+            new = np.unique(new)
             if keys.size:
                 new = new[keys[np.minimum(np.searchsorted(keys, new), keys.size - 1)] != new]
             both = np.concatenate([keys, new])
             order = np.argsort(both, kind="stable")
             keys, jumps = both[order], np.concatenate([jumps, np.full(new.size, m - end, dtype=np.uint8)])[order]
-        self.keys, self.jumps = keys, jumps
+        self.keys, self.jumps = array.array("q", keys.tobytes()), jumps.tobytes()
         # Equal runs of several items are one pattern.
-        runs = [self._hash(numbers, starts + m, m, salt) for salt in (1, 2)]
-        last = self._hash(numbers, starts + m, self.suffix, 0)
+        last, runs = np.zeros(starts.size, dtype=np.uint64), [np.full(starts.size, salt, dtype=np.uint64) for salt in (1, 2)]
+        for k in range(m):
+            word = numbers[starts + k].astype(np.uint64)
+            runs = [mix64(x * np.uint64(_MIX) + word) for x in runs]
+            if k >= m - self.suffix:
+                last = last * np.uint64(_MIX) + word
+        last &= np.uint64(_MASK)
         order = np.lexsort((items, runs[1], runs[0], last))
         new = np.ones(order.size, dtype=bool)
         new[1:] = (np.diff(np.stack([x[order] for x in (last, *runs)])) != 0).any(axis=0)
         first = np.flatnonzero(new)
-        self.bucket, self.start, self.items = last[order][first], starts[order][first], items[order]
+        self.bucket, self.start, self.items = array.array("q", last[order][first].astype(np.int64).tobytes()), starts[order][first], items[order]
         self.item_range = np.concatenate([first, [order.size]])
 
-    def _blocks(self, numbers: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """A number for the block of words before each end; negative where a word is unknown."""
-        if self.block == 1:
-            return numbers[ends - 1]
-        a, b = numbers[ends - 2], numbers[ends - 1]
-        return np.where((a < 0) | (b < 0), -1, a * self.size + b)
-
-    def _hash(self, numbers: np.ndarray, ends: np.ndarray, words: int, salt: int) -> np.ndarray:
-        out = np.full(ends.size, salt, dtype=np.uint64)
-        for k in range(words, 0, -1):
-            out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + numbers[ends - k].astype(np.uint64))
-        return out
-
-    def search(self, text: np.ndarray):
-        """(end, pattern) of every occurrence in an array of word numbers, from left to right."""
-        m = self.length
-        if text.size < m or not self.keys.size:
-            return
-        blocks = self._blocks(text, np.arange(self.block, text.size + 1))
-        at = np.minimum(np.searchsorted(self.keys, blocks), self.keys.size - 1)
-        jump = np.where(self.keys[at] == blocks, self.jumps[at], self.far).tolist()
-        end, n, ends = m, text.size, []
+    def search(self, text: list[bytes], vocabulary: dict[bytes, int]):
+        """(end, pattern) of every occurrence in the words of a text, from left to right."""
+        m, far, suffix, keys, jumps, bucket, size, get = self.length, self.far, self.suffix, self.keys, self.jumps, self.bucket, self.size, vocabulary.get
+        end, n, two, most = m, len(text), self.block == 2, len(keys)
         while end <= n:
-            j = jump[end - self.block]
-            if not j:
-                ends.append(end)
-            end += j or 1
-        if not ends:
-            return
-        last = self._hash(text, np.array(ends), self.suffix, 0)
-        lo, hi = np.searchsorted(self.bucket, last), np.searchsorted(self.bucket, last, side="right")
-        for k in np.flatnonzero(hi > lo).tolist():
-            window = text[ends[k] - m : ends[k]]
-            for g in range(int(lo[k]), int(hi[k])):
-                if (self.numbers[self.start[g] : self.start[g] + m] == window).all():
-                    yield ends[k], g
+            b = get(text[end - 1])
+            a = get(text[end - 2]) if two else 0
+            if a is None or b is None:  # no block with this word
+                end += far
+                continue
+            key = a * size + b
+            at = bisect_left(keys, key)
+            if at == most or keys[at] != key:
+                end += far
+                continue
+            if jumps[at]:
+                end += jumps[at]
+                continue
+            last = 0
+            for k in range(end - suffix, end):
+                last = last * _MIX + get(text[k], -1)
+            last &= _MASK
+            at = bisect_left(bucket, last)
+            if at < len(bucket) and bucket[at] == last:
+                window = [get(w, -1) for w in text[end - m : end]]
+                while at < len(bucket) and bucket[at] == last:
+                    if self.numbers[self.start[at] : self.start[at] + m].tolist() == window:
+                        yield end, at
+                    at += 1
+            end += 1
 
     def items_of(self, pattern: int) -> np.ndarray:
         return self.items[self.item_range[pattern] : self.item_range[pattern + 1]]
@@ -109,8 +105,8 @@ class Tables:
     """Everything the search needs of a list of (item, text): all windows of long items, and the short items whole."""
 
     def __init__(self, items: list[tuple[int, bytes]], window: int):
-        self.vocabulary = Vocabulary([data for _, data in items])
-        each = [self.vocabulary.number(word_hashes(data, NOT_ALNUM)[0]) for _, data in items]
+        self.vocabulary: dict[bytes, int] = {}
+        each = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words(data)], dtype=np.int64) for _, data in items]
         sizes = np.array([x.size for x in each], dtype=np.int64)
         numbers = np.concatenate([np.zeros(0, dtype=np.int64), *each])
         firsts = np.cumsum(sizes) - sizes
@@ -119,20 +115,16 @@ class Tables:
             own = [i for i, n in enumerate(sizes) if min(window, int(n)) == m]
             starts = np.concatenate([firsts[i] + np.arange(sizes[i] - m + 1) for i in own])
             names = np.repeat(np.array([items[i][0] for i in own], dtype=np.int64), [sizes[i] - m + 1 for i in own])
-            self.searches.append(WuManber(numbers, starts, names, m, len(self.vocabulary.words)))
+            self.searches.append(WuManber(numbers, starts, names, m, len(self.vocabulary)))
 
     def scan(self, data: bytes) -> tuple[int, list[tuple[int, int]], set]:
         """Number of words, merged spans of hit words and the items that occur."""
-        hashes, starts, ends = word_hashes(data, NOT_ALNUM)
-        text, found, spans, low = self.vocabulary.number(hashes), set(), [], None
+        text, found, spans = words(data), set(), []
         for table in self.searches:
-            for end, pattern in table.search(text):
-                low = data.lower() if low is None else low
-                first = end - table.length
-                if all(low[starts[k] : ends[k]] == self.vocabulary.words[text[k]] for k in range(first, end)):
-                    found.update(table.items_of(pattern).tolist())
-                    spans.append((first, end))
-        return int(hashes.size), merge(spans), found
+            for end, pattern in table.search(text, self.vocabulary):
+                found.update(table.items_of(pattern).tolist())
+                spans.append((end - table.length, end))
+        return len(text), merge(spans), found
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
