@@ -180,98 +180,6 @@ class LineIndex:
         """Filters of all shards from the exact counts."""
         return refs.filter("refs > 1").select(self._shard().alias("shard"), "key").groupBy("shard").applyInPandas(_fresh, "shard int, data binary")
 
-    def delete(self, values: np.ndarray) -> None:
-        """Remove values that were inserted."""
-        mark, at = self._places(values)
-        for m, x, y in zip(mark, at, self._other(at, mark), strict=True):
-            for bucket in (x, y):
-                hit = np.flatnonzero(self.marks[bucket] == m)
-                if hit.size:
-                    self.marks[bucket, hit[0]] = 0
-                    break
-
-    def to_bytes(self) -> bytes:
-        return self.marks.tobytes()
-
-    @classmethod
-    def from_bytes(cls, data: bytes) -> CuckooFilter:
-        marks = np.frombuffer(data, dtype=np.uint16).reshape(-1, cls.WIDTH).copy()
-        out = cls(1)
-        out.marks, out.buckets = marks, len(marks)
-        return out
-
-
-def _values(keys) -> np.ndarray:
-    return np.frombuffer(b"".join(keys), dtype="<u8")[::2]
-
-
-def _fresh(key, group):
-    return pd.DataFrame({"shard": [key[0]], "data": [CuckooFilter.build(np.unique(_values(group["key"]))).to_bytes()]})
-
-
-def _row(text: str = "text"):
-    """A hash of a row's text: rows that share a doc_id are looked up one by one, not in one heap."""
-    return F.hash(text_bytes(text))
-
-
-def line_pairs(docs: DataFrame, least: int = 10) -> DataFrame:
-    """(doc_id, row, key) for each distinct line key of each row; a null id becomes NO_ID, row is a hash of the text."""
-
-    def pairs(batches):
-        for b in batches:
-            ids, rows, keys = [], [], []
-            for doc, row, data in zip(b["doc_id"], b["row"], b["data"], strict=True):
-                found = {k for line in set(bytes(data).split(b"\n")) if (k := line_key(line, least))}
-                ids += [doc] * len(found)
-                rows += [row] * len(found)
-                keys += found
-            yield pd.DataFrame({"doc_id": ids, "row": rows, "key": keys})
-
-    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), _row().alias("row"), text_bytes().alias("data"))
-    return texts.mapInPandas(pairs, "doc_id long, row int, key binary")
-
-
-class LineIndex:
-    """Reference counts of line keys over the documents inserted so far, with a filter for each shard.
-
-    Three tables, each operation writing new ones to the shared folder: postings (key, doc_id), refs (key,
-    refs, first: number of distinct documents and the smallest id) and filters (shard, data) over the keys
-    with refs of two or more.  Shards are dealt by key; their number is set at the first insertion, so that
-    each has about shard_keys keys.
-    """
-
-    def __init__(self, spark: SparkSession, shard_keys: int = 500_000):
-        self.spark, self.shard_keys, self.shards = spark, shard_keys, 0
-        self.postings = spark.createDataFrame([], "doc_id long, key binary")
-        self.refs = spark.createDataFrame([], "key binary, refs long, first long")
-        self.filters = spark.createDataFrame([], "shard int, data binary")
-
-    def _shard(self, key: str = "key"):
-        return F.pmod(F.xxhash64(key), F.lit(self.shards)).cast("int")
-
-    def insert(self, pairs: DataFrame) -> None:
-        """Add documents, given by their line pairs.  Ids must be new to the index (delete them first if not).
-
-        Rows of one id count as one document, so pairs may repeat.
-        """
-        first_time = self.shards == 0
-        counted = pairs.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
-        # Only where ids repeat does the number of rows differ from the number of documents; keys of one document need no exact count.
-        counted = cut(counted, "counted")
-        if first_time:
-            self.shards = max(1, -(-counted.count() // self.shard_keys))
-        repeated = pairs.join(counted.filter("n > 1 and first < last").select("key"), "key", "left_semi")
-        exact = repeated.distinct().groupBy("key").agg(F.count(F.lit(1)).alias("refs"))
-        added = counted.join(exact, "key", "left").select("key", F.coalesce("refs", F.lit(1)).alias("refs"), "first")
-        old = self.refs
-        refs = added if first_time else old.unionByName(added).groupBy("key").agg(F.sum("refs").alias("refs"), F.min("first").alias("first"))
-        refs = cut(refs, "refs")
-        risen = refs.filter("refs > 1")
-        if not first_time:
-            risen = risen.join(old.filter("refs > 1"), "key", "left_anti")
-        self._change_filters(risen, refs, add=True)
-        self.refs, self.postings = refs, pairs if first_time else cut(self.postings.unionByName(pairs), "postings")
-
     def delete(self, doc_ids: DataFrame) -> None:
         """Take documents (doc_id) out again; keys only they repeated are no longer repeated."""
         gone = doc_ids.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id")).distinct()
