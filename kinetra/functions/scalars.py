@@ -40,8 +40,14 @@ def seconds_to_ms(c: Column) -> Column:
 
 
 def timestamp_micros(c: Column) -> Column:
-    """Microseconds since 1970 of a timestamp without zone or an ISO text; unparsable text: null."""
-    return F.unix_micros(F.to_timestamp(F.try_to_timestamp(c.cast("string"))))
+    """Microseconds since 1970 of a timestamp or an ISO text, read as it stands: without a zone, whatever the session's is.
+
+    Unparsable text gives null.
+    """
+    wall = c.cast("string").try_cast("timestamp_ntz")
+    day = F.unix_date(wall.cast("date")).cast("long") * 86_400
+    clock = F.hour(wall) * 3600 + F.minute(wall) * 60
+    return ((day + clock) * 1_000_000 + (F.extract(F.lit("SECOND"), wall) * 1_000_000).cast("long"))
 
 
 def low_byte(c: Column) -> Column:

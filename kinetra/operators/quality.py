@@ -9,20 +9,23 @@ from kinetra.functions.scalars import bin_index, choose
 from kinetra.operators.clean import SIGNAL, time_stats
 
 
-def bin_range(clean: DataFrame, width: float, origin: str = "floor", keys: tuple[str, ...] = SIGNAL) -> DataFrame:
-    """start and n_bins of each signal's bins; they end with the first whole width at or after its last time."""
+def bin_range(clean: DataFrame, width: float, origin: str = "floor", keys: tuple[str, ...] = SIGNAL, stats: DataFrame | None = None) -> DataFrame:
+    """start and n_bins of each signal's bins; they end with the first whole width at or after its last time.
+
+    stats: time_stats() of the signals where they are known already.
+    """
     w = F.lit(float(width))
     start = F.floor(F.col("t_first") / w) * w if origin == "floor" else F.lit(0.0)
-    stats = time_stats(clean, keys).select(*keys, start.alias("bin_start"), "t_last")
+    stats = (time_stats(clean, keys) if stats is None else stats).select(*keys, start.alias("bin_start"), "t_last")
     return stats.select(*keys, "bin_start", F.floor((F.ceil(F.col("t_last") / w) * w - F.col("bin_start")) / w).alias("n_bins"))
 
 
-def quality_bins(clean: DataFrame, width: float, least: float | dict[str, float], origin: str = "floor", keys: tuple[str, ...] = SIGNAL) -> DataFrame:
+def quality_bins(clean: DataFrame, width: float, least: float | dict[str, float], origin: str = "floor", keys: tuple[str, ...] = SIGNAL, stats: DataFrame | None = None) -> DataFrame:
     """(keys, bin, n, valid) of bins that have rows; a bin without any has no row and counts as invalid.
 
     Counts are summed in each task first: one row a bin crosses the network, not one a sample.
     """
-    placed = clean.join(bin_range(clean, width, origin, keys), list(keys)).filter("n_bins > 0")
+    placed = clean.join(bin_range(clean, width, origin, keys, stats), list(keys)).filter("n_bins > 0")
     bins = placed.select(*keys, bin_index(F.col("t_ms"), F.col("bin_start"), F.col("n_bins"), width).alias("bin")).groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"))
     need: Column = choose({k: float(v) for k, v in least.items()}, F.col("signal")) if isinstance(least, dict) else F.lit(float(least))
     return bins.withColumn("valid", F.coalesce(F.col("n") >= need, F.lit(False)))
@@ -50,8 +53,8 @@ def touched_bins(segments: DataFrame, ranges: DataFrame, width: float) -> DataFr
     return both.select("session_id", "mode", "seg", "signal", F.explode(F.sequence(lo, hi)).alias("bin"))
 
 
-def segment_quality(segments: DataFrame, clean: DataFrame, bins: DataFrame, width: float, origin: str = "floor") -> DataFrame:
+def segment_quality(segments: DataFrame, clean: DataFrame, bins: DataFrame, width: float, origin: str = "floor", stats: DataFrame | None = None) -> DataFrame:
     """(session_id, mode, seg, good): all bins that the segment touches are valid, for every signal."""
-    touched = touched_bins(segments, bin_range(clean, width, origin), width)
+    touched = touched_bins(segments, bin_range(clean, width, origin, stats=stats), width)
     joined = touched.join(bins.select(*SIGNAL, "bin", "valid"), [*SIGNAL, "bin"], "left")
     return joined.groupBy("session_id", "mode", "seg").agg(F.bool_and(F.coalesce("valid", F.lit(False))).alias("good"))

@@ -9,18 +9,31 @@ from pyspark.sql.window import Window
 from kinetra.operators.clean import SIGNAL, avg_hz
 
 
-def run_summary(status: DataFrame) -> DataFrame:
-    """(level, key, n) from one status row a session (session_id, reason, segments).
+def run_summary(status: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """(level, key, n) from one status row a session (session_id, reason, segments, by_mode).
 
-    seen, processed (at least one segment), skipped (with a reason), skips by reason, and segments in all.
+    total: seen, processed (at least one segment), skipped (with a reason), segments in all.  reason: skips by reason.
+    mode: segments by mode.  With the readers' status of files (path, rows, reason, and dropped where a reader drops
+    rows) also files: seen, rejected, rows, dropped, and file reason: rejected files by reason.
     """
+
+    def totals(one: DataFrame, level: str) -> DataFrame:
+        return one.select(F.inline(F.array(*(F.struct(F.lit(level).alias("level"), F.lit(c).alias("key"), F.col(c).alias("n")) for c in one.columns))))
+
+    def reasons(df: DataFrame, level: str) -> DataFrame:
+        return df.filter(F.col("reason").isNotNull()).groupBy("reason").agg(F.count(F.lit(1)).alias("n")).select(F.lit(level).alias("level"), F.col("reason").alias("key"), "n")
+
     one = status.agg(
         F.count(F.lit(1)).alias("seen"), F.count_if(F.col("segments") > 0).alias("processed"),
         F.count_if(F.col("reason").isNotNull()).alias("skipped"), F.coalesce(F.sum("segments"), F.lit(0)).alias("segments"),
     )
-    totals = one.select(F.inline(F.array(*(F.struct(F.lit("total").alias("level"), F.lit(c).alias("key"), F.col(c).alias("n")) for c in one.columns))))
-    reasons = status.filter(F.col("reason").isNotNull()).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
-    return totals.unionByName(reasons.select(F.lit("reason").alias("level"), F.col("reason").alias("key"), "n"))
+    modes = status.select(F.explode("by_mode").alias("key", "n")).groupBy("key").agg(F.sum("n").alias("n"))
+    out = totals(one, "total").unionByName(reasons(status, "reason")).unionByName(modes.select(F.lit("mode").alias("level"), "key", "n"))
+    if files is not None:
+        dropped = F.coalesce(F.sum("dropped"), F.lit(0)) if "dropped" in files.columns else F.lit(0).cast("long")
+        one = files.agg(F.count(F.lit(1)).alias("seen"), F.count_if(F.col("reason").isNotNull()).alias("rejected"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), dropped.alias("dropped"))
+        out = out.unionByName(totals(one, "files")).unionByName(reasons(files, "file reason"))
+    return out
 
 
 def timeline_summary(df: DataFrame, keys: tuple[str, ...] = SIGNAL) -> DataFrame:
@@ -65,10 +78,11 @@ def segment_stats(segments: DataFrame, key: tuple[str, ...], signal: str = "acc"
 def robust_range(df: DataFrame, key: tuple[str, ...], value: str) -> DataFrame:
     """Plot range (lo, hi): 1st and 99th percentile with 12 % on either side.
 
-    A constant gets a tenth of max(|value|, 1) on either side; no finite value gives (-1, 1).
+    A constant gets a tenth of max(|value|, 1) on either side; a series without values, or with any that
+    is not finite, gives (-1, 1).
     """
-    v = F.when(~F.isnan(value) & (F.abs(value) != float("inf")), F.col(value))
-    q = df.groupBy(*key).agg(F.percentile(v, F.array(F.lit(0.01), F.lit(0.99))).alias("q")).select(*key, F.get("q", 0).alias("a"), F.get("q", 1).alias("b"))
+    finite = F.coalesce(~F.isnan(value) & (F.abs(value) != float("inf")), F.lit(False))
+    q = df.groupBy(*key).agg(F.when(F.bool_and(finite), F.percentile(value, F.array(F.lit(0.01), F.lit(0.99)))).alias("q")).select(*key, F.get("q", 0).alias("a"), F.get("q", 1).alias("b"))
     pad = F.when(F.col("a") == F.col("b"), F.greatest(F.abs("b"), F.lit(1.0)) * 0.1).otherwise((F.col("b") - F.col("a")) * 0.12)
     return q.select(*key, F.coalesce(F.col("a") - pad, F.lit(-1.0)).alias("lo"), F.coalesce(F.col("b") + pad, F.lit(1.0)).alias("hi"))
 

@@ -17,14 +17,14 @@ XYZ = ("x", "y", "z")
 WANTED_FRAMES = 2048
 
 
-def grid(clean: DataFrame, period: float, end: str = "open", from_zero: bool = False, signals: int | None = None) -> DataFrame:
+def grid(clean: DataFrame, period: float, end: str = "open", from_zero: bool = False, signals: int | None = None, stats: DataFrame | None = None) -> DataFrame:
     """(session_id, start, stop, n_frames) of the grid that all signals of a session cover.
 
     open: points below stop; closed: up to stop; tolerance: below stop + 1e-6, and overshoot is true where
     the last of them lies beyond stop.  from_zero: start at 0.  A session that lacks one of so many signals has
-    no grid.  Only statistics are read; no point is made here.
+    no grid.  Only statistics are read, those given as stats or time_stats() of clean; no point is made here.
     """
-    stats = time_stats(clean).groupBy("session_id").agg(F.max("t_first").alias("start"), F.min("t_last").alias("stop"), F.count(F.lit(1)).alias("signals"))
+    stats = (time_stats(clean) if stats is None else stats).groupBy("session_id").agg(F.max("t_first").alias("start"), F.min("t_last").alias("stop"), F.count(F.lit(1)).alias("signals"))
     if signals is not None:
         stats = stats.filter(F.col("signals") == signals)
     if from_zero:

@@ -40,13 +40,12 @@ def merge_ranges(segments: DataFrame) -> DataFrame:
     return runs.groupBy("session_id", "run").agg(F.min("k_lo").alias("k_lo"), F.max("k_hi").alias("k_hi")).drop("run")
 
 
-def segment_frames(frames: DataFrame, segments: DataFrame) -> DataFrame:
+def segment_frames(frames: DataFrame, segments: DataFrame, modes: tuple[ModeSpec, ...]) -> DataFrame:
     """Frames of the given segments, one copy a mode, with their index inside the segment.
 
     Joined on session, mode and segment number, all equal: frames // T is the number.
     """
-    modes = segments.select("mode", "frames").distinct()
-    each = frames.crossJoin(F.broadcast(modes))  # as many rows as there are modes: a handful
+    each = frames.select("*", F.inline(F.array(*(F.struct(F.lit(m.name).alias("mode"), F.lit(m.frames).cast("long").alias("frames")) for m in modes))))
     each = each.withColumn("seg", F.floor(F.col("frame_idx") / F.col("frames"))).withColumn("i", F.col("frame_idx") % F.col("frames"))
     return each.join(segments.select("session_id", "mode", "seg", "real"), ["session_id", "mode", "seg"])
 
@@ -119,11 +118,12 @@ def segment_label(labelled: DataFrame, frames: int, key: str = "session_id") ->
 
 
 def manifest_entry(segments: DataFrame, src: str, device: str, freq: float, label: Column | None = None) -> DataFrame:
-    """The ten fields of a manifest line for numbered segments."""
+    """The ten fields of a manifest line for numbered segments, which say whether they have gyro by has_gyro or by gyro."""
+    has = F.col("has_gyro") if "has_gyro" in segments.columns else F.col("gyro").isNotNull() if "gyro" in segments.columns else F.lit(False)
     out = segments.select(
         segment_dir(F.lit(src), F.col("mode"), F.lit(device), F.col("number")).alias("dir"), F.lit(src).alias("src"), F.lit(device).alias("device"),
         F.lit(float(freq)).alias("freq"), "mode", F.col("frames").cast("int").alias("num_frames"), (F.col("frames") / F.lit(float(freq))).alias("duration_sec"),
-        F.lit(True).alias("has_timestamp"), (F.col("gyro").isNotNull() if "gyro" in segments.columns else F.lit(False)).alias("has_gyro"),
+        F.lit(True).alias("has_timestamp"), has.alias("has_gyro"),
         (label if label is not None else F.lit("{}")).alias("label"),
     )
     return out

@@ -13,26 +13,26 @@ from kinetra.operators.quality import quality_bins, segment_quality
 from kinetra.operators.resample import grid, resample
 from kinetra.operators.segment import assemble, candidates, label_rows, manifest_entry, merge_ranges, number_segments, segment_frames, segment_label, strict_period
 from kinetra.operators.validate import validate_segments
+from kinetra.scratch import cut
 from kinetra.sources.readers import number_rows
 from kinetra.spec import SourceSpec
 
 
 @dataclass
 class Result:
-    """segments with arrays and numbers, entries for a manifest, status (session_id, reason, segments)."""
+    """segments with arrays and numbers, entries for a manifest, status (session_id, reason, segments, by_mode)."""
 
     segments: DataFrame
     entries: DataFrame
     status: DataFrame
 
 
-def _skips(spec: SourceSpec, raw: DataFrame, cleaned: DataFrame, grids: DataFrame, sessions: DataFrame | None) -> DataFrame:
+def _skips(spec: SourceSpec, raw: DataFrame, per: DataFrame, grids: DataFrame, sessions: DataFrame | None) -> DataFrame:
     """(session_id, reason): the first reason that applies, from one row of statistics a session.
 
     Order: excluded device, unknown label, then for each signal missing, too few unique rows, no duration, low rate;
     then overlap, overshooting grid and too few frames.
     """
-    per = c.time_stats(cleaned)
     wide = per.groupBy("session_id").agg(*(F.first(F.when(F.col("signal") == s, F.struct("n", "t_first", "t_last")), ignorenulls=True).alias(s) for s in spec.signals))
     every = raw.select("session_id").distinct()
     if sessions is not None:
@@ -63,43 +63,57 @@ def _skips(spec: SourceSpec, raw: DataFrame, cleaned: DataFrame, grids: DataFram
     return rows.select("session_id", F.coalesce(*(F.when(cond, text) for cond, text in checks)).alias("reason"))
 
 
-def resample_and_segment(raw: DataFrame, spec: SourceSpec, sessions: DataFrame | None = None, min_rows: dict[str, int] | None = None, chunk_ms: float | None = None) -> Result:
+def resample_and_segment(raw: DataFrame, spec: SourceSpec, sessions: DataFrame | None = None, min_rows: dict[str, int] | None = None, chunk_ms: float | None = None, order: tuple[Column, ...] = ()) -> Result:
     """Clean, gate, resample and cut sessions of raw samples (session_id, signal, row_idx, t_ms, x, y, z) in SI units.
 
     sessions (session_id, device_id, finger_raw) are needed for exclusions and labels.  Only frames of
-    accepted segments are ever made.
+    accepted segments are ever made.  Cleaned samples, their statistics, the accepted segments and the finished arrays
+    are written once each and read from there: raw samples are read once, and once more for the ids of sessions.
+    Segments are numbered by order, which is made of columns of the session's id, then by that id.
+    Recordings are resampled in chunks of chunk_ms, by default as long as 100,000 frames.
     """
+    chunk_ms = chunk_ms or 100_000 * spec.period_ms
     finite = c.drop_startup(c.finite_rows(raw), spec.startup_sec)
     cleaned = c.clean_timeline(finite)
     if spec.trim:
-        cleaned = c.trim_overlap(cleaned, min_rows or {s: 2 for s in spec.signals})
+        cleaned = c.trim_overlap(cut(cleaned, "clean"), min_rows or {s: 2 for s in spec.signals})
     elif spec.bin_origin == "zero":
+        cleaned = cut(cleaned, "clean")
         first = cleaned.groupBy("session_id").agg(F.min("t_ms").alias("t0"))
         cleaned = cleaned.join(first, "session_id").withColumn("t_ms", F.col("t_ms") - F.col("t0")).drop("t0")
-    grids = grid(cleaned, spec.period_ms, spec.grid_end, from_zero=spec.bin_origin == "zero", signals=len(spec.signals))
-    skips = _skips(spec, raw, cleaned, grids, sessions)
-    usable = grids.join(skips.filter("reason is null").select("session_id"), "session_id", "left_semi")
+    cleaned = cut(cleaned, "cleaned")
+    stats = cut(c.time_stats(cleaned), "stats")
+    grids = grid(cleaned, spec.period_ms, spec.grid_end, from_zero=spec.bin_origin == "zero", signals=len(spec.signals), stats=stats)
+    skips = cut(_skips(spec, raw, stats, grids, sessions), "skips")
+    usable = cut(grids.join(skips.filter("reason is null").select("session_id"), "session_id", "left_semi"), "grids")
     cand = candidates(usable, spec.modes, spec.period_ms)
-    bins = quality_bins(cleaned, spec.bin_ms, spec.min_bin, spec.bin_origin)
-    good = segment_quality(cand, cleaned, bins, spec.bin_ms, spec.bin_origin).filter("good")
-    accepted = cand.join(good.select("session_id", "mode", "seg"), ["session_id", "mode", "seg"], "left_semi")
+    bins = quality_bins(cleaned, spec.bin_ms, spec.min_bin, spec.bin_origin, stats=stats)
+    good = segment_quality(cand, cleaned, bins, spec.bin_ms, spec.bin_origin, stats=stats).filter("good")
+    accepted = cut(cand.join(good.select("session_id", "mode", "seg"), ["session_id", "mode", "seg"], "left_semi"), "accepted")
     frames = resample(cleaned, usable, spec.period_ms, hold=spec.hold, chunk_ms=chunk_ms, wanted=merge_ranges(accepted))
-    arrays = assemble(segment_frames(frames, accepted), spec.period_ms, spec.signals)
-    checked = validate_segments(arrays, gyro="gyro" in spec.signals).filter("reason is null").drop("reason")
-    numbered = number_segments(checked)
+    arrays = assemble(segment_frames(frames, accepted, spec.modes), spec.period_ms, spec.signals)
+    keys = ["session_id", "mode", "seg"]
+    checked = cut(validate_segments(arrays, gyro="gyro" in spec.signals).filter("reason is null").drop("reason"), "segments")
+    has_gyro = F.col("gyro").isNotNull() if "gyro" in spec.signals else F.lit(False)
+    places = [f"order_{i}" for i in range(len(order))]
+    narrow = checked.select(*keys, "frames", "real", has_gyro.alias("has_gyro"), *(c.alias(n) for c, n in zip(order, places, strict=True)))
+    numbers = number_segments(narrow, (*places, "session_id")).drop(*places)
     if spec.label_map and sessions is not None:
         labels = sessions.select("session_id", F.to_json(F.struct(choose(spec.label_map, F.col("finger_raw")).alias("finger"))).alias("label"))
-        numbered = numbered.join(labels, "session_id", "left")
+        numbers = numbers.join(labels, "session_id", "left")
     else:
         padded = any(m.min_real for m in spec.modes)
         text = F.to_json(F.struct((F.col("frames") - F.col("real")).alias("pad_frames"))) if padded else F.lit("{}")
-        numbered = numbered.withColumn("label", text)
-    entries = manifest_entry(numbered, spec.src, spec.device, spec.freq, F.col("label"))
-    counts = accepted.groupBy("session_id").agg(F.count(F.lit(1)).alias("segments"))
-    status = skips.join(counts, "session_id", "left").withColumn("segments", F.coalesce("segments", F.lit(0)))
+        numbers = numbers.withColumn("label", text)
+    numbers = cut(numbers, "numbers")
+    entries = manifest_entry(numbers, spec.src, spec.device, spec.freq, F.col("label"))
+    counts = numbers.groupBy("session_id").pivot("mode", [m.name for m in spec.modes]).agg(F.count(F.lit(1)))
+    by_mode = F.create_map(*(x for m in spec.modes for x in (F.lit(m.name), F.coalesce(F.col(f"`{m.name}`"), F.lit(0)))))
+    status = skips.join(counts, "session_id", "left").select("session_id", "reason", by_mode.alias("by_mode"))
+    status = status.withColumn("segments", F.aggregate(F.map_values("by_mode"), F.lit(0).cast("long"), lambda a, x: a + x))
     if spec.trim:
         status = status.withColumn("reason", F.coalesce("reason", F.when(F.col("segments") == 0, "no valid segments")))
-    return Result(numbered, entries, status)
+    return Result(checked.join(numbers.select(*keys, "number", "label"), keys), entries, status)
 
 
 def segment_labelled(rows: DataFrame, labels: DataFrame, spec: SourceSpec, min_rows: int = 1000) -> Result:
@@ -111,19 +125,21 @@ def segment_labelled(rows: DataFrame, labels: DataFrame, spec: SourceSpec, min_r
     reason = F.when(~F.col("ok"), F.concat(F.lit("irregular step at row "), F.col("first_bad_row").cast("string"))).when(F.col("n") < min_rows, "too few rows")
     skips = gate.select("session_id", reason.alias("reason"))
     kept = rows.join(skips.filter("reason is null").select("session_id"), "session_id", "left_semi")
-    numbered = number_rows(kept, "row_idx")
+    numbered = cut(number_rows(kept, "row_idx"), "rows")
     parts = []
     for m in spec.modes:
         named = segment_label(label_rows(numbered, labels), m.frames).filter("reason is null").drop("reason")
-        cut = numbered.withColumn("seg", F.floor(F.col("pos") / m.frames)).withColumn("i", F.col("pos") % m.frames)
-        cut = cut.join(named, ["session_id", "seg"]).select("session_id", F.lit(m.name).alias("mode"), "seg", F.lit(m.frames).alias("frames"), F.lit(m.frames).alias("real"), F.lit("acc").alias("signal"), "i", "x", "y", "z")
+        rows_of = numbered.withColumn("seg", F.floor(F.col("pos") / m.frames)).withColumn("i", F.col("pos") % m.frames)
+        rows_of = rows_of.join(named, ["session_id", "seg"]).select("session_id", F.lit(m.name).alias("mode"), "seg", F.lit(m.frames).alias("frames"), F.lit(m.frames).alias("real"), F.lit("acc").alias("signal"), "i", "x", "y", "z")
         label = named.select("session_id", "seg", F.lit(m.name).alias("mode"), F.to_json(F.struct("activity", "annotations")).alias("label"))
-        parts.append(assemble(cut, spec.strict_period_ms, ("acc",)).join(label, ["session_id", "mode", "seg"]))
+        parts.append(assemble(rows_of, spec.strict_period_ms, ("acc",)).join(label, ["session_id", "mode", "seg"]))
     arrays = parts[0]
     for p in parts[1:]:
         arrays = arrays.unionByName(p)
     checked = validate_segments(arrays, gyro=False, period_ms=spec.strict_period_ms).filter("reason is null").drop("reason")
-    out = number_segments(checked)
+    out = cut(number_segments(cut(checked, "segments")), "numbered")
     counts = out.groupBy("session_id").agg(F.count(F.lit(1)).alias("segments"))
     status = skips.join(counts, "session_id", "left").withColumn("segments", F.coalesce("segments", F.lit(0)))
+    by_mode = out.groupBy("session_id", "mode").agg(F.count(F.lit(1)).alias("n")).groupBy("session_id").agg(F.map_from_entries(F.collect_list(F.struct("mode", "n"))).alias("by_mode"))
+    status = status.join(by_mode, "session_id", "left")
     return Result(out, manifest_entry(out, spec.src, spec.device, spec.freq, F.col("label")), status)

@@ -185,7 +185,7 @@ def _assembled(spark, sf, modes=MODES):
     grids = _grids(clean)
     cand = segment.candidates(grids, modes, v.HOUR)
     frames = resample.resample(clean, grids, v.HOUR, wanted=segment.merge_ranges(cand))
-    return segment.assemble(segment.segment_frames(frames, cand), v.HOUR)
+    return segment.assemble(segment.segment_frames(frames, cand, modes), v.HOUR)
 
 
 _POINTS = """pt AS (SELECT c.session_id, c.mode, c.seg, c.frames, c.real, f.signal, CAST(f.frame_idx - c.k_lo AS BIGINT) AS i, CAST(x AS FLOAT) AS x, CAST(y AS FLOAT) AS y, CAST(z AS FLOAT) AS z FROM cand c JOIN frames f ON f.session_id = c.session_id AND f.frame_idx BETWEEN c.k_lo AND c.k_hi)"""
@@ -225,7 +225,7 @@ def segment_job(spark, sf):
   WHEN EXISTS (SELECT 1 FROM st WHERE st.session_id = r.session_id AND signal = 'acc' AND n < 2) THEN 'acc: too few unique rows' WHEN EXISTS (SELECT 1 FROM st WHERE st.session_id = r.session_id AND signal = 'gyro' AND n < 2) THEN 'gyro: too few unique rows' WHEN g.n_frames IS NULL THEN 'no overlap' WHEN g.n_frames < 24 THEN 'too few frames' END AS reason, coalesce(segments, 0) AS segments
   FROM (SELECT DISTINCT session_id FROM raw) r LEFT JOIN gr g ON g.session_id = r.session_id LEFT JOIN per p ON p.session_id = r.session_id)
 SELECT 'total' AS level, 'seen' AS key, count(*) AS n FROM s UNION ALL SELECT 'total', 'processed', count(*) FROM s WHERE segments > 0 UNION ALL SELECT 'total', 'skipped', count(*) FROM s WHERE reason IS NOT NULL UNION ALL SELECT 'total', 'segments', CAST(coalesce(sum(segments), 0) AS BIGINT) FROM s
-UNION ALL SELECT 'reason', reason, count(*) FROM s WHERE reason IS NOT NULL GROUP BY reason""")
+UNION ALL SELECT 'reason', reason, count(*) FROM s WHERE reason IS NOT NULL GROUP BY reason UNION ALL SELECT 'mode', m.mode, count(acc.seg) FROM modes m LEFT JOIN acc ON acc.mode = m.mode GROUP BY m.mode""")
 def run_summary(spark, sf):
     return report.run_summary(resample_and_segment(v.raw_samples(spark, sf), SPEC).status)
 
@@ -251,10 +251,11 @@ def segment_stats(spark, sf):
     return _rounded(_rounded(out, "x_min", "x_max", "x_mean", "m_mean", "m_median", digits=5), "x_std", digits=4)
 
 
-@query(v.RAW_SQL + """, q AS (SELECT session_id, signal, quantile_cont(x, 0.01) AS a, quantile_cont(x, 0.99) AS b FROM raw GROUP BY ALL), p AS (SELECT *, CASE WHEN a = b THEN greatest(abs(b), 1.0) * 0.1 ELSE (b - a) * 0.12 END AS pad FROM q)
-SELECT session_id, signal, round(a - pad, 6) AS lo, round(b + pad, 6) AS hi FROM p""")
+@query(v.RAW_SQL + """, f AS (SELECT session_id, signal, CASE WHEN row_idx % 997 = 0 THEN CAST('nan' AS DOUBLE) ELSE x END AS x FROM raw), q AS (SELECT session_id, signal, quantile_cont(x, 0.01) FILTER (WHERE NOT isnan(x)) AS a, quantile_cont(x, 0.99) FILTER (WHERE NOT isnan(x)) AS b, bool_or(isnan(x)) AS bad FROM f GROUP BY ALL), p AS (SELECT *, CASE WHEN a = b THEN greatest(abs(b), 1.0) * 0.1 ELSE (b - a) * 0.12 END AS pad FROM q)
+SELECT session_id, signal, CASE WHEN bad THEN -1.0 ELSE round(a - pad, 6) END AS lo, CASE WHEN bad THEN 1.0 ELSE round(b + pad, 6) END AS hi FROM p""")
 def robust_range(spark, sf):
-    return _rounded(report.robust_range(v.raw_samples(spark, sf), c.SIGNAL, "x"), "lo", "hi")
+    raw = v.raw_samples(spark, sf).withColumn("x", F.when(F.col("row_idx") % 997 == 0, F.lit(float("nan"))).otherwise(F.col("x")))
+    return _rounded(report.robust_range(raw, c.SIGNAL, "x"), "lo", "hi")
 
 
 @query(v.RAW_SQL + """, o AS (SELECT *, row_number() OVER (PARTITION BY session_id, signal ORDER BY t_ms) - 1 AS nth, count(*) OVER (PARTITION BY session_id, signal) AS n FROM raw),

@@ -37,8 +37,15 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return text.select("path", F.posexplode(lines).alias("line", "value")).withColumn("line", (F.col("line") + 1).cast("long"))
 
 
+def split_csv(line: Column) -> Column:
+    """Cells of a CSV line; a cell in quotes may hold commas, and doubled quotes for one."""
+    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*"[^,]*|[^,]*)'), F.lit(1))
+    bare = lambda c: F.when(c.startswith('"'), F.replace(F.regexp_replace(c, r'^"|"[^"]*$', ""), F.lit('""'), F.lit('"'))).otherwise(c)
+    return F.when(F.contains(line, F.lit('"')), F.transform(cells, bare)).otherwise(F.split(line, ",", -1))
+
+
 def _cells(rows: DataFrame, n: int, separator: str = ",") -> DataFrame:
-    parts = F.split(F.col("value"), separator, -1)
+    parts = split_csv(F.col("value")) if separator == "," else F.split(F.col("value"), separator, -1)
     return rows.withColumn("cells", parts).withColumn("v", F.transform("cells", lambda c: number(c))).withColumn("width", F.size("cells")).withColumn("need", F.lit(n))
 
 
@@ -49,7 +56,7 @@ def read_csv_strict(spark: SparkSession, paths: str | list[str], columns: list[s
     short row or unparsable cell rejects the file; rows with a NaN or infinity only drop.
     """
     lines = read_lines(spark, paths)
-    head = lines.filter("line = 1").select("path", (F.slice(F.transform(F.split("value", ","), lambda c: F.trim(F.regexp_replace(c, "^﻿", ""))), 1, len(columns)) == F.array(*map(F.lit, columns))).alias("header_ok"))
+    head = lines.filter("line = 1").select("path", (F.slice(F.transform(split_csv(F.col("value")), lambda c: F.trim(F.regexp_replace(c, "^﻿", ""))), 1, len(columns)) == F.array(*map(F.lit, columns))).alias("header_ok"))
     rows = _cells(lines.filter("line > 1 and value != ''"), len(columns))
     bad = (F.col("width") < len(columns)) | F.exists("v", lambda x: x.isNull())
     values = [F.get("v", i).alias(c) for i, c in enumerate(columns)]
@@ -72,7 +79,7 @@ def read_csv_tolerant(spark: SparkSession, paths: str | list[str], columns: list
     place, a byte-order mark ignored; else take them from place first on.
     """
     lines = read_lines(spark, paths)
-    names = F.transform(F.split("value", ","), lambda c: F.trim(F.regexp_replace(c, "^﻿", "")))
+    names = F.transform(split_csv(F.col("value")), lambda c: F.trim(F.regexp_replace(c, "^﻿", "")))
     head = lines.filter(F.col("line") == skip_lines).select("path", names.alias("names"))
     rows = _cells(lines.filter((F.col("line") > skip_lines) & (F.col("value") != "")), len(columns)).join(head, "path")
     place = lambda i, c: F.array_position("names", c).cast("int") - 1 if by_name else F.lit(first + i)
@@ -112,7 +119,7 @@ def read_labelled_csv(spark: SparkSession, paths: str | list[str]) -> tuple[Data
     """
     text = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("id"))
     first = text.groupBy("path").agg(F.min("id").alias("id0"), F.min_by("value", "id").alias("header"))
-    rows = text.join(first, "path").filter("id > id0").withColumn("c", F.split("value", ",", -1))
+    rows = text.join(first, "path").filter("id > id0").withColumn("c", split_csv(F.col("value")))
     parsed = rows.select(
         "path", (F.col("id") - F.col("id0") - 1).alias("row_idx"), timestamp_micros(F.get("c", 0)).alias("t_us"),
         *(number(F.get("c", i + 1)).alias(a) for i, a in enumerate("xyz")), F.trim(F.get("c", 4)).alias("annotation"), (F.size("c") != 5).alias("ragged"),

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinetra.functions.scalars import low_byte
-from kinetra.operators.manifest import FIELDS
+from kinetra.operators.manifest import FIELDS, manifest_summary
+from kinetra.scratch import cut
+from kinetra.spec import DEVICES, MODES
 
 
 def write_segments(segments: DataFrame, root: str, overwrite: bool = False) -> None:
@@ -45,30 +47,39 @@ def write_manifest(entries: DataFrame, root: str) -> None:
     to_lines(entries).write.partitionBy("src", "mode", "device").mode("overwrite").option("partitionOverwriteMode", "dynamic").text(root)
 
 
-def write_global_manifests(entries: DataFrame, root: str) -> None:
-    """Derived manifests: by mode and device in one write; all of a mode is that mode's folder."""
-    to_lines(entries).select("value", "mode", "device").write.partitionBy("mode", "device").mode("overwrite").text(root)
+def write_global_manifests(entries: DataFrame, root: str, devices: tuple[str, ...] = DEVICES, modes: tuple[str, ...] = MODES) -> None:
+    """Derived manifests and their summary: lines under manifests by mode and device, summary as JSON lines.
+
+    All of a mode is that mode's folder.  Modes and devices that no entry has get a folder whose file has a blank line only.
+    """
+    entries = cut(entries, "entries")
+    pairs = entries.sparkSession.createDataFrame([(m, d) for m in modes for d in devices], "mode string, device string")
+    empty = pairs.join(entries.select("mode", "device").distinct(), ["mode", "device"], "left_anti")
+    lines = to_lines(entries).select("value", "mode", "device").unionByName(empty.select(F.lit("").alias("value"), "mode", "device"))
+    lines.write.partitionBy("mode", "device").mode("overwrite").text(f"{root}/manifests")
+    manifest_summary(entries, devices, modes).coalesce(1).write.mode("overwrite").json(f"{root}/summary")
 
 
 def read_global_manifest(spark: SparkSession, root: str, mode: str, device: str | None = None) -> DataFrame:
     """Lines of one mode, and of one device if given; other folders are not read."""
-    lines = spark.read.text(root).filter(F.col("mode") == mode)
+    lines = spark.read.text(f"{root}/manifests").filter((F.col("mode") == mode) & (F.col("value") != ""))
     return lines if device is None else lines.filter(F.col("device") == device)
 
 
-def parsed_columns(layout: str) -> list:
-    """What a parsed signal's CSV holds after FrameUTC; the status word is split into its low byte and blanks."""
+def parsed_columns(layout: str, kind: str = "") -> list:
+    """What a parsed signal's CSV holds after FrameUTC, with acc or gyro before the axes' names if the kind says so; the status word is split into its low byte and blanks."""
     base = [F.col("utc").alias("CurrentTimestamp(ms)"), F.col("ts").alias("EventTimestamp(us)")]
     if layout == "eng":
         return [*base, *(F.col(f"voltage{i}") for i in range(4)), low_byte(F.col("stat")).alias("stat0"), *(F.lit(None).cast("string").alias(f"stat{i}") for i in (1, 2, 3))]
     if layout == "ppg":
         return [*base, *map(F.col, ("ppg0", "ppg1", "ppg2", "ppg3", "current", "gain0", "gain1", "gain2", "gain3"))]
-    return [*base, F.col("x"), F.col("y"), F.col("z")]
+    names = {"accel": "acc", "gyroscope": "gyro"}.get(kind, kind)
+    return [*base, *(F.col(c).alias(f"{names}_{c}" if names else c) for c in "xyz")]
 
 
-def write_parsed(rows: DataFrame, root: str, layout: str = "imu") -> None:
+def write_parsed(rows: DataFrame, root: str, layout: str = "imu", kind: str = "") -> None:
     """Parsed records with their host time (file, row_idx, frame_utc, ...) as CSV, a folder a file, in file order."""
-    out = rows.select("file", "row_idx", F.col("frame_utc").cast("long").alias("FrameUTC"), *parsed_columns(layout))
+    out = rows.select("file", "row_idx", F.col("frame_utc").cast("long").alias("FrameUTC"), *parsed_columns(layout, kind))
     out = out.repartition("file").sortWithinPartitions("file", "row_idx").drop("row_idx")
     out.write.partitionBy("file").mode("overwrite").csv(root, header=True)
 
