@@ -75,12 +75,12 @@ def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
 def fingerprint_sizes(words: int, gram: int, window: int, least: float) -> tuple[int, int, int]:
     """Least number of matched words of a notice of a template, and the gram and window that find it.
 
-    With so many words matched, e others are not.  After up to e words, but one at least, were replaced, left out or put
-    in, the matched words have a run of need / (e + 1) or more.  Winnowing has a fingerprint in every run of
+    With so many words matched, e others are not.  After up to e + 1 words, but two at least, were replaced, left out or
+    put in, the matched words have a run of need / (e + 2) or more.  Winnowing has a fingerprint in every run of
     gram + window - 1 words, so neither is larger than that run allows.
     """
     need = next((m for m in range(words) if m / words >= least), words)
-    run = max(1, -(-need // (max(1, words - need) + 1)))
+    run = max(1, -(-need // (max(1, words - need) + 2)))
     gram = min(gram, run)
     return need, gram, min(window, run - gram + 1)
 
