@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +26,25 @@ def new_dir(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/kinetra-{spark.sparkContext.applicationId}/{what}-{uuid.uuid4().hex}"
 
 
+_RECORDS = threading.local()
+
+
+@contextmanager
+def recorded():
+    """A set that gets the names of the tables that this thread writes inside the block."""
+    names: set[str] = set()
+    _RECORDS.open = [*getattr(_RECORDS, "open", []), names]
+    try:
+        yield names
+    finally:
+        _RECORDS.open = [x for x in _RECORDS.open if x is not names]
+
+
 def cut(df: DataFrame, what: str = "cut") -> DataFrame:
     """Write df to the shared folder and read it back: later jobs neither repeat its work nor need its lineage."""
     path = new_dir(df.sparkSession, what)
+    for names in getattr(_RECORDS, "open", []):
+        names.add(path.rsplit("/", 1)[1])
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -38,15 +56,8 @@ def _folder(spark: SparkSession):
     return path.getFileSystem(conf), path
 
 
-def tables(spark: SparkSession) -> set[str]:
-    """Names of the application's intermediate tables that are there now."""
-    fs, path = _folder(spark)
-    return {s.getPath().getName() for s in fs.listStatus(path)} if fs.exists(path) else set()
-
-
 def clean_up(spark: SparkSession, names: set[str] | None = None) -> None:
     """Delete these intermediate tables, or all of the application.  No DataFrame that reads them may be in use."""
     fs, path = _folder(spark)
-    jvm = spark.sparkContext._jvm
-    for name in tables(spark) if names is None else names:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(path, name), True)
+    for place in [path] if names is None else [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, name) for name in names]:
+        fs.delete(place, True)

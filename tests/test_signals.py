@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from kinetra import scratch
 from kinetra.operators import clean, clock, manifest, quality, report, resample, segment, validate
 from kinetra.plans.jobs import resample_and_segment, segment_labelled
 from kinetra.sources import readers, sinks
@@ -171,6 +172,17 @@ def test_segment_sink_refuses_and_replaces(spark, tmp_path):
     assert [r.number for r in spark.read.parquet(str(tmp_path / "seg")).collect()] == [2]
 
 
+def test_intermediate_tables_can_go(spark):
+    with scratch.recorded() as names:
+        one = scratch.cut(spark.range(3), "one")
+    two = scratch.cut(spark.range(4), "two")
+    assert len(names) == 1 and one.count() == 3
+    scratch.clean_up(spark, names)
+    assert two.count() == 4
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist|FILE_NOT_EXIST"):
+        spark.read.parquet(one.inputFiles()[0]).count()
+
+
 def test_small_things(spark):
     assert ten_seconds(150).frames == 1500 and ring_200("r").signals == ("acc", "gyro") and phone_40("p").hold
     rows = spark.createDataFrame([("a", "acc", float(i)) for i in range(1000)], "session_id string, signal string, t_ms double")
