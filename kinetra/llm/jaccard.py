@@ -337,12 +337,16 @@ def _label_sets(docs: DataFrame, n: int, percent: int, block: int, digest: bool
         links += [cut(_solve(_blocks(big, block, salt), percent, pairs=False), "links") for salt in (1, 2)]
         labels = components(links[1].unionByName(links[2]))
         labelled = big.select("k1", "node").distinct().join(labels, "node", "left").select("k1", "node", F.coalesce("label", "node").alias("label"))
-        own = cut(postings.join(_checked(cut(labelled, "labelled")), "k1"), "own")
-        buckets = own.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-        shared = cut(own.join(buckets, "sig").select("node", "label", "low").distinct(), "shared")
-        near = components(shared.select(F.col("label").alias("a"), F.col("low").alias("b")).distinct())
-        open_ = shared.join(_checked(near.select(F.col("node").alias("label"), F.col("label").alias("family"))), "label").select("node", "label", "family")
-        rest = big.drop("label", "family").join(_checked(cut(open_.distinct(), "open")), "node")
+        # Signatures meet numbers of labels, so that little crosses the network: those of two labels or more, then their sets.
+        numbered = cut(labelled.withColumn("number", F.xxhash64("label")), "labelled")
+        few = _checked(numbered.select("k1", "number"))
+        buckets = postings.join(few, "k1").groupBy("sig").agg(F.min("number").alias("low"), F.max("number").alias("high")).filter("low < high")
+        shared = postings.join(few, "k1").join(_checked(cut(buckets.select("sig", "low"), "buckets")), "sig")
+        shared = cut(shared.select("k1", "number", "low").distinct(), "shared")
+        near = components(shared.select(F.col("number").alias("a"), F.col("low").alias("b")).distinct())
+        open_ = shared.join(_checked(near.select(F.col("node").alias("number"), F.col("label").alias("family"))), "number").select("k1", "family").distinct()
+        open_ = numbered.select("k1", "node", "label").join(open_, "k1").select("node", "label", "family")
+        rest = big.drop("label", "family").join(_checked(cut(open_, "open")), "node")
         links.append(cut(_solve(_blocks(rest, block, None), percent, pairs=True), "links"))
     together = links[0]
     for more in links[1:]:
