@@ -25,18 +25,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str, total: int, most_hot: int = 100_000) -> DataFrame:
+def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str, total: int, most_hot: int = 100_000, written: bool = False) -> DataFrame:
     """rows joined to keyed (key, count, ...) by key, where count is about how many rows have the key.
 
     Keys with more than one in most_hot of total are fewer than that many: they are broadcast, so that
     their rows stay where they are.  All other keys are joined by a shuffle, in which none weighs much.
+    Written tells that rows is such a table already, which costs nothing to read twice.
     """
     hot = F.col(count) > max(total // min(most_hot, BROADCAST_ROWS), 1000)
     few = cut(keyed.filter(hot).drop(count), "hot")
     cold = keyed.filter(~hot).drop(count)
     if few.isEmpty():
         return rows.join(cold, key)
-    rows = cut(rows, "dealt")
+    rows = rows if written else cut(rows, "dealt")
     return rows.join(F.broadcast(few), key).unionByName(rows.join(F.broadcast(few.select(key)), key, "left_anti").join(cold, key))
 
 

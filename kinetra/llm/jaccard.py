@@ -5,16 +5,18 @@ runs inside blocks of candidate sets: a block's sets have inverted lists; for ea
 its lists are set aside, the short rest is merged, and what occurs there is completed by binary probes of
 the long ones (DivideSkip).
 
-Blocks come from an exact filter.  Sets that link differ in at most H shingles, so if the hash space is cut
-into H + 1 parts they agree wholly on one of them; sets that agree on a part, and the sets these agree with,
-form a family.  Passages shared by many documents make no family, as a part holds a sample of the whole text.
+Blocks come from an exact filter.  All sets have their shingles in one order, that of their hashes.  Sets that link
+share at least so many shingles that the first few of those shared lie in a prefix of either set; the prefixes
+are made a tenth of a set longer than for one such shingle, so that about a tenth of a set must be shared there.
+A set with too few prefix shingles that another prefix has links with nothing and goes.  The sets left are told
+apart by the rarest of their prefix shingles: sets that have one of these in common, and the sets these
+have one in common with, form a family.  Passages shared by many documents are not rare and so make none.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kinetra.llm.common import BROADCAST_ROWS, NO_ID, cut, gram_hashes, mix64, spare, text_bytes, word_hashes
+from kinetra.llm.common import BROADCAST_ROWS, NO_ID, cut, gram_hashes, join_counted, spare, text_bytes, word_hashes
 from kinetra.llm.graph import components
 
 
@@ -36,58 +38,27 @@ def set_key(tokens: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
-@lru_cache(maxsize=None)
-def _size_group(g: int) -> tuple[int, int]:
-    """Sizes [lo, hi) of group g, each about half as large again as the one before."""
-    lo, hi = 1, 2
-    for _ in range(g):
-        lo, hi = hi, max(hi + 1, hi * 3 // 2)
-    return lo, hi
+def least(size: int, percent: int) -> int:
+    """Shingles that a set of this size shares at least with any set it links with; also that set's least size."""
+    return -(-size * percent // 100)
 
 
-def _group_of(size: int) -> int:
-    g = 0
-    while _size_group(g)[1] <= size:
-        g += 1
-    return g
+def _early(size: int, percent: int) -> int:
+    """How many of the shingles shared with another set its prefix is made long enough for."""
+    return min(least(size, percent), 1 + size // 10)
 
 
-@lru_cache(maxsize=4096)
-def _groups(size: int, percent: int) -> tuple[int, ...]:
-    """Groups of the smaller set of any pair that a set of this size can link with."""
-    return tuple(range(_group_of(-(-size * percent // 100)), _group_of(size) + 1))
+def prefix_size(size: int, percent: int = 90) -> int:
+    """Length of a set's prefix: of any shared shingles, the first _early(size) lie in it."""
+    return size - least(size, percent) + _early(size, percent)
 
 
-@lru_cache(maxsize=4096)
-def _parts(g: int, percent: int) -> tuple[int, int, np.ndarray]:
-    """Slack, number of parts and their borders, for pairs whose smaller set is in group g.
+def needed(size: int, percent: int = 90) -> int:
+    """How many shingles of its prefix a set has in common with the prefix of any set it links with, at least.
 
-    The smaller set has fewer than hi shingles, so the two differ in at most H = (hi - 1)(100 - p)/p of them and
-    agree on one part more than the slack if there are H + 1 + slack parts.
+    The other set may be smaller, and its prefix made for fewer shared shingles, but not smaller than least(size).
     """
-    differ = (_size_group(g)[1] - 1) * (100 - percent) // percent
-    slack = 2 if differ else 0
-    m = differ + 1 + slack
-    return slack, m, np.array([-(-(k << 64) // m) for k in range(1, m)], dtype=np.uint64)
-
-
-def signatures(tokens: np.ndarray, percent: int = 90) -> np.ndarray:
-    """One 64-bit signature for each part of each size group; sets that link have at least one in common.
-
-    Parts without a shingle are skipped, as many sets have such, unless there are more of them than the
-    slack: only then could two sets agree on empty parts alone.
-    """
-    out = []
-    sums = np.zeros(tokens.size + 1, dtype=np.uint64)
-    np.cumsum(mix64(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5)), out=sums[1:])
-    for g in _groups(int(tokens.size), percent) if tokens.size else ():
-        slack, m, borders = _parts(g, percent)
-        cuts = np.concatenate([[0], np.searchsorted(tokens, borders), [tokens.size]])
-        part = sums[cuts[1:]] - sums[cuts[:-1]]
-        sig = mix64(part + np.arange(m, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(g << 40))
-        full = cuts[1:] > cuts[:-1]
-        out.append(sig[full] if m - int(full.sum()) <= slack else sig)
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+    return _early(least(size, percent), percent)
 
 
 class _Forest:
@@ -211,16 +182,22 @@ def _solve(sets: DataFrame, percent: int, pairs: bool) -> DataFrame:
     return dealt.mapInPandas(solve, "a binary, b binary")
 
 
-def _first_holders(keys: list[int], sigs: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For each set, which of its signatures no set before it has, and the sets that first had the others."""
-    if not sigs:
+def _met_here(keys: list[int], prefixes: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each set, which shingles of its prefix other sets of the batch have too, and for which it is told.
+
+    It is told for shingles that it alone has, and for the others if its key is their smallest or largest.
+    """
+    if not prefixes:
         return [], []
-    sizes = [s.size for s in sigs]
+    sizes = [p.size for p in prefixes]
     owner = np.repeat(np.array(keys, dtype=np.int64), sizes)
-    _, first, inverse = np.unique(np.concatenate(sigs), return_index=True, return_inverse=True)
-    fresh = first[inverse] == np.arange(owner.size)
-    holder, borders = owner[first[inverse]], np.cumsum(sizes)[:-1]
-    return np.split(fresh, borders), [np.unique(h[~f]) for h, f in zip(np.split(holder, borders), np.split(fresh, borders), strict=True)]
+    everything, inverse = np.unique(np.concatenate(prefixes), return_inverse=True)
+    low, high = np.full(everything.size, np.iinfo(np.int64).max), np.full(everything.size, np.iinfo(np.int64).min)
+    np.minimum.at(low, inverse, owner)
+    np.maximum.at(high, inverse, owner)
+    low, high = low[inverse], high[inverse]
+    borders = np.cumsum(sizes)[:-1]
+    return np.split(low < high, borders), np.split((owner == low) | (owner == high), borders)
 
 
 def _text_digest():
@@ -229,40 +206,72 @@ def _text_digest():
 
 
 def _describe(docs: DataFrame, n: int, percent: int, digest: bool) -> DataFrame:
-    """(doc_id, n_shingles, k1, k2, sigs, fresh, near) of each row; k1, k2 are a hash of the set, none of no shingles.
+    """(doc_id, n_shingles, k1, k2, needed, alone, met, told) of each row; k1, k2 are a hash of the set, none of no shingles.
 
     If asked for, digest, of the whole text, comes before them.
-    A task gives the signatures of a set once, however many copies it meets, as long as it remembers it.
-    Inside a batch of rows fresh is true for the first set with a signature, and near has the k1 of that set for
-    the others: a signature of a third of all sets so reaches the exchange once a batch.
+    alone and met are the set's prefix: shingles that no other set of the same batch of rows has there, and those that
+    another has.  A task gives them once a set, however many copies it meets, as long as it remembers it.  told
+    is true where a shingle of met must be known outside: a shingle of a third of all sets so reaches the exchange twice a batch.
     """
 
     def describe(batches):
         seen: set = set()
         for b in batches:
-            out = []
+            out, prefixes, new = [], [], []
             for data in b["data"]:
                 tokens = shingles(bytes(data), n)
                 if not tokens.size:
                     out.append((0, None, None, None))
                     continue
                 key = set_key(tokens)
-                out.append((tokens.size, *key, None if key in seen else signatures(tokens, percent).view(np.int64)))
-                seen.add(key)
+                if key not in seen:
+                    seen.add(key)
+                    new.append(len(out))
+                    prefixes.append(tokens[: prefix_size(tokens.size, percent)].view(np.int64))
+                out.append((tokens.size, *key, needed(tokens.size, percent)))
             if len(seen) > 1_000_000:
                 seen.clear()
-            size, k1, k2, sigs = zip(*out, strict=True) if out else ((), (), (), ())
-            new = [i for i, s in enumerate(sigs) if s is not None]
-            fresh, near = [None] * len(out), [None] * len(out)
-            for i, f, holders in zip(new, *_first_holders([k1[i] for i in new], [sigs[i] for i in new]), strict=True):
-                fresh[i], near[i] = f, holders
-            keys = {"k1": pd.Series(k1, dtype="Int64"), "k2": pd.Series(k2, dtype="Int64")}
-            yield pd.DataFrame({**{c: b[c] for c in names}, "n_shingles": size, **keys, "sigs": sigs, "fresh": fresh, "near": near})
+            size, k1, k2, need = zip(*out, strict=True) if out else ((), (), (), ())
+            alone, met, told = [None] * len(out), [None] * len(out), [None] * len(out)
+            for i, p, shared, tell in zip(new, prefixes, *_met_here([k1[i] for i in new], prefixes), strict=True):
+                alone[i], met[i], told[i] = p[~shared], p[shared], tell[shared]
+            keys = {"k1": pd.Series(k1, dtype="Int64"), "k2": pd.Series(k2, dtype="Int64"), "needed": pd.Series(need, dtype="Int64")}
+            yield pd.DataFrame({**{c: b[c] for c in names}, "n_shingles": size, **keys, "alone": alone, "met": met, "told": told})
 
     raw = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), text_bytes().alias("data"), *[_text_digest().alias("digest")] * digest)
     names = [c for c in raw.columns if c != "data"]
     kinds = "doc_id long, digest binary" if digest else "doc_id long"
-    return raw.mapInPandas(describe, f"{kinds}, n_shingles long, k1 long, k2 long, sigs array<long>, fresh array<boolean>, near array<long>")
+    kinds += ", n_shingles long, k1 long, k2 long, needed long, alone array<long>, met array<long>, told array<boolean>"
+    return raw.mapInPandas(describe, kinds)
+
+
+def _rare_shingles(described: DataFrame) -> DataFrame:
+    """(k1, token, low): prefix shingles by which sets may link; any two sets that link both have a row of one token.
+
+    First, sets with too few prefix shingles that another set has go; copies of a set in several tasks can only keep
+    one more.  Of the s shingles that a set then still shares, another set must have needed, so that of the
+    s - needed + 1 rarest both have one, whatever the ties.  low is the smallest k1 that has the token.
+    """
+    sets = described.filter("alone IS NOT NULL")
+    alone = sets.select(F.explode("alone").alias("token"), "k1", F.lit(True).alias("counts"))
+    told = sets.select(F.explode(F.filter("met", lambda _, i: F.get("told", i))).alias("token"), "k1", F.lit(False).alias("counts"))
+    bucket = Window.partitionBy("token")
+    ends = alone.unionByName(told).select("k1", "counts", F.min("k1").over(bucket).alias("low"), F.max("k1").over(bucket).alias("high"))
+    elsewhere = ends.filter("counts AND low < high").groupBy("k1").agg(F.count(F.lit(1)).alias("elsewhere"))
+    here = sets.groupBy("k1").agg(F.max(F.size("met")).alias("here"), F.min("needed").alias("needed"))
+    enough = F.col("here") + F.coalesce("elsewhere", F.lit(0)) >= F.col("needed")
+    left = cut(here.join(elsewhere, "k1", "left").filter(enough).select("k1", "needed"), "left")
+
+    postings = sets.select("k1", F.explode(F.concat("alone", "met")).alias("token")).join(_checked(left), "k1")
+    postings = cut(postings.distinct(), "postings")
+    tokens = postings.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), F.min("k1").alias("low")).filter("sets > 1")
+    tokens = tokens.withColumn("rows", F.col("sets"))
+    shared = join_counted(postings, tokens, "token", "rows", postings.count(), written=True)
+    mine = Window.partitionBy("k1")
+    ranked = shared.select(
+        "k1", "token", "low", "needed", F.count(F.lit(1)).over(mine).alias("of"), F.row_number().over(mine.orderBy("sets", "token")).alias("at")
+    )
+    return cut(ranked.filter("at <= of - needed + 1").select("k1", "token", "low"), "rare")
 
 
 def _checked(few: DataFrame) -> DataFrame:
@@ -312,17 +321,12 @@ def _label_sets(docs: DataFrame, n: int, percent: int, block: int, digest: bool
     Equal sets are one node of all that follows.  Families are found by 64-bit hashes, where a collision only makes one
     larger; links and components go by 128 bits.  Families of more than block sets are first linked inside
     blocks, twice, dealt by different hashes; that is linear and joins nearly all that belongs together.  Only
-    sets that still share a signature with another component are then compared block by block, each with those that
-    such signatures lead to.
+    sets that still share a rare prefix shingle with another component are then compared block by block, each with those that
+    such shingles lead to.
     """
     described = cut(_describe(docs, n, percent, digest), "described")
-    postings = described.select(F.explode("sigs").alias("sig"), "k1")
-    bucket = Window.partitionBy("sig")
-    firsts = described.select(F.explode(F.filter("sigs", lambda _, i: F.get("fresh", i))).alias("sig"), "k1")
-    near = firsts.select("k1", F.min("k1").over(bucket).alias("low"), F.max("k1").over(bucket).alias("high")).filter("low < high")
-    across = near.filter("k1 != low").select(F.col("k1").alias("a"), F.col("low").alias("b"))
-    within = described.select(F.col("k1").alias("a"), F.explode("near").alias("b"))
-    edges = cut(across.unionByName(within).distinct(), "near")
+    rare = _rare_shingles(described)
+    edges = cut(rare.filter("k1 != low").select(F.col("k1").alias("a"), F.col("low").alias("b")).distinct(), "near")
     families = components(edges).select(F.col("node").alias("k1"), F.col("label").alias("family"))
 
     classes = cut(described.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id")), "classes")
@@ -337,12 +341,13 @@ def _label_sets(docs: DataFrame, n: int, percent: int, block: int, digest: bool
         links += [cut(_solve(_blocks(big, block, salt), percent, pairs=False), "links") for salt in (1, 2)]
         labels = components(links[1].unionByName(links[2]))
         labelled = big.select("k1", "node").distinct().join(labels, "node", "left").select("k1", "node", F.coalesce("label", "node").alias("label"))
-        # Signatures meet numbers of labels, so that little crosses the network: those of two labels or more, then their sets.
+        # Shingles meet numbers of labels, so that little crosses the network: those of two labels or more, then their sets.
         numbered = cut(labelled.withColumn("number", F.xxhash64("label")), "labelled")
         few = _checked(numbered.select("k1", "number"))
-        buckets = postings.join(few, "k1").groupBy("sig").agg(F.min("number").alias("low"), F.max("number").alias("high")).filter("low < high")
-        shared = postings.join(few, "k1").join(_checked(cut(buckets.select("sig", "low"), "buckets")), "sig")
-        shared = cut(shared.select("k1", "number", "low").distinct(), "shared")
+        buckets = rare.join(few, "k1").groupBy("token").agg(F.min("number").alias("low"), F.max("number").alias("high")).filter("low < high")
+        buckets = cut(buckets.select("token", F.col("low").alias("first")), "buckets")
+        shared = rare.join(few, "k1").join(_checked(buckets), "token")
+        shared = cut(shared.select("k1", "number", F.col("first").alias("low")).distinct(), "shared")
         near = components(shared.select(F.col("number").alias("a"), F.col("low").alias("b")).distinct())
         open_ = shared.join(_checked(near.select(F.col("node").alias("number"), F.col("label").alias("family"))), "number").select("k1", "family").distinct()
         open_ = numbered.select("k1", "node", "label").join(open_, "k1").select("node", "label", "family")

@@ -335,6 +335,26 @@ def test_near_duplicates(spark, block):
     assert sorted(str(tuple(r)) for r in got) == brute_components(rows)
 
 
+@pytest.mark.parametrize("block", [4, 1024])
+def test_jaccard_of_five_words(spark, block):
+    """Copies about the threshold among texts that are mostly passages of others, dealt over many batches."""
+    rng = np.random.default_rng(block)
+    words = [f"w{i}" for i in range(400)]
+    passages = [" ".join(rng.choice(words, 50)) for _ in range(4)]
+    rows = []
+    for family in range(25):
+        own = list(rng.choice(words, int(rng.integers(5, 120))))
+        for k in range(int(rng.integers(1, 8))):
+            copy = list(own)
+            for at in rng.integers(0, len(own), int(rng.integers(0, 3))):
+                copy[at] = f"x{family}_{k}"
+            rows.append((len(rows), " ".join(copy + [passages[family % 4]] * (family % 3 > 0) + [passages[(family + 1) % 4]] * (family % 3 > 1))))
+    rows += [(1000 + i, f"{p} tail{i}") for i, p in enumerate(passages * 3)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(23)
+    got = jaccard.near_duplicates(table, 5, 80, block).collect()
+    assert sorted(str(tuple(r)) for r in got) == brute_components(rows, 5, 80)
+
+
 def linked_pairs(sets, percent):
     """For each pair whether links lead from one to the other, by comparing all sets."""
     reach = np.eye(len(sets), dtype=bool)
@@ -399,22 +419,29 @@ def test_keep_one_judges_rows(spark, n, percent):
     assert len(got) == len(sure) + 2 and sorted(x.split(",")[0] for x in rest) == ["(11", "(None"]
 
 
-def test_first_holders():
-    sigs = [np.array(x, dtype=np.int64) for x in ([5, 6], [6, 7], [], [5, 6, 7])]
-    fresh, near = jaccard._first_holders([10, 20, 30, 40], sigs)
-    assert [f.tolist() for f in fresh] == [[True, True], [False, True], [], [False, False, False]]
-    assert [x.tolist() for x in near] == [[], [10], [], [10, 20]]
-    assert jaccard._first_holders([], []) == ([], [])
+def test_met_here():
+    prefixes = [np.array(x, dtype=np.int64) for x in ([5, 6], [6, 7], [], [5, 6, 7, 8])]
+    met, told = jaccard._met_here([10, 20, 30, 40], prefixes)
+    assert [x.tolist() for x in met] == [[True, True], [True, True], [], [True, True, True, False]]
+    assert [x.tolist() for x in told] == [[True, True], [False, True], [], [True, True, True, True]]
+    assert jaccard._met_here([], []) == ([], [])
 
 
-def test_signatures_meet():
+@pytest.mark.parametrize("percent", [90, 80])
+def test_prefixes_meet(percent):
     rng = np.random.default_rng(2)
+    linked = 0
     for n in [*range(1, 60), 300, 1000]:
-        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
-        k = int(a.size * 0.05)
-        b = np.unique(np.concatenate([a[k:], rng.integers(0, 1 << 63, k).astype(np.uint64)])) if k else a[int(a.size >= 10) :]
-        if 100 * np.intersect1d(a, b).size >= 90 * np.union1d(a, b).size:
-            assert np.intersect1d(jaccard.signatures(a), jaccard.signatures(b)).size
+        for share in (0.0, 0.04, 0.1, 0.19):
+            a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+            k = int(a.size * share)
+            for b in (np.unique(np.concatenate([a[k // 2 :], rng.integers(0, 1 << 63, k // 2).astype(np.uint64)])), a[k:], a[: a.size - k]):
+                if 100 * np.intersect1d(a, b).size >= percent * np.union1d(a, b).size:
+                    linked += 1
+                    for order in (1, -1):
+                        both = np.intersect1d(*(x[::order][: jaccard.prefix_size(x.size, percent)] for x in (a, b))).size
+                        assert both >= max(jaccard.needed(a.size, percent), jaccard.needed(b.size, percent)) >= 1
+    assert linked > 300
     assert gram_hashes(word_hashes(b"A b\tC")[0], 3).tolist() == gram_hashes(word_hashes(b"a B c")[0], 3).tolist()
 
 
