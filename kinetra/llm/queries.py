@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetra.llm import chat, decontam, html, jaccard, langid, licenses, linededup, media, mixing, warc
+from kinetra.llm import chat, decontam, html, jaccard, langid, licenses, linededup, media, mixing, secretscan, tokenalign, variants, warc
 from kinetra.llm.common import table
 
 
@@ -72,9 +72,30 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secretscan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    of = lambda *kinds: F.filter("found", lambda x: x["kind"].isin(*kinds))
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    base = F.sha2(secretscan.joined(of("assign", "access", "hex")), 256)
+    return found.select("doc_id", *counts, base.alias("base_sha256"), secretscan.joined(F.col("found")).alias("spans"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tokenalign.align_vocabularies(table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_licenses, op3_html, op4_warc, op5_decontamination, op6_line_dedup, op7_language, op8_media, op9_jaccard, op10_chat)
-}
+    f.__name__: f
+    for f in (
+        op1_mixing, op2_licenses, op3_html, op4_warc, op5_decontamination, op6_line_dedup, op7_language, op8_media, op9_jaccard, op10_chat,
+        op11_secrets, op12_alignment, op13_variants,
+    )
+}
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -135,5 +156,24 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM c GROUP BY conv_id
 """
 
-#: op1, op3, op7 and op8 (seeded choice by a knapsack, page rules, a trained model, Fourier transforms) and op2 (alignment) have no SQL.
-ORACLE_SQL = {"op4_warc": OP4_SQL, "op5_decontamination": OP5_SQL, "op6_line_dedup": OP6_SQL, "op9_jaccard": OP9_SQL, "op10_chat": OP10_SQL}
+OP13_SQL = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS steps FROM range(256) t(i)),
+r AS (SELECT doc_id, run, count(*) AS times FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[a-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL),
+b AS (SELECT run, times, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS hx FROM r),
+h AS (SELECT run, times, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(len(hx) // 2), lambda i: CAST(('0x' || substr(hx, 2 * i + 1, 2)) AS BIGINT))),
+        lambda c, x: xor(c >> 8, steps[(xor(c, x) & 255) + 1]))) AS crc32 FROM b, crc),
+w AS (SELECT word, sum(times) AS n FROM (SELECT CASE WHEN crc32 % 97 = 0 THEN substr(run, 1, crc32 % len(run)) || substr(run, crc32 % len(run) + 2) ELSE run END AS word, times FROM h)
+      GROUP BY word HAVING length(word) >= 5 AND sum(times) >= 3),
+d AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+e AS (SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM d a JOIN d b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+      UNION SELECT d.word, d.n, w.word, w.n FROM d JOIN w ON d.rest = w.word UNION SELECT w.word, w.n, d.word, d.n FROM d JOIN w ON d.rest = w.word),
+f AS (SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS top, max(other_n) AS top_n FROM e GROUP BY word),
+g AS MATERIALIZED (SELECT w.word, CAST(w.n AS BIGINT) AS n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 2 * w.n THEN top END AS form, CAST(CASE WHEN top_n >= 2 * w.n THEN top_n END AS BIGINT) AS form_n FROM w LEFT JOIN f USING (word)),
+t AS (SELECT word, word AS here, 0 AS depth FROM g UNION ALL SELECT t.word, g.form, depth + 1 FROM t JOIN g ON t.here = g.word WHERE g.form IS NOT NULL)
+SELECT g.*, root FROM g JOIN (SELECT word, arg_max(here, depth) AS root FROM t GROUP BY word) USING (word)
+"""
+
+#: op1, op3, op7 and op8 (seeded choice by a knapsack, page rules, a trained model, Fourier transforms), op2 (alignment) and op11 and op12
+#: (tokenizers) have no SQL.
+ORACLE_SQL = {"op4_warc": OP4_SQL, "op5_decontamination": OP5_SQL, "op6_line_dedup": OP6_SQL, "op9_jaccard": OP9_SQL, "op10_chat": OP10_SQL, "op13_variants": OP13_SQL}
