@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 
 import numpy as np
 import pandas as pd
@@ -85,70 +86,97 @@ def required(n: int, m: int, percent: int) -> int:
     return -(-percent * (n + m) // (100 + percent))
 
 
+class _Lists:
+    """Inverted lists of a block as two arrays: the sets that hold each shingle, ascending, and where each list begins."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.array([s.size for s in sets], dtype=np.int64)
+        everything, inverse = np.unique(np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64), return_inverse=True)
+        self.length = np.bincount(inverse, minlength=everything.size)
+        self.begin = np.cumsum(self.length) - self.length
+        by_shingle = np.argsort(inverse, kind="stable")
+        self.postings = np.repeat(np.arange(len(sets), dtype=np.int32), self.size)[by_shingle]
+        self.seen = np.zeros(everything.size, dtype=np.int64)  # how many of a list's sets have been queries
+        self.of = np.split(inverse, np.cumsum(self.size)[:-1]) if sets else []
+
+    def part(self, t: int, least: int) -> np.ndarray:
+        """Sets numbered least or more in list t, among those that have been queries."""
+        found = self.postings[self.begin[t] : self.begin[t] + self.seen[t]]
+        return found[np.searchsorted(found, least) :]
+
+    def holding(self, lists: np.ndarray, sets: np.ndarray) -> np.ndarray:
+        """How many of these lists have each of the sets, by binary search: one set in all lists side by side, or all sets list by list."""
+        if sets.size > 1:
+            found = np.zeros(sets.size, dtype=np.int64)
+            for t in lists.tolist():
+                p = self.postings[self.begin[t] : self.begin[t] + self.seen[t]]
+                if p.size:
+                    found += p[np.minimum(np.searchsorted(p, sets), p.size - 1)] == sets
+            return found
+        low, ends = self.begin[lists], self.begin[lists] + self.seen[lists]
+        high = ends.copy()
+        while (going := np.flatnonzero(low < high)).size:
+            middle = (low[going] + high[going]) // 2
+            less = self.postings[middle] < sets[0]
+            low[going[less]], high[going[~less]] = middle[less] + 1, middle[~less]
+        return np.array([np.count_nonzero(self.postings[low[low < ends]] == sets[0])])
+
+
 def link_block(sets: list[np.ndarray], percent: int = 90, sides: list[int] | None = None, known: list[int] | None = None) -> list[tuple[int, int]]:
     """Links that span the components of a block of sorted shingle sets, by T-occurrence search.
 
-    Not every link comes back, but every pair that links is connected by those that do: a candidate already
-    in the query's component needs no comparison.  With sides, only pairs of different sides are looked
-    at; known are components found before.
+    Each set is a query for the smaller ones.  The T - 1 longest of its lists are set aside; a heap merges the others, the
+    nearest size first, and so counts in how many of them each candidate occurs.  Candidates that can reach T with the long
+    lists are looked up in each of those by binary search (DivideSkip), a few at a time.  Not every link comes back, but every
+    pair that links is connected by those that do: after a link, what is in the query's component by then leaves the
+    lists.  With sides, only pairs of different sides are looked at; known are components found before.
     """
     n = len(sets)
     order = sorted(range(n), key=lambda i: sets[i].size)
-    # Numbered by size, so that sets join the inverted lists in ascending order, which the merge needs.
+    # Numbered by size, so that lists are ascending as sets become queries, and candidates of a least size are a list's end.
     sets = [sets[i] for i in order]
-    sides, known = sides and [sides[i] for i in order], known and [known[i] for i in order]
+    sides, known = sides and np.array([sides[i] for i in order]), known and [known[i] for i in order]
     forest = _Forest(n)
     if known:
         first: dict[int, int] = {}
         for i, label in enumerate(known):
             forest.up[i] = first.setdefault(label, i)
-    everything, inverse = np.unique(np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64), return_inverse=True)
-    length = np.bincount(inverse, minlength=everything.size)
-    size = np.array([s.size for s in sets], dtype=np.int64)
-    ends = np.cumsum(size)
-    local = [inverse[e - s.size : e] for s, e in zip(sets, ends, strict=True)]
-    lists: dict[int, list[int]] = {}
+    lists = _Lists(sets)
     links = []
     for x in range(n):
-        mine = local[x]
+        mine = lists.of[x]
         if not mine.size:
             continue
-        needed = required(mine.size, -(-mine.size * percent // 100), percent)
-        by_length = mine[np.argsort(length[mine], kind="stable")]
-        keep = mine.size - (needed - 1)  # the needed - 1 longest lists are set aside
-        short, long = by_length[:keep], np.sort(by_length[keep:])
-        found = [lists[t] for t in short.tolist() if t in lists]
-        total = sum(map(len, found))
-        if total > 256:  # dense: a count for each set does the merge
-            counts = np.bincount(np.concatenate([np.fromiter(f, dtype=np.int64, count=len(f)) for f in found]), minlength=n)
-            candidates = np.flatnonzero(counts)
-            hits = counts[candidates]
-        else:
-            merged = list(heapq.merge(*found))
-            candidates = np.array(sorted(set(merged)), dtype=np.int64)
-            hits = np.searchsorted(merged, candidates, side="right") - np.searchsorted(merged, candidates) if merged else candidates
-        if sides is not None and candidates.size:
-            other = np.array([sides[c] != sides[x] for c in candidates])
-            candidates, hits = candidates[other], hits[other]
-        wanted = required(mine.size, size[candidates], percent)
-        possible = (hits + long.size >= wanted) & (size[candidates] * 100 >= mine.size * percent)
-        candidates, hits, wanted = candidates[possible], hits[possible], wanted[possible]
-        joined = True
-        while candidates.size:
-            if joined:  # only a link can bring further candidates into the query's component
-                apart = forest.roots(candidates) != forest.root(x)
-                candidates, hits, wanted, joined = candidates[apart], hits[apart], wanted[apart], False
-                continue
-            y, missing = int(candidates[-1]), int(wanted[-1] - hits[-1])
-            candidates, hits, wanted = candidates[:-1], hits[:-1], wanted[:-1]
-            at = np.searchsorted(local[y], long)
-            at[at == local[y].size] = 0
-            if np.count_nonzero(local[y][at] == long) >= missing:
-                links.append((order[x], order[y]))
-                forest.join(x, y)
-                joined = True
-        for t in mine.tolist():
-            lists.setdefault(t, []).append(x)
+        smallest = -(-mine.size * percent // 100)
+        aside = required(mine.size, smallest, percent) - 1
+        by_length = mine[np.argsort(lists.length[mine], kind="stable")]
+        short, long = by_length[: mine.size - aside], by_length[mine.size - aside :]
+        least = int(np.searchsorted(lists.size, smallest))
+        parts = [lists.part(t, least) for t in short.tolist()]
+        if sides is not None:
+            parts = [p[sides[p] != sides[x]] for p in parts]
+        apart, many = known is None, 1  # at first nothing but x itself is in its component
+        while True:
+            if not apart:
+                root = forest.roots(np.arange(x + 1))
+                parts = [p[root[p] != root[x]] for p in parts]
+            merged = itertools.groupby(heapq.merge(*(p[::-1].tolist() for p in parts if p.size), reverse=True))
+            linked = np.zeros(0, dtype=np.int64)
+            while not linked.size and (some := [(y, sum(1 for _ in same)) for y, same in itertools.islice(merged, many)]):
+                y, hits = np.array(some).T
+                wanted = required(mine.size, lists.size[y], percent)
+                y, hits, wanted = (v[hits + aside >= wanted] for v in (y, hits, wanted))
+                if y.size:
+                    linked = y[hits + lists.holding(long, y) >= wanted]
+                many *= 4
+            if not linked.size:
+                break
+            for y in linked.tolist():
+                if forest.root(x) != forest.root(y):
+                    links.append((order[x], order[y]))
+                    forest.join(x, y)
+            parts, apart = [p[p < some[-1][0]] for p in parts], False
+        lists.seen[mine] += 1
     return links
 
 
