@@ -35,68 +35,115 @@ def words_of(docs: DataFrame, noise: int = 97) -> DataFrame:
     return rows.select(F.when(F.col("h") % noise == 0, shorter).otherwise(F.col("run")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def reduce_word(word: str, symbols: int) -> np.ndarray:
-    """The symbol of each letter, 0 to symbols - 1."""
-    letters = np.frombuffer(word.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
-    return mix64(letters * _BASE) % np.uint64(symbols)
+def reduce_words(words: list[str], symbols: int) -> np.ndarray:
+    """The symbols, 0 to symbols - 1, of the letters of words of one length: a row for each word."""
+    letters = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+    return (mix64(letters * _BASE) % np.uint64(symbols)).reshape(len(words), -1)
 
 
-def neighbourhood(reduced: np.ndarray, symbols: int) -> tuple[int, np.ndarray]:
-    """Hash of a reduced word, and the distinct hashes of it and of all that one edit makes of it.
-
-    A hash is a polynomial over the symbols, so that each neighbour's comes from those of a part before and a part
-    after the edit, in time that does not grow with the word's length.
-    """
-    n = reduced.size
+def _polynomials(reduced: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base, and the polynomial of each word's first letters, from none to all."""
+    rows, n = reduced.shape
     powers = np.ones(n + 2, dtype=np.uint64)
     powers[1:] = np.multiply.accumulate(np.full(n + 1, _BASE))
-    codes = reduced + np.uint64(1)
-    before = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(codes * powers[:n], out=before[1:])
-    after = before[n] - before  # of the letters from i on, at their own places
-    own = np.arange(1, symbols + 1, dtype=np.uint64)[:, None]
-    deleted = before[:n] + after[1:] * _INVERSE
-    replaced = (before[:n] + after[1:] + own * powers[:n]).ravel()
-    inserted = (before + after * _BASE + own * powers[: n + 1]).ravel()
-    ends = [(before[n : n + 1], n), (deleted, max(n - 1, 0)), (replaced, n), (inserted, n + 1)]
-    hashes = np.unique(np.concatenate([mix64(x ^ np.uint64(size)) for x, size in ends]))
-    return int(mix64(before[n : n + 1] ^ np.uint64(n)).view(np.int64)[0]), hashes.view(np.int64)
-
-
-def _reduced(words: DataFrame, symbols: int) -> DataFrame:
-    """words with two more columns: key, the hash of its reduced word, and near, the hashes of that one's neighbourhood."""
+    before = np.zeros((rows, n + 1), dtype=np.uint64)
+    np.cumsum((reduced + np.uint64(1)) * powers[:n], axis=1, out=before[:, 1:])
+    return powers, before
+
+
+def _hash(polynomials: np.ndarray, length: int) -> np.ndarray:
+    return mix64(polynomials ^ np.uint64(length)).view(np.int64)
+
+
+def keys_of(reduced: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each reduced word."""
+    return _hash(_polynomials(reduced)[1][:, -1].copy(), reduced.shape[1])
+
+
+def neighbourhoods(reduced: np.ndarray, symbols: int) -> np.ndarray:
+    """Hashes of each reduced word and of all that one edit makes of it, ascending, a row for each word; they may repeat.
+
+    A hash is of a polynomial over the symbols, so that each neighbour's comes from those of the parts before and after
+    the edit, in time that does not grow with the word's length.
+    """
+    rows, n = reduced.shape
+    powers, before = _polynomials(reduced)
+    after = before[:, -1:] - before  # of the letters from i on, at their own places
+    own = np.arange(1, symbols + 1, dtype=np.uint64)[:, None, None]
+    deleted = before[:, :-1] + after[:, 1:] * _INVERSE
+    replaced = before[:, :-1] + after[:, 1:] + own * powers[:n]
+    inserted = before + after * _BASE + own * powers[: n + 1]
+    flat = lambda x: x.transpose(1, 0, 2).reshape(rows, -1)
+    parts = [(before[:, -1:], n), (deleted, max(n - 1, 0)), (flat(replaced), n), (flat(inserted), n + 1)]
+    return np.sort(np.concatenate([_hash(np.ascontiguousarray(x), size) for x, size in parts], axis=1), axis=1)
+
+
+def _by_length(words: list[str], symbols: int, most: int = 1 << 21):
+    """Places of words of one length, a few MB of neighbours at a time."""
+    places: dict[int, list[int]] = {}
+    for i, w in enumerate(words):
+        places.setdefault(len(w), []).append(i)
+    for n, at in places.items():
+        step = max(1, most // ((2 * n + 2) * symbols))
+        yield from (at[k : k + step] for k in range(0, len(at), step))
+
+
+def _keyed(words: DataFrame, symbols: int) -> DataFrame:
+    """words (word, n) with key, the hash of the reduced word."""
 
     def work(batches):
         for b in batches:
-            found = [neighbourhood(reduce_word(w, symbols), symbols) for w in b.column("word").to_pylist()]
-            key, near = zip(*found, strict=True) if found else ((), ())
-            more = [pa.array(key, pa.int64()), pa.array(near, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*b.columns, *more], [*b.schema.names, "key", "near"])
+            words = b.column("word").to_pylist()
+            keys = np.zeros(len(words), dtype=np.int64)
+            for at in _by_length(words, symbols):
+                keys[at] = keys_of(reduce_words([words[i] for i in at], symbols))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys)], [*b.schema.names, "key"])
+
+    return words.select("word", "n").mapInArrow(work, "word string, n long, key long")
+
+
+def _neighbours(reduced: DataFrame, symbols: int) -> DataFrame:
+    """(key, near_key) of each row of reduced (key, word, alone): what its neighbourhood has, itself only if it is not alone."""
+
+    def work(batches):
+        for b in batches:
+            words = b.column("word").to_pylist()
+            key, alone = b.column("key").to_numpy(), b.column("alone").to_numpy(zero_copy_only=False)
+            for at in _by_length(words, symbols):
+                near = neighbourhoods(reduce_words([words[i] for i in at], symbols), symbols)
+                keep = np.ones(near.shape, dtype=bool)
+                keep[:, 1:] = near[:, 1:] != near[:, :-1]
+                keep &= (near != key[at][:, None]) | ~alone[at][:, None]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(key[at], keep.sum(axis=1))), pa.array(near[keep])], ["key", "near_key"])
+
+    return reduced.mapInArrow(work, "key long, near_key long")
+
 
-    return words.mapInArrow(work, "word string, n long, key long, near array<long>")
+#: Up to so many reduced words, 8 bytes each, are broadcast; more are joined by a shuffle.
+BROADCAST_KEYS = 2_000_000
 
 
-def _sized(few: DataFrame) -> DataFrame:
+def _sized(few: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """A written table as the right side of a join: broadcast if it is small enough, else shuffled."""
-    return few.hint("broadcast" if few.count() <= BROADCAST_ROWS else "shuffle_hash")
+    return few.hint("broadcast" if few.count() <= most else "shuffle_hash")
 
 
-def near_words(words: DataFrame, symbols: int = 16) -> DataFrame:
+def near_words(words: DataFrame, symbols: int = 8) -> DataFrame:
     """(word, n, other, other_n): each ordered pair of distinct words of words (word, n) that one edit turns into each other.
 
-    An edit inserts, deletes or replaces one code point.  With 16 symbols a word of L letters has about 32 L neighbours, and
-    reduced words of 5 letters fall into a million; fewer symbols make fewer neighbours and more pairs to verify.
+    An edit inserts, deletes or replaces one code point.  With 8 symbols a word of L letters has about 16 L neighbours, and
+    words of 8 letters fall into 17 million reduced ones; fewer symbols make fewer neighbours and more pairs to verify.
+    Neighbours are made from one word of each reduced word and meet the reduced vocabulary at once, as hashes; only those that
+    are in it go on, to the words behind them.
     """
-    reduced = cut(_reduced(words, symbols), "reduced")
-    # Reduced words that meet, by their hashes alone; a word without neighbours in the vocabulary gets no further.
-    keys = cut(reduced.select("key").distinct(), "keys")
-    distinct = reduced.groupBy("key").agg(F.first("near").alias("near"))
-    met = distinct.select("key", F.explode("near").alias("near_key")).join(_sized(keys.withColumnRenamed("key", "near_key")), "near_key")
-    lone = reduced.groupBy("key").agg((F.count(F.lit(1)) == 1).alias("alone"))
-    met = cut(met.join(lone, "key").filter("key != near_key OR NOT alone").select("key", "near_key"), "met")
-    plain = cut(reduced.select("word", "n", "key"), "plain")
+    plain = cut(_keyed(words, symbols), "keyed")
+    reduced = plain.groupBy("key").agg(F.min("word").alias("word"), (F.count(F.lit(1)) == 1).alias("alone"))
+    reduced = cut(reduced, "reduced")
+    tasks = max(1, min(10_000, reduced.count() // 10_000))
+    known = _sized(reduced.select(F.col("key").alias("near_key")), BROADCAST_KEYS)
+    met = cut(_neighbours(reduced.repartition(tasks), symbols).join(known, "near_key"), "met")
     others = plain.select(F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("key").alias("near_key"))
-    pairs = met.join(plain.hint("shuffle_hash"), "key").join(others.hint("shuffle_hash"), "near_key").filter("word != other")
+    pairs = met.join(plain, "key").join(others, "near_key").filter("word != other")
     return pairs.filter(F.levenshtein("word", "other", 1) == 1).select("word", "n", "other", "other_n")
 
 
@@ -121,7 +168,7 @@ def roots(forms: DataFrame) -> DataFrame:
         jump = cut(twice.select("word", F.coalesce("further", "via").alias("form")), "jumps")
 
 
-def group_variants(docs: DataFrame, least_letters: int = 5, least_n: int = 3, factor: int = 2, noise: int = 97, symbols: int = 16) -> DataFrame:
+def group_variants(docs: DataFrame, least_letters: int = 5, least_n: int = 3, factor: int = 2, noise: int = 97, symbols: int = 8) -> DataFrame:
     """(word, n, n_near, form, form_n, root): the words of docs (doc_id, text) with at least so many letters and occurrences.
 
     n_near counts the words that one edit leads to.  form is the most frequent of these (of ties the smallest in the order
