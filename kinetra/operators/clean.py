@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from kinetra.functions.scalars import choose, is_finite, magnitude
+from kinetra.operators.quantiles import quantiles
+from kinetra.operators.scan import WIDTH, scan
 
 SIGNAL = ("session_id", "signal")
 VALUES = ("t_ms", "x", "y", "z")
@@ -27,21 +28,24 @@ def finite_rows(df: DataFrame, cols: tuple[str, ...] = VALUES) -> DataFrame:
 def clean_timeline(df: DataFrame, values: tuple[str, ...] = ("x", "y", "z"), keys: tuple[str, ...] = SIGNAL) -> DataFrame:
     """One row for each time: of rows with equal times the first in file order.
 
-    An aggregate with partial results per task, so no window sorts the raw rows.
+    A hash aggregate with partial results per task: no window sorts the raw rows, and a time that many rows have costs a row
+    a task.  It hashes where row_idx is a number, for numbers are replaced in place; of rows that share time and
+    row_idx too, which no reader gives, values may mix.
     """
-    first = F.min_by(F.struct(*values), F.col("row_idx"))
-    return df.groupBy(*keys, "t_ms").agg(first.alias("v")).select(*keys, "t_ms", "v.*")
+    return df.groupBy(*keys, "t_ms").agg(*(F.min_by(v, "row_idx").alias(v) for v in values))
 
 
-def clean_stats(df: DataFrame, keys: tuple[str, ...] = SIGNAL) -> DataFrame:
-    """total, bad (unparsable), finite, clean (distinct times), duplicates and non_positive_dt in file order."""
-    w = Window.partitionBy(*keys).orderBy("row_idx")
+def clean_stats(df: DataFrame, keys: tuple[str, ...] = SIGNAL, width: float = WIDTH) -> DataFrame:
+    """total, bad (unparsable), finite, clean (distinct times), duplicates and non_positive_dt in file order.
+
+    Steps are taken in chunks of width row numbers.
+    """
     parsed = F.lit(True)
     good = F.lit(True)
     for c in VALUES:
         parsed, good = parsed & F.col(c).isNotNull(), good & is_finite(F.col(c))
     rows = df.select(*keys, "row_idx", "t_ms", parsed.alias("parsed"), good.alias("good"))
-    steps = rows.filter("good").select(*keys, (F.col("t_ms") - F.lag("t_ms").over(w)).alias("dt"), "t_ms")
+    steps = scan(rows.filter("good").select(*keys, "row_idx", "t_ms"), keys, "row_idx", ("t_ms",), width).select(*keys, (F.col("t_ms") - F.col("before.t_ms")).alias("dt"), "t_ms")
     by_file = steps.groupBy(*keys).agg(F.count_if(F.col("dt") <= 0).alias("non_positive_dt"), F.countDistinct("t_ms").alias("clean"), F.count(F.lit(1)).alias("finite"))
     totals = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"), F.count_if(~F.col("parsed")).alias("bad"))
     out = totals.join(by_file, list(keys), "left")
@@ -73,26 +77,35 @@ def drop_startup(df: DataFrame, seconds: float, keys: tuple[str, ...] = SIGNAL)
     return df.join(first, list(keys)).filter(F.col("t_ms") >= F.col("t_first") + seconds * 1000.0).drop("t_first")
 
 
-def trim_overlap(clean: DataFrame, min_rows: dict[str, int], key: str = "session_id") -> DataFrame:
+def overlaps(clean: DataFrame, min_rows: dict[str, int], key: str = "session_id", stats: DataFrame | None = None) -> DataFrame:
+    """(key, lo, hi, reason) of every session: the time that all signals of min_rows cover, and why it cannot be used.
+
+    Reasons, the first that applies: a signal is missing, no overlap, a signal has too few rows in it.
+    stats: time_stats() of the signals where they are known already.
+    """
+    stats = time_stats(clean, (key, "signal")) if stats is None else stats
+    has = [F.bool_or(F.col("signal") == s).alias(f"has_{i}") for i, s in enumerate(min_rows)]
+    span = stats.filter(F.col("signal").isin(*min_rows)).groupBy(key).agg(F.max("t_first").alias("lo"), F.min("t_last").alias("hi"), *has)
+    counts = [F.count_if(F.col("signal") == s).alias(f"n_{i}") for i, s in enumerate(min_rows)]
+    inside = clean.join(span.select(key, "lo", "hi"), key).filter(F.col("t_ms").between(F.col("lo"), F.col("hi"))).groupBy(key).agg(*counts)
+    checks = [(~F.col(f"has_{i}"), f"{s}: missing") for i, s in enumerate(min_rows)] + [(F.col("hi") <= F.col("lo"), "no overlap")]
+    checks += [(F.coalesce(f"n_{i}", F.lit(0)) < least, f"{s}: too few overlap rows") for i, (s, least) in enumerate(min_rows.items())]
+    return span.join(inside, key, "left").select(key, "lo", "hi", F.coalesce(*(F.when(cond, F.lit(text)) for cond, text in checks)).alias("reason"))
+
+
+def trim_overlap(clean: DataFrame, min_rows: dict[str, int], key: str = "session_id", found: DataFrame | None = None) -> DataFrame:
     """Rows of all signals inside the time that all cover, times from 0 there.
 
-    Sessions go where a signal of min_rows is missing, nothing overlaps, or a signal keeps too few rows.
+    Sessions go where a signal of min_rows is missing, nothing overlaps, or a signal keeps too few rows, as overlaps() tells.
     """
-    stats = time_stats(clean, (key, "signal"))
-    span = stats.groupBy(key).agg(F.max("t_first").alias("lo"), F.min("t_last").alias("hi"), F.count(F.lit(1)).alias("signals"))
-    span = span.filter((F.col("hi") > F.col("lo")) & (F.col("signals") == len(min_rows))).drop("signals")
+    span = (overlaps(clean, min_rows, key) if found is None else found).filter("reason IS NULL").select(key, "lo", "hi")
     kept = clean.join(span, key).filter(F.col("t_ms").between(F.col("lo"), F.col("hi")))
-    counts = [F.count_if(F.col("signal") == s).alias(f"n_{i}") for i, s in enumerate(min_rows)]
-    enough = kept.groupBy(key).agg(*counts)
-    for i, least in enumerate(min_rows.values()):
-        enough = enough.filter(F.col(f"n_{i}") >= least)
-    return kept.join(enough.select(key), key, "left_semi").withColumn("t_ms", F.col("t_ms") - F.col("lo")).drop("lo", "hi")
+    return kept.withColumn("t_ms", F.col("t_ms") - F.col("lo")).drop("lo", "hi")
 
 
 def infer_unit(clean: DataFrame, keys: tuple[str, ...] = SIGNAL) -> DataFrame:
     """Median vector magnitude of each signal and the unit it tells: g, m/s2 or null."""
-    m = F.median(magnitude(F.col("x"), F.col("y"), F.col("z")))
-    out = clean.groupBy(*keys).agg(m.alias("median_magnitude"))
+    out = quantiles(clean, keys, magnitude(F.col("x"), F.col("y"), F.col("z")), median_magnitude=0.5).drop("count")
     unit = F.when(F.col("median_magnitude").between(0.7, 1.5), "g").when(F.col("median_magnitude").between(6.0, 15.0), "m/s2")
     return out.withColumn("unit", unit)
 

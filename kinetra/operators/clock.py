@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from kinetra.operators.scan import scan
 
 
 def data_loss(rows: DataFrame, hz: float, skip: int = 100, slack_us: float = 300.0, key: str = "file") -> DataFrame:
@@ -15,8 +16,8 @@ def data_loss(rows: DataFrame, hz: float, skip: int = 100, slack_us: float = 300
     gap but no row to count from, lost_pct is null.
     """
     p = 1e6 / hz
-    w = Window.partitionBy(key).orderBy("row_idx")
-    numbered = rows.select(key, "ts", F.row_number().over(w).alias("nth"), F.lag("ts").over(w).alias("before"))
+    seen = scan(rows.select(key, "row_idx", "ts"), (key,), "row_idx", ("ts",))
+    numbered = seen.select(key, "ts", (F.col("nth") + 1).alias("nth"), F.col("before.ts").alias("before"))
     gap = F.when((F.col("nth") > skip + 1) & (F.col("ts") - F.col("before") > p + slack_us), F.col("ts") - F.col("before"))
     per = numbered.groupBy(key).agg(
         F.count(F.lit(1)).alias("n"), F.max_by("ts", "nth").alias("last"), F.max(F.when(F.col("nth") == skip + 11, F.col("ts"))).alias("origin"),
@@ -43,12 +44,12 @@ def frame_utc(rows: DataFrame, skip_sec: float = 5.0, least_rows: int = 200, lea
     left after the warm-up, all rows count.  Files of fewer than least_rows rows or two anchors keep utc.
     The fit: n, anchors, ppm (deviation of b from 0.001), residual_std; sums are taken about the file's means.
     """
-    w = Window.partitionBy(key).orderBy("row_idx")
     head = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min_by("ts", "row_idx").alias("ts0"), F.min_by("utc", "row_idx").alias("utc0"))
     seen = rows.join(head, key).withColumn("settled", F.col("ts") - F.col("ts0") >= skip_sec * 1e6)
     stable = seen.groupBy(key).agg(F.count_if("settled").alias("stable"))
     used = seen.join(stable, key).filter(F.col("settled") | (F.col("stable") < least_stable))
-    anchors = used.select(key, "n", (F.col("ts") - F.col("ts0")).cast("double").alias("x"), (F.col("utc") - F.col("utc0")).cast("double").alias("y"), (F.col("utc") != F.lag("utc").over(w)).alias("step")).filter("step")
+    used = scan(used.select(key, "n", "row_idx", "utc", (F.col("ts") - F.col("ts0")).cast("double").alias("x"), (F.col("utc") - F.col("utc0")).cast("double").alias("y")), (key,), "row_idx", ("utc",))
+    anchors = used.filter(F.col("utc") != F.col("before.utc")).select(key, "n", "x", "y")
     fit = anchors.groupBy(key).agg(F.count(F.lit(1)).alias("anchors"), F.regr_slope("y", "x").alias("b"), F.regr_intercept("y", "x").alias("a"))
     good = (F.col("n") >= least_rows) & (F.coalesce("anchors", F.lit(0)) >= 2) & F.col("b").isNotNull()
     residuals = anchors.join(fit, key).groupBy(key).agg(F.stddev_pop(F.col("y") - F.col("a") - F.col("b") * F.col("x")).alias("residual_std"))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from kinetra.functions.scalars import bin_index, choose
 from kinetra.operators.clean import SIGNAL, time_stats
+from kinetra.operators.quantiles import quantiles
 
 
 def bin_range(clean: DataFrame, width: float, origin: str = "floor", keys: tuple[str, ...] = SIGNAL, stats: DataFrame | None = None) -> DataFrame:
@@ -35,11 +37,14 @@ def bin_summary(clean: DataFrame, bins: DataFrame, width: float, origin: str = "
     """bins, valid_ratio, least, median and largest count, and the first bad bins, over the dense bin range."""
     dense = bin_range(clean, width, origin, keys).filter("n_bins > 0").select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_bins").cast("long") - 1)).alias("bin"))
     every = dense.join(bins, [*keys, "bin"], "left").select(*keys, "bin", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("valid", F.lit(False)).alias("valid"))
-    bad = F.slice(F.array_sort(F.collect_list(F.when(~F.col("valid"), F.col("bin")))), 1, first_bad)
-    return every.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("bins"), F.avg(F.col("valid").cast("double")).alias("valid_ratio"), F.min("n").alias("min_n"),
-        F.median("n").alias("median_n"), F.max("n").alias("max_n"), bad.alias("bad_bins"),
-    )
+    out = every.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("bins"), F.avg(F.col("valid").cast("double")).alias("valid_ratio"), F.min("n").alias("min_n"), F.max("n").alias("max_n")
+    )
+    invalid = every.filter(~F.col("valid")).select(*keys, "bin", F.row_number().over(Window.partitionBy(*keys).orderBy("bin")).alias("nth")).filter(F.col("nth") <= first_bad)
+    bad = invalid.groupBy(*keys).agg(F.array_sort(F.collect_list("bin")).alias("bad_bins"))
+    middle = quantiles(every, keys, F.col("n"), median_n=0.5).drop("count")
+    out = out.join(middle, list(keys)).join(bad, list(keys), "left")
+    return out.select(*keys, "bins", "valid_ratio", "min_n", "median_n", "max_n", F.coalesce("bad_bins", F.array().cast("array<bigint>")).alias("bad_bins"))
 
 
 def touched_bins(segments: DataFrame, ranges: DataFrame, width: float) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from kinetra.operators.clean import SIGNAL, avg_hz
+from kinetra.operators.quantiles import quantiles
+from kinetra.operators.scan import WIDTH, scan
 
 
 def run_summary(status: DataFrame, files: DataFrame | None = None) -> DataFrame:
@@ -36,26 +37,32 @@ def run_summary(status: DataFrame, files: DataFrame | None = None) -> DataFrame:
     return out
 
 
-def timeline_summary(df: DataFrame, keys: tuple[str, ...] = SIGNAL) -> DataFrame:
+def _steps(df: DataFrame, keys: tuple[str, ...], width: float) -> DataFrame:
+    """(keys, t_ms, dt): the time since the row before in file order, taken in chunks of width row numbers."""
+    rows = scan(df.select(*keys, "row_idx", "t_ms"), keys, "row_idx", ("t_ms",), width)
+    return rows.select(*keys, "t_ms", (F.col("t_ms") - F.col("before.t_ms")).alias("dt"))
+
+
+def timeline_summary(df: DataFrame, keys: tuple[str, ...] = SIGNAL, width: float = WIDTH) -> DataFrame:
     """duration_sec, hz, median, least, 95th percentile and largest dt in file order, the dt that occurs most.
 
     dt is rounded to 3 digits for the mode; of equally frequent ones the least counts.
     """
-    w = Window.partitionBy(*keys).orderBy("row_idx")
-    steps = df.select(*keys, "t_ms", (F.col("t_ms") - F.lag("t_ms").over(w)).alias("dt"))
+    steps = _steps(df, keys, width)
     mode = steps.filter(F.col("dt").isNotNull()).groupBy(*keys, F.round("dt", 3).alias("r")).agg(F.count(F.lit(1)).alias("c"))
     mode = mode.groupBy(*keys).agg(F.min_by("r", F.struct(-F.col("c"), F.col("r"))).alias("dt_mode"))
     out = steps.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), ((F.max("t_ms") - F.min("t_ms")) / 1000.0).alias("duration_sec"), F.median("dt").alias("dt_median"),
-        F.min("dt").alias("dt_min"), F.percentile("dt", 0.95).alias("dt_p95"), F.max("dt").alias("dt_max"), F.count_if(F.col("dt") <= 0).alias("non_positive_dt"),
+        F.count(F.lit(1)).alias("n"), ((F.max("t_ms") - F.min("t_ms")) / 1000.0).alias("duration_sec"),
+        F.min("dt").alias("dt_min"), F.max("dt").alias("dt_max"), F.count_if(F.col("dt") <= 0).alias("non_positive_dt"),
     )
-    return out.withColumn("hz", F.when(F.col("duration_sec") > 0, (F.col("n") - 1) / F.col("duration_sec"))).join(mode, list(keys), "left")
+    middle = quantiles(steps, keys, F.col("dt"), dt_median=0.5, dt_p95=0.95).drop("count")
+    out = out.withColumn("hz", F.when(F.col("duration_sec") > 0, (F.col("n") - 1) / F.col("duration_sec")))
+    return out.join(middle, list(keys), "left").join(mode, list(keys), "left")
 
 
-def dt_histogram(df: DataFrame, period_ms: float, tolerance: float = 1e-6, top: int = 10, keys: tuple[str, ...] = SIGNAL) -> DataFrame:
+def dt_histogram(df: DataFrame, period_ms: float, tolerance: float = 1e-6, top: int = 10, keys: tuple[str, ...] = SIGNAL, width: float = WIDTH) -> DataFrame:
     """(dt, n, exact) of the most common steps, rounded to 6 digits; off_period counts all steps that differ."""
-    w = Window.partitionBy(*keys).orderBy("row_idx")
-    steps = df.select((F.col("t_ms") - F.lag("t_ms").over(w)).alias("dt")).filter(F.col("dt").isNotNull())
+    steps = _steps(df, keys, width).select("dt").filter(F.col("dt").isNotNull())
     counted = steps.groupBy(F.round("dt", 6).alias("dt")).agg(F.count(F.lit(1)).alias("n"))
     off = steps.agg(F.count_if(F.abs(F.col("dt") - period_ms) > tolerance).alias("off_period"))
     return counted.orderBy(F.desc("n"), "dt").limit(top).crossJoin(off).withColumn("exact", F.abs(F.col("dt") - period_ms) <= tolerance)
@@ -82,20 +89,22 @@ def robust_range(df: DataFrame, key: tuple[str, ...], value: str) -> DataFrame:
     is not finite, gives (-1, 1).
     """
     finite = F.coalesce(~F.isnan(value) & (F.abs(value) != float("inf")), F.lit(False))
-    q = df.groupBy(*key).agg(F.when(F.bool_and(finite), F.percentile(value, F.array(F.lit(0.01), F.lit(0.99)))).alias("q")).select(*key, F.get("q", 0).alias("a"), F.get("q", 1).alias("b"))
+    whole = df.groupBy(*key).agg(F.bool_and(finite).alias("whole")).alias("w")
+    ends = quantiles(df, key, F.col(value), a=0.01, b=0.99).alias("q")
+    q = whole.join(ends, [F.col(f"w.{k}").eqNullSafe(F.col(f"q.{k}")) for k in key] + [F.col("w.whole")], "left")
+    q = q.select(*(F.col(f"w.{k}").alias(k) for k in key), "q.a", "q.b")
     pad = F.when(F.col("a") == F.col("b"), F.greatest(F.abs("b"), F.lit(1.0)) * 0.1).otherwise((F.col("b") - F.col("a")) * 0.12)
     return q.select(*key, F.coalesce(F.col("a") - pad, F.lit(-1.0)).alias("lo"), F.coalesce(F.col("b") + pad, F.lit(1.0)).alias("hi"))
 
 
-def downsample(df: DataFrame, most: int = 900, keys: tuple[str, ...] = SIGNAL, order: str = "t_ms") -> DataFrame:
+def downsample(df: DataFrame, most: int = 900, keys: tuple[str, ...] = SIGNAL, order: str = "t_ms", width: float = 500_000.0) -> DataFrame:
     """At most so many evenly spaced rows of each series: number trunc(i * (n - 1) / (most - 1)) for each i.
 
     Series of up to most rows stay whole.  A row is wanted if the first i at or above its place leads to it, so
-    each row decides by itself.
+    each row decides by itself.  Places are counted in chunks of the order, width units long.
     """
-    w = Window.partitionBy(*keys).orderBy(order)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    rows = df.withColumn("nth", F.row_number().over(w) - 1).join(counts, list(keys))
+    rows = scan(df, keys, order, (order,), width).drop("before").join(counts, list(keys))
     if most < 2:
         return rows.filter(F.col("nth") < most).drop("nth", "n")
     i = F.floor((F.col("nth") * (most - 1) + F.col("n") - 2) / (F.col("n") - 1))  # the least i with i * (n-1) >= nth * (most-1)

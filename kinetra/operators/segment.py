@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from kinetra.functions.scalars import segment_dir
+from kinetra.operators.scan import scan
 from kinetra.spec import ModeSpec
 
 POINTS = "array<array<float>>"
@@ -88,9 +89,9 @@ def strict_period(rows: DataFrame, period_us: int, tolerance_us: int = 0, key: s
 
     Steps are exact microseconds.  One bad step rejects the whole session; the row it leads to is reported.
     """
-    w = Window.partitionBy(key).orderBy("row_idx")
-    step = F.col("t_us") - F.lag("t_us").over(w)
-    steps = rows.select(key, "row_idx", (F.abs(step - period_us) > tolerance_us).alias("bad"))
+    step = F.col("t_us") - F.col("before.t_us")
+    seen = scan(rows.select(key, "row_idx", "t_us"), (key,), "row_idx", ("t_us",))
+    steps = seen.select(key, "row_idx", (F.abs(step - period_us) > tolerance_us).alias("bad"))
     return steps.groupBy(key).agg(F.count(F.lit(1)).alias("n"), (F.count_if("bad") == 0).alias("ok"), F.min(F.when(F.col("bad"), F.col("row_idx"))).alias("first_bad_row"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,17 +28,25 @@ class Result:
     status: DataFrame
 
 
-def _skips(spec: SourceSpec, raw: DataFrame, per: DataFrame, grids: DataFrame, sessions: DataFrame | None) -> DataFrame:
+def _wide(spec: SourceSpec, stats: DataFrame, suffix: str = "") -> DataFrame:
+    """(session_id, a struct for each signal), from a row of time statistics a signal."""
+    each = F.struct("n", "t_first", "t_last")
+    return stats.groupBy("session_id").agg(*(F.first(F.when(F.col("signal") == s, each), ignorenulls=True).alias(s + suffix) for s in spec.signals))
+
+
+def _skips(spec: SourceSpec, raw: DataFrame, whole: DataFrame, stats: DataFrame, grids: DataFrame, trimmed: DataFrame | None, sessions: DataFrame | None) -> DataFrame:
     """(session_id, reason): the first reason that applies, from one row of statistics a session.
 
-    Order: excluded device, unknown label, then for each signal missing, too few unique rows, no duration, low rate;
-    then overlap, overshooting grid and too few frames.
+    Order: excluded device, unknown label, then for each signal missing, too few unique rows, too short after the start-up
+    drop; overlap of the signals where they are trimmed to it; no duration, low rate; then overlap, overshooting grid and
+    too few frames.  whole: statistics of signals before anything is cut off; trimmed: overlaps() of the signals.
     """
-    wide = per.groupBy("session_id").agg(*(F.first(F.when(F.col("signal") == s, F.struct("n", "t_first", "t_last")), ignorenulls=True).alias(s) for s in spec.signals))
     every = raw.select("session_id").distinct()
     if sessions is not None:
         every = every.join(sessions, "session_id", "left")
-    rows = every.join(wide, "session_id", "left").join(grids.select("session_id", "n_frames", "overshoot"), "session_id", "left")
+    rows = every.join(_wide(spec, whole, "_whole"), "session_id", "left").join(_wide(spec, stats), "session_id", "left").join(grids.select("session_id", "n_frames", "overshoot"), "session_id", "left")
+    if trimmed is not None:
+        rows = rows.join(trimmed.select("session_id", F.col("reason").alias("overlap")), "session_id", "left")
     checks: list[tuple[Column, Column]] = []
     if sessions is not None and spec.excluded:
         bad = F.lit(False)
@@ -46,15 +55,16 @@ def _skips(spec: SourceSpec, raw: DataFrame, per: DataFrame, grids: DataFrame, s
         checks.append((bad, F.lit("excluded device")))
     if sessions is not None and spec.label_map:
         checks.append((~F.coalesce(F.col("finger_raw").isin(*spec.label_map), F.lit(False)), F.concat(F.lit("unknown label: "), F.coalesce("finger_raw", F.lit("")))))
-    steps = [
-        ("missing", lambda s: F.col(s).isNull()),
-        ("too few unique rows", lambda s: F.col(f"{s}.n") < 2),
-        ("no duration", lambda s: F.col(f"{s}.t_last") <= F.col(f"{s}.t_first")),
-    ]
+    steps = [("missing", lambda s: F.col(f"{s}_whole").isNull()), ("too few unique rows", lambda s: F.col(f"{s}_whole.n") < 2)]
+    if spec.startup_sec > 0:
+        steps.append(("too short after start-up drop", lambda s: F.coalesce(F.col(f"{s}.n"), F.lit(0)) < (spec.min_frames if spec.startup_rows is None else spec.startup_rows)))
+    if trimmed is not None:
+        steps.append(("", None))
+    steps.append(("no duration", lambda s: F.col(f"{s}.t_last") <= F.col(f"{s}.t_first")))
     if spec.min_hz is not None:
         steps.append(("low average rate", lambda s: c.average_hz(F.col(f"{s}.n"), F.col(f"{s}.t_first"), F.col(f"{s}.t_last"), spec.hz_formula) < spec.min_hz))
     for what, test in steps:  # acc before gyro at every step
-        checks += [(test(s), F.lit(f"{s}: {what}")) for s in spec.signals]
+        checks += [(test(s), F.lit(f"{s}: {what}")) for s in spec.signals] if test else [(F.col("overlap").isNotNull(), F.col("overlap"))]
     checks += [
         (F.col("n_frames").isNull(), F.lit("no overlap")),
         (F.coalesce("overshoot", F.lit(False)) if spec.grid_end == "tolerance" else F.lit(False), F.lit("grid outside the timeline")),
@@ -70,21 +80,27 @@ def resample_and_segment(raw: DataFrame, spec: SourceSpec, sessions: DataFrame |
     accepted segments are ever made.  Cleaned samples, their statistics, the accepted segments and the finished arrays
     are written once each and read from there: raw samples are read once, and once more for the ids of sessions.
     Segments are numbered by order, which is made of columns of the session's id, then by that id.
-    Recordings are resampled in chunks of chunk_ms, by default as long as 100,000 frames.
+    Recordings are resampled in chunks of chunk_ms, by default as long as 100,000 frames.  min_rows: rows that each signal
+    of a trimmed source must have in the overlap, by default as many as a bin needs.
     """
     chunk_ms = chunk_ms or 100_000 * spec.period_ms
-    finite = c.drop_startup(c.finite_rows(raw), spec.startup_sec)
-    cleaned = c.clean_timeline(finite)
+    cleaned = c.clean_timeline(c.finite_rows(raw))
+    whole = trimmed = None
+    if spec.startup_sec > 0 or spec.trim or spec.bin_origin == "zero":
+        cleaned = cut(cleaned, "clean")
+        whole = cut(c.time_stats(cleaned), "whole")
+        cleaned = c.drop_startup(cleaned, spec.startup_sec)
     if spec.trim:
-        cleaned = c.trim_overlap(cut(cleaned, "clean"), min_rows or {s: 2 for s in spec.signals})
+        before = None if spec.startup_sec > 0 else whole
+        trimmed = cut(c.overlaps(cleaned, min_rows or {s: math.ceil(n) for s, n in spec.min_bin.items()}, stats=before), "overlaps")
+        cleaned = c.trim_overlap(cleaned, {}, found=trimmed)
     elif spec.bin_origin == "zero":
-        cleaned = cut(cleaned, "clean")
         first = cleaned.groupBy("session_id").agg(F.min("t_ms").alias("t0"))
         cleaned = cleaned.join(first, "session_id").withColumn("t_ms", F.col("t_ms") - F.col("t0")).drop("t0")
     cleaned = cut(cleaned, "cleaned")
     stats = cut(c.time_stats(cleaned), "stats")
     grids = grid(cleaned, spec.period_ms, spec.grid_end, from_zero=spec.bin_origin == "zero", signals=len(spec.signals), stats=stats)
-    skips = cut(_skips(spec, raw, stats, grids, sessions), "skips")
+    skips = cut(_skips(spec, raw, stats if whole is None else whole, stats, grids, trimmed, sessions), "skips")
     usable = cut(grids.join(skips.filter("reason is null").select("session_id"), "session_id", "left_semi"), "grids")
     cand = candidates(usable, spec.modes, spec.period_ms)
     bins = quality_bins(cleaned, spec.bin_ms, spec.min_bin, spec.bin_origin, stats=stats)
@@ -102,8 +118,9 @@ def resample_and_segment(raw: DataFrame, spec: SourceSpec, sessions: DataFrame |
         labels = sessions.select("session_id", F.to_json(F.struct(choose(spec.label_map, F.col("finger_raw")).alias("finger"))).alias("label"))
         numbers = numbers.join(labels, "session_id", "left")
     else:
-        padded = any(m.min_real for m in spec.modes)
-        text = F.to_json(F.struct((F.col("frames") - F.col("real")).alias("pad_frames"))) if padded else F.lit("{}")
+        padded = [(F.col("frames") - F.col("real")).alias("pad_frames")] if any(m.min_real for m in spec.modes) else []
+        parts = [F.lit(value).alias(name) for name, value in spec.label.items()] + padded
+        text = F.to_json(F.struct(*parts)) if parts else F.lit("{}")
         numbers = numbers.withColumn("label", text)
     numbers = cut(numbers, "numbers")
     entries = manifest_entry(numbers, spec.src, spec.device, spec.freq, F.col("label"))

@@ -49,7 +49,7 @@ def clean_timeline(spark, sf):
 @query(v.DUP_SQL + """, d AS (SELECT *, t_ms - lag(t_ms) OVER (PARTITION BY session_id ORDER BY row_idx) AS dt FROM raw)
 SELECT session_id, signal, count(*) AS total, 0 AS bad, count(*) AS finite, count(DISTINCT t_ms) AS clean, count(*) FILTER (WHERE dt <= 0) AS non_positive_dt, count(*) - count(DISTINCT t_ms) AS duplicates FROM d GROUP BY session_id, signal""")
 def clean_stats(spark, sf):
-    return c.clean_stats(v.raw_dup(spark, sf)).withColumn("bad", F.col("bad").cast("int"))
+    return c.clean_stats(v.raw_dup(spark, sf), width=v.DUP_WIDTH).withColumn("bad", F.col("bad").cast("int"))
 
 
 @query(v.RAW_SQL + ", f AS (SELECT * REPLACE (CASE WHEN row_idx % 7 = 0 THEN CAST('nan' AS DOUBLE) WHEN row_idx % 11 = 0 THEN NULL ELSE x END AS x) FROM raw) SELECT * FROM f WHERE x IS NOT NULL AND NOT isnan(x)")
@@ -88,7 +88,7 @@ def timeline_summary(spark, sf):
 @query(v.DUP_SQL + """, d AS (SELECT t_ms - lag(t_ms) OVER (PARTITION BY session_id ORDER BY row_idx) AS dt FROM raw)
 SELECT round(dt, 6) AS dt, count(*) AS n, (SELECT count(*) FROM d WHERE abs(dt - 86400000.0) > 1e-6) AS off_period, abs(round(dt, 6) - 86400000.0) <= 1e-6 AS exact FROM d WHERE dt IS NOT NULL GROUP BY 1 ORDER BY n DESC, dt LIMIT 10""")
 def dt_histogram(spark, sf):
-    return report.dt_histogram(v.raw_dup(spark, sf), v.DAY)
+    return report.dt_histogram(v.raw_dup(spark, sf), v.DAY, width=v.DUP_WIDTH)
 
 
 _BINS = f"""br AS (SELECT session_id, signal, floor(t_first / {v.DAY}) * {v.DAY} AS bin_start, CAST(floor((ceil(t_last / {v.DAY}) * {v.DAY} - floor(t_first / {v.DAY}) * {v.DAY}) / {v.DAY}) AS BIGINT) AS n_bins FROM st),
@@ -262,7 +262,7 @@ def robust_range(spark, sf):
 w AS (SELECT DISTINCT session_id, signal, CAST(trunc(i * (n - 1) / 39.0) AS BIGINT) AS nth FROM (SELECT DISTINCT session_id, signal, n FROM o WHERE n > 40), range(0, 40) r(i))
 SELECT session_id, signal, row_idx, t_ms, x FROM o WHERE n <= 40 UNION ALL SELECT o.session_id, o.signal, row_idx, t_ms, x FROM o SEMI JOIN w USING (session_id, signal, nth)""")
 def downsample(spark, sf):
-    return report.downsample(v.raw_samples(spark, sf), 40).select("session_id", "signal", "row_idx", "t_ms", "x")
+    return report.downsample(v.raw_samples(spark, sf), 40, width=7 * v.DAY).select("session_id", "signal", "row_idx", "t_ms", "x")
 
 
 @query("d AS (SELECT user_id AS session_id, event_id AS row_idx, abs(epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY event_id) - 3600000000) > 18000000000 AS bad FROM events) SELECT session_id, count(*) AS n, count(*) FILTER (WHERE bad) = 0 AS ok, min(row_idx) FILTER (WHERE bad) AS first_bad_row FROM d GROUP BY 1")

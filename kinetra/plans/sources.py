@@ -11,7 +11,7 @@ from kinetra.functions.scalars import degrees_to_si, g_to_si, micros_to_ms, seco
 from kinetra.operators.clean import clean_timeline, finite_rows, infer_unit, relative_ms, to_si
 from kinetra.operators.report import run_summary
 from kinetra.plans.jobs import Result, resample_and_segment, segment_labelled
-from kinetra.scratch import cut
+from kinetra.scratch import cut, sized
 from kinetra.sources import readers
 from kinetra.spec import G, SourceSpec
 
@@ -55,27 +55,57 @@ def _finish(result: Result, files: DataFrame) -> SourceResult:
     return SourceResult(Result(result.segments, result.entries, status), files)
 
 
-def ring_job(spark: SparkSession, root: str, spec: SourceSpec) -> SourceResult:
-    """participant/session folders with ring_imu.csv (clock ticks, both signals in a row) and session.json."""
+def _ring(spark: SparkSession, root: str, read) -> tuple[DataFrame, DataFrame]:
+    """Raw samples and files of participant/session/ring_imu.csv: clock ticks, both signals in a row."""
     session = F.concat_ws("/", _part(-3), _part(-2))
     names = ["timestamp", "accX", "accY", "accZ", "gyroX", "gyroY", "gyroZ"]
-    rows, status = readers.read_csv_strict(spark, f"{root}/*/*/ring_imu.csv", names)
+    rows, status = read(spark, f"{root}/*/*/ring_imu.csv", names)
     t = ticks_to_ms(F.col("timestamp"))
     raw = _signal(rows, session, "acc", t, *map(F.col, names[1:4])).unionByName(_signal(rows, session, "gyro", t, *map(F.col, names[4:])))
-    sessions = readers.read_sessions(spark, f"{root}/*/*/session.json").withColumn("session_id", session).drop("path")
-    return _finish(resample_and_segment(cut(raw, "raw"), spec, sessions), _files(status, session, "acc"))
+    return cut(raw, "raw"), _files(status, session, "acc")
 
 
-def phone_job(spark: SparkSession, root: str, spec: SourceSpec) -> SourceResult:
-    """participant/session folders with phone_acc.csv and phone_gyro.csv (ms) and session.json."""
+def _phone(spark: SparkSession, root: str, read) -> tuple[DataFrame, DataFrame]:
+    """Raw samples and files of participant/session/phone_acc.csv and phone_gyro.csv, in ms."""
     session = F.concat_ws("/", _part(-3), _part(-2))
     raw = files = None
     for signal in ("acc", "gyro"):
-        rows, status = readers.read_csv_strict(spark, f"{root}/*/*/phone_{signal}.csv", ["timestamp", *XYZ])
+        rows, status = read(spark, f"{root}/*/*/phone_{signal}.csv", ["timestamp", *XYZ])
         one, own = _signal(rows, session, signal, F.col("timestamp"), *map(F.col, XYZ)), _files(status, session, signal)
         raw, files = (one, own) if raw is None else (raw.unionByName(one), files.unionByName(own))
-    sessions = readers.read_sessions(spark, f"{root}/*/*/session.json").withColumn("session_id", session).drop("path")
-    return _finish(resample_and_segment(cut(raw, "raw"), spec, sessions), files)
+    return cut(raw, "raw"), files
+
+
+def _sessions(spark: SparkSession, root: str) -> DataFrame:
+    session = F.concat_ws("/", _part(-3), _part(-2))
+    return readers.read_sessions(spark, f"{root}/*/*/session.json").withColumn("session_id", session).drop("path")
+
+
+def ring_job(spark: SparkSession, root: str, spec: SourceSpec) -> SourceResult:
+    """participant/session folders with ring_imu.csv and session.json; one bad cell rejects a file."""
+    raw, files = _ring(spark, root, readers.read_csv_strict)
+    return _finish(resample_and_segment(raw, spec, _sessions(spark, root)), files)
+
+
+def phone_job(spark: SparkSession, root: str, spec: SourceSpec) -> SourceResult:
+    """participant/session folders with phone_acc.csv, phone_gyro.csv and session.json; one bad cell rejects a file."""
+    raw, files = _phone(spark, root, readers.read_csv_strict)
+    return _finish(resample_and_segment(raw, spec, _sessions(spark, root)), files)
+
+
+def daily_ring_job(spark: SparkSession, root: str, spec: SourceSpec) -> SourceResult:
+    """Day-long recordings, participant/session/ring_imu.csv without session.json: bad rows are dropped and counted, labels constant."""
+    raw, files = _ring(spark, root, readers.read_csv_tolerant)
+    return _finish(resample_and_segment(raw, spec), files)
+
+
+def daily_phone_job(spark: SparkSession, root: str, spec: SourceSpec) -> SourceResult:
+    """The phone's part of such recordings, phone_acc.csv and phone_gyro.csv; only sessions that have both are taken."""
+    paths = [f"{root}/*/*/phone_{s}.csv" for s in ("acc", "gyro")]
+    names = readers.files_of(spark, paths).select(F.concat_ws("/", _part(-3), _part(-2)).alias("session_id"), _part(-1).alias("name"))
+    complete = cut(readers.discover(names, ["phone_acc.csv", "phone_gyro.csv"]).filter("complete").select("session_id"), "complete")
+    raw, files = (df.join(sized(complete), "session_id", "left_semi") for df in _phone(spark, root, readers.read_csv_tolerant))
+    return _finish(resample_and_segment(raw, spec), files)
 
 
 def wearable_job(spark: SparkSession, root: str, folder: str, spec: SourceSpec) -> SourceResult:
@@ -120,7 +150,7 @@ def watch_job(spark: SparkSession, root: str, spec: SourceSpec, binary: bool = F
             rows, status = readers.read_binary(spark, path)
             one = _signal(rows, session, signal, micros_to_ms(F.col("ts")), *(F.col(c).cast("double") for c in XYZ))
         else:
-            rows, status = readers.read_csv_tolerant(spark, path, ["t", *XYZ], skip_lines=2, first=1)
+            rows, status = readers.read_csv_tolerant(spark, path, ["t", *XYZ], skip_lines=2, first=1, header="width")
             one = _signal(rows, session, signal, F.col("t"), *map(F.col, XYZ))
         own = _files(status, session, signal)
         raw, files = (one, own) if raw is None else (raw.unionByName(one), files.unionByName(own))

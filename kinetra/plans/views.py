@@ -34,11 +34,20 @@ RAW_SQL = """raw AS (SELECT user_id % 20 AS session_id, CASE WHEN event_type IN
 CLEAN_SQL = RAW_SQL + ", clean AS (SELECT session_id, signal, t_ms, arg_min(x, row_idx) AS x, arg_min(y, row_idx) AS y, arg_min(z, row_idx) AS z FROM raw GROUP BY ALL)"
 
 
+#: 100,000 orders in row numbers of raw_dup.
+DUP_WIDTH = float(100_000 * 8 * 8192 * 256)
+
+
 def raw_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem as one signal for each supplier, with many rows on one day."""
+    """lineitem as one signal for each supplier, with many rows on one day.
+
+    row_idx packs order, line, quantity, discount and tax into one number that sorts as they do.
+    """
     item = table(spark, sf_dir, "lineitem")
+    cents = lambda c: F.round(F.col(c) * 100).cast("long")
+    place = (((F.col("l_orderkey").cast("long") * 8 + F.col("l_linenumber")) * 8192 + cents("l_quantity")) * 16 + cents("l_discount")) * 16 + cents("l_tax")
     return item.select(
-        F.col("l_suppkey").alias("session_id"), F.lit("acc").alias("signal"), F.struct("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax").alias("row_idx"),
+        F.col("l_suppkey").alias("session_id"), F.lit("acc").alias("signal"), place.alias("row_idx"),
         (micros("l_shipdate") / 1000.0).alias("t_ms"), F.col("l_quantity").alias("x"), F.col("l_discount").alias("y"), F.col("l_tax").alias("z"),
     )
 

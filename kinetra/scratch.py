@@ -8,6 +8,7 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -49,6 +50,15 @@ def cut(df: DataFrame, what: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Up to so many rows of a few columns, some ten MB, are broadcast.
+SMALL_ROWS = 400_000
+
+
+def sized(few: DataFrame) -> DataFrame:
+    """A written table of few columns as the right side of a join: broadcast if it is small enough, else shuffled as Spark sees fit."""
+    return F.broadcast(few) if few.count() <= SMALL_ROWS else few
+
+
 def _folder(spark: SparkSession):
     """Hadoop's file system and path of the application's folder."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

@@ -6,9 +6,9 @@ import math
 from dataclasses import dataclass, field
 from typing import Literal
 
+# Standard gravity in m/s2, ticks a second of the ring's clock, and the devices and modes of manifests.
 G = 9.80665
 TICKS_PER_SECOND = 16384.0
-
 DEVICES = ("phone", "watch", "ring", "other")
 MODES = ("10s", "1000f")
 
@@ -35,6 +35,8 @@ class SourceSpec:
     grid_end: "open" leaves the end point out, "closed" keeps it, "tolerance" may overshoot it by 1e-6 ms and
     then rejects the session.  bin_origin: "floor" starts quality bins at a whole bin width, "zero" at 0.
     hold: keep the first and last value beyond the ends instead of having no frame there.
+    startup_sec: each signal loses so much from its start, and must keep startup_rows, by default min_frames.
+    label: the label of every segment, where it is neither told by a finger nor by padding.
     """
 
     src: str
@@ -52,6 +54,8 @@ class SourceSpec:
     trim: bool = False
     strict_period_ms: float | None = None
     startup_sec: float = 0.0
+    startup_rows: int | None = None
+    label: dict[str, str] = field(default_factory=dict)
     label_map: dict[str, str] = field(default_factory=dict)
     excluded: tuple[str, ...] = ()
 
@@ -73,6 +77,7 @@ FINGERS = {
     "右手小指": "right_little",
 }
 
+# Rates, gates and modes of the sources below.
 _200 = (ten_seconds(200), ModeSpec("1000f", 1000))
 _150 = (ten_seconds(150), ModeSpec("1024f", 1024))
 _40 = (ten_seconds(40), ModeSpec("512f", 512), ModeSpec("1024f", 1024, 512))
@@ -89,6 +94,16 @@ def phone_200(src: str, **changes) -> SourceSpec:
     return SourceSpec(src, "phone", 200.0, **{"min_bin": {"acc": 150, "gyro": 150}, "min_hz": 150.0, "modes": _200, "label_map": FINGERS} | changes)
 
 
+def daily_ring_200(src: str, **changes) -> SourceSpec:
+    """Ring worn all day on one finger: no session metadata, every segment has the same label."""
+    return ring_200(src, **{"label_map": {}, "label": {"finger": "right_index"}} | changes)
+
+
+def daily_phone_200(src: str, **changes) -> SourceSpec:
+    """Phone carried beside such a ring."""
+    return phone_200(src, **{"label_map": {}, "label": {"finger": "right_index"}} | changes)
+
+
 def watch_200(src: str, **changes) -> SourceSpec:
     """Watch with a file for each signal, 200 Hz grid whose end may be hit exactly; a start-up drop if asked for."""
     return SourceSpec(src, "watch", 200.0, **{"min_bin": {"acc": 150, "gyro": 150}, "min_hz": 150.0, "modes": _200, "grid_end": "tolerance"} | changes)

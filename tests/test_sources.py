@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from kinetra.functions.scalars import timestamp_micros
 from kinetra.operators import report, validate
 from kinetra.plans import sources
+from kinetra.plans.jobs import resample_and_segment
 from kinetra.sources import readers, sinks
-from kinetra.spec import ModeSpec, phone_40, phone_200, ring_200, watch_100, watch_200, wearable_150
+from kinetra.spec import ModeSpec, daily_phone_200, daily_ring_200, phone_40, phone_200, ring_200, watch_100, watch_200, wearable_150
 
 FINGER = "右手食指"
 LOOSE = {"min_bin": {"acc": 5, "gyro": 5}, "min_hz": 5.0, "min_frames": 40, "modes": (ModeSpec("20f", 20),)}
@@ -108,6 +109,60 @@ def test_phone_40(spark, tmp_path):
     assert {r.session_id: r.reason for r in done.result.status.collect()} == {"u/1": None, "u/2": "acc: unknown acc unit"}
 
 
+def test_daily_ring(spark, tmp_path):
+    PERIOD[0] = 5.0
+    t, v = wave(11)
+    header = "timestamp,accX,accY,accZ,gyroX,gyroY,gyroZ"
+    csv(tmp_path / "p/s1/ring_imu.csv", header, np.column_stack([t * 16384, v]))
+    lines = (tmp_path / "p/s1/ring_imu.csv").read_text().splitlines()
+    bad = ["1,2", "", "a,1,2,3,4,5,6", "9,nan,2,3,4,5,6"]
+    (tmp_path / "p/s1/ring_imu.csv").write_text("\n".join([*lines[:50], *bad, *lines[50:]]) + "\n")
+    for name, text in (("s2", "foo,bar\n1,2\n"), ("s3", ""), ("s4", header + "\n1,2\n"), ("s5", "\n".join(lines[:12]) + "\n")):
+        (tmp_path / "p" / name).mkdir()
+        (tmp_path / "p" / name / "ring_imu.csv").write_text(text)
+    done = sources.daily_ring_job(spark, str(tmp_path), daily_ring_200("d", **LOOSE))
+    check(done, "p/s1", {"acc": (t * 1000, v[:, :3]), "gyro": (t * 1000, v[:, 3:])})
+    assert {r.session_id: r.reason for r in done.result.status.collect()} == {"p/s1": None, "p/s2": "acc: bad header", "p/s3": "acc: empty file", "p/s4": "acc: no finite rows", "p/s5": "too few frames"}
+    assert {json.loads(r.label)["finger"] for r in done.result.entries.collect()} == {"right_index"}
+    n = summary(done)
+    assert (n["files", "seen"], n["files", "rejected"], n["files", "dropped"], n["files", "rows"], n["total", "seen"], n["total", "processed"]) == (5, 3, 5, len(t) + 4 + 1 + 11, 5, 1)
+
+
+def test_daily_phone(spark, tmp_path):
+    PERIOD[0] = 5.0
+    t, v = wave(12)
+    u, w = wave(13)
+    csv(tmp_path / "p/s/phone_acc.csv", "timestamp,x,y,z,more", np.column_stack([t * 1000, v[:, :4]]))
+    csv(tmp_path / "p/s/phone_gyro.csv", "timestamp,x,y,z", np.column_stack([u * 1000 + 40, w[:, :3]]))
+    csv(tmp_path / "p/half/phone_acc.csv", "timestamp,x,y,z", np.column_stack([t * 1000, v[:, :3]]))
+    done = sources.daily_phone_job(spark, str(tmp_path), daily_phone_200("d", **LOOSE))
+    check(done, "p/s", {"acc": (t * 1000, v[:, :3]), "gyro": (u * 1000 + 40, w[:, :3])})
+    assert [(r.session_id, r.reason) for r in done.result.status.collect()] == [("p/s", None)]
+    assert {r.label for r in done.result.entries.collect()} == {'{"finger":"right_index"}'}
+
+
+RAW = "session_id string, signal string, row_idx long, t_ms double, x double, y double, z double"
+
+
+def test_gates_of_trimmed_and_started_sessions(spark):
+    def signal(session, name, times):
+        return [(session, name, i, float(t), 1.0, 2.0, 3.0) for i, t in enumerate(times)]
+
+    rows = signal("apart", "acc", range(0, 1000, 20)) + signal("apart", "gyro", range(5000, 6000, 20))
+    rows += signal("few", "acc", [0, 20, 2000]) + signal("few", "gyro", range(0, 2000, 20)) + signal("few gyro", "acc", range(0, 2000, 20)) + signal("few gyro", "gyro", [0, 2000])
+    rows += signal("lone", "acc", range(0, 1000, 20)) + signal("good", "acc", range(0, 4000, 20)) + signal("good", "gyro", range(3, 4000, 20))
+    rows += signal("single", "acc", [5]) + signal("single", "gyro", range(0, 1000, 20))
+    spec = phone_40("e", min_frames=20, modes=(ModeSpec("20f", 20),))
+    done = resample_and_segment(spark.createDataFrame(rows, RAW), spec)
+    assert {r.session_id: r.reason for r in done.status.collect()} == {
+        "apart": "no overlap", "few": "acc: too few overlap rows", "few gyro": "gyro: too few overlap rows", "lone": "gyro: missing", "good": None, "single": "acc: too few unique rows",
+    }
+    assert "acc: too few overlap rows" not in {r.reason for r in resample_and_segment(spark.createDataFrame(rows, RAW), spec, min_rows={"acc": 2, "gyro": 2}).status.collect()}
+    rows = signal("short", "acc", range(0, 3000, 5)) + signal("short", "gyro", range(0, 9000, 5)) + signal("gone", "acc", range(0, 9000, 5)) + signal("gone", "gyro", range(0, 900, 5)) + signal("fine", "acc", range(0, 9000, 5)) + signal("fine", "gyro", range(0, 9000, 5))
+    done = resample_and_segment(spark.createDataFrame(rows, RAW), watch_200("x", startup_sec=2.0))
+    assert {r.session_id: r.reason for r in done.status.collect()} == {"short": "acc: too short after start-up drop", "gone": "gyro: too short after start-up drop", "fine": None}
+
+
 @pytest.mark.parametrize("binary", [False, True])
 def test_watch(spark, tmp_path, binary):
     PERIOD[0] = 5.0
