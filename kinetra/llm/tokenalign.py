@@ -1,6 +1,7 @@
 """Alignment of the tokens that two tokenizers give for one text, and of their vocabularies over a corpus.
 
-Both cut the same bytes, so tokens meet where both end.  The shorter list of ends drives a galloping intersection with the
+Both cut the same bytes, so tokens meet where both end.  Before a single space neither has a token that goes on, so texts are
+cut there and each distinct piece is encoded and aligned once, many of them end to end.  The shorter list of ends drives a galloping intersection with the
 longer: exponential steps bracket each end's rank, binary search finds it.  Common ends cut groups, and the
 difference of ranks from one end to the next is the range of tokens that a token overlaps.
 """
@@ -8,7 +9,10 @@ difference of ranks from one end to the next is the range of tokens that a token
 from __future__ import annotations
 
 import hashlib
+import itertools
+import json
 import os
+import re
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -24,14 +28,15 @@ from kinetra.llm.common import cut, join_counted, text_bytes
 _CALL = 1 << 20
 
 
-def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
+def gallop(short: np.ndarray, long: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
     """Rank of each of short's numbers among long's: how many of them are less.  Both are ascending, without repeats.
 
-    All searches step side by side.  They start where ranks are if both lists are equally dense; each doubles its steps, up
-    or down, until it has passed its place, and ends with a binary search between the last two.
+    All searches step side by side, from start or else from where ranks are if both lists are equally dense; each doubles its
+    steps, up or down, until it has passed its place, and ends with a binary search between the last two.
     """
     m = long.size
-    at = np.minimum(np.arange(short.size, dtype=np.int64) * m // max(1, short.size), max(0, m - 1))
+    start = np.arange(short.size, dtype=np.int64) * m // max(1, short.size) if start is None else start
+    at = np.minimum(start, max(0, m - 1))
     if not m or not short.size:
         return np.zeros(short.size, dtype=np.int64)
     low, high = np.zeros(short.size, dtype=np.int64), np.full(short.size, m, dtype=np.int64)
@@ -65,11 +70,18 @@ class Alignment:
     b: np.ndarray
 
 
-def align(a_ends: np.ndarray, b_ends: np.ndarray) -> Alignment:
-    """Align tokens by the byte offsets they end at; both lists end at the same byte, or both are empty."""
+def align(a_ends: np.ndarray, b_ends: np.ndarray, pieces: tuple[np.ndarray, np.ndarray] | None = None) -> Alignment:
+    """Align tokens by the byte offsets they end at; both lists end at the same byte, or both are empty.
+
+    pieces: how many tokens each side has in each of a row of pieces that both end together, for searches to start near.
+    """
     swap = a_ends.size > b_ends.size
     short, long = (b_ends, a_ends) if swap else (a_ends, b_ends)
-    rank = gallop(short, long)
+    start = None
+    if pieces is not None:
+        own, other = pieces[::-1] if swap else pieces
+        start = np.arange(short.size) + np.repeat((np.cumsum(other) - other) - (np.cumsum(own) - own), own)
+    rank = gallop(short, long, start)
     common = np.zeros(short.size, dtype=bool)
     common[rank < long.size] = long[rank[rank < long.size]] == short[rank < long.size]
     # A token overlaps those from the first that ends after its start to the first that ends at or after its end.
@@ -81,9 +93,22 @@ def align(a_ends: np.ndarray, b_ends: np.ndarray) -> Alignment:
     return Alignment(*reversed(ends), of_long, of_short) if swap else Alignment(*ends, of_short, of_long)
 
 
+#: A single space between characters that are no white space to any tokenizer: ASCII's visible ones, and letters and signs
+#: from U+00C0 to U+024F.
+_CUT = re.compile(" (?<=[!-~\u00c0-\u024f] )(?=[!-~\u00c0-\u024f])")
+
+
+def cut_pieces(text: str) -> list[str]:
+    """The text cut at each single space between two characters of words; the space before each piece is left out."""
+    return _CUT.split(text)
+
+
 class Tokenizers:
     """A: a byte-level BPE in JSON, given a space and the text.  B: a sentencepiece model with byte fallback, which adds the space."""
 
+    #: Pieces whose ids a worker remembers, about 300 bytes each; then it starts anew.
+    REMEMBERED = 200_000
+
     def __init__(self, a: bytes, b: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
@@ -97,32 +122,69 @@ class Tokenizers:
         self.a_bytes = [b""] * (max(entries.values()) + 1)
         for entry, i in entries.items():
             self.a_bytes[i] = bytes(byte_of[c] for c in entry) if all(c in byte_of for c in entry) else entry.encode()
-        pieces = range(self.b.get_piece_size())
-        self.b_bytes = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace("▁", " ").encode() for i in pieces]
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in t], dtype=np.int64) for t in (self.a_bytes, self.b_bytes))
+        # Pieces are exact if A looks at words alone and no token of B has a space after another character.
+        made = json.loads(a)
+        words = (made.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and made["pre_tokenizer"].get("use_regex", True) and not made.get("normalizer")
+        self.cuts = bool(words) and not any("▁" in p.lstrip("▁") for p in pieces)
         # Each id's digits with what may follow it in the listing of groups.
-        self.listed = [f"{i}{end}" for end in (",", "|", ";", "") for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        self.listed = [f"{i}{end}" for end in ",|;" for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        self.known: dict[str, tuple[list[int], list[int]] | None] = {}
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of each text by A and B; none of either where a text is empty or its bytes are not those of the tokens."""
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
+        """Ids of each text by A and B; None where a text's bytes are not those of the tokens."""
+        a = [x.ids for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
         b = self.b.encode(texts, num_threads=1)
-        out = []
-        for text, x, y in zip(texts, a, b, strict=True):
-            x, raw = x.ids, (" " + text).encode()
-            whole = text and b"".join(map(self.a_bytes.__getitem__, x)) == raw and b"".join(map(self.b_bytes.__getitem__, y)) == raw
-            out.append((np.array(x if whole else [], dtype=np.int64), np.array(y if whole else [], dtype=np.int64)))
+        raw = [(" " + t).encode() for t in texts]
+        out: list = list(zip(a, b, strict=True))
+        for table, sizes, ids in ((self.a_bytes, self.a_sizes, a), (self.b_bytes, self.b_sizes, b)):
+            flat, many = list(itertools.chain.from_iterable(ids)), [len(x) for x in ids]
+            ends = np.concatenate([[0], np.cumsum(sizes[np.array(flat, dtype=np.int64)])])[np.cumsum(many)]
+            if b"".join(map(table.__getitem__, flat)) == b"".join(raw) and ends.tolist() == np.cumsum([len(r) for r in raw]).tolist():
+                continue  # all of them at once
+            for i, (x, r) in enumerate(zip(ids, raw, strict=True)):
+                if b"".join(map(table.__getitem__, x)) != r:
+                    out[i] = None
         return out
 
-    def listing(self, a: np.ndarray, b: np.ndarray, found: Alignment) -> str:
-        """The groups as a1,a2|b1;a3|b2,b3."""
-        n = len(self.listed) // 4
+    def listing(self, a: np.ndarray, b: np.ndarray, found: Alignment) -> list[str]:
+        """Ids of both sides in the order of groups, as a1,a2|b1;a3|b2,b3; each with what follows it."""
+        n = len(self.listed) // 3
         group = [np.repeat(np.arange(e.size), np.diff(e, prepend=0)) for e in (found.a_ends, found.b_ends)]
         order = np.argsort(np.concatenate([2 * group[0], 2 * group[1] + 1]), kind="stable")
         after_a, after_b = np.zeros(a.size, dtype=np.int64), np.zeros(b.size, dtype=np.int64)
         after_a[found.a_ends - 1], after_b[found.b_ends - 1] = n, 2 * n
-        after_b[-1:] = 3 * n
-        return "".join(map(self.listed.__getitem__, np.concatenate([a + after_a, b + after_b])[order].tolist()))
+        return list(map(self.listed.__getitem__, np.concatenate([a + after_a, b + after_b])[order].tolist()))
+
+    def describe(self, texts: list[str]) -> list[tuple]:
+        """(n_a, n_b, n_groups, n_links, groups, pairs, times) of each text, all empty where it has no tokens."""
+        cut = [(cut_pieces(t) if self.cuts else [t]) if t else [] for t in texts]
+        if len(self.known) > self.REMEMBERED:
+            self.known.clear()
+        new = [p for p in dict.fromkeys(itertools.chain.from_iterable(cut)) if p not in self.known]
+        for begin, end in _slices([len(p) for p in new], _CALL):
+            self.known |= zip(new[begin:end], self.encode(new[begin:end]), strict=True)
+        seen = [[self.known[p] for p in pieces] for pieces in cut]
+        seen = [[] if None in ids else ids for ids in seen]
+        sides = [[x[k] for ids in seen for x in ids] for k in (0, 1)]
+        a, b = (np.array(list(itertools.chain.from_iterable(x)), dtype=np.int64) for x in sides)
+        pieces = [np.array([len(x) for x in side], dtype=np.int64) for side in sides]
+        found = align(np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b]), (pieces[0], pieces[1]))
+        listed = self.listing(a, b, found)
+        pairs = a[found.a] << 32 | b[found.b]
+        # All texts stand end to end: where each ends among pieces, tokens, groups and links.
+        last = np.cumsum([len(ids) for ids in seen])
+        a_last, b_last = (np.concatenate([[0], np.cumsum(x)])[last] for x in pieces)
+        ends = np.column_stack([a_last, b_last, np.searchsorted(found.a_ends, a_last, side="right"), np.searchsorted(found.a, a_last)])
+        out, before = [], [0, 0, 0, 0]
+        for now in ends.tolist():
+            groups = "".join(listed[before[0] + before[1] : now[0] + now[1]])[:-1]
+            distinct, times = np.unique(pairs[before[3] : now[3]], return_counts=True)
+            out.append((*(y - x for x, y in zip(before, now, strict=True)), groups, distinct, times))
+            before = now
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -150,30 +212,20 @@ def aligned(docs: DataFrame, a_vocabulary: str | None = None, b_vocabulary: str
     distinct linked id pairs as a << 32 | b, times how many links each has.  With digest, groups has the listing's
     SHA-256 instead, for the listing is several times as long as the text.  A text that is null or
     empty, or that the tokens' bytes do not give back, has no tokens: zeros and empty values.
-    Rows are judged by themselves, repeated ones and null ids too; equal texts of a batch are encoded once.
+    Rows are judged by themselves, repeated ones and null ids too.
     """
     spark = docs.sparkSession
     sent = [vocab.send(spark, p or vocab.place(n)) for p, n in ((a_vocabulary, "byte_bpe_50k.json"), (b_vocabulary, "piece_bpe_32k.model"))]
 
-    def describe(both: Tokenizers, a: np.ndarray, b: np.ndarray) -> tuple:
-        found = align(np.cumsum(both.a_sizes[a]), np.cumsum(both.b_sizes[b]))
-        pairs, times = np.unique(a[found.a] << 32 | b[found.b], return_counts=True)
-        groups = both.listing(a, b, found)
-        if digest and groups:
-            groups = hashlib.sha256(groups.encode()).hexdigest()
-        return a.size, b.size, found.a_ends.size, found.a.size, groups, pairs, times
-
     def work(batches):
         both = _tokenizers(*(x.value for x in sent))
         for batch in batches:
             data, ids = batch.column("data"), batch.column("doc_id")
-            for begin, end in _slices([len(x.as_buffer()) for x in data], 8 * _CALL):
-                texts = [x.as_py().decode() for x in data[begin:end]]
-                distinct, done = list(dict.fromkeys(texts)), {}
-                for s, e in _slices([len(t) for t in distinct], _CALL):
-                    done |= {t: describe(both, a, b) for t, (a, b) in zip(distinct[s:e], both.encode(distinct[s:e]), strict=True)}
-                columns = zip(*(done[t] for t in texts), strict=True)
-                arrays = [pa.array(list(c), t) for c, t in zip(columns, _TYPES, strict=True)]
+            for begin, end in _slices([len(x.as_buffer()) for x in data], 2 * _CALL):
+                columns = [list(c) for c in zip(*both.describe([x.as_py().decode() for x in data[begin:end]]), strict=True)]
+                if digest:
+                    columns[4] = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in columns[4]]
+                arrays = [pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)]
                 yield pa.RecordBatch.from_arrays([ids[begin:end], *arrays], _NAMES)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("data"))

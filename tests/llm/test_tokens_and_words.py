@@ -173,6 +173,19 @@ def test_alignment_against_bytes(spark, tmp_path, both):
     assert [(kept[i].n_a, kept[i].n_links, kept[i].n_best, kept[i].count_sum) for i in range(len(texts))] == [(w[0], w[3], w[5], w[6]) for w in want]
 
 
+def test_pieces_give_what_whole_texts_give(both):
+    """Cut at single spaces or not, both tokenizers give the same ids."""
+    rng = random.Random(14)
+    pieces = ["the", "don't", "x'll", "é", "Ünïcode", "×", "日本", "▁", "a▁", "12", "3.5", "...", "\n", "\t", "\u00a0", "\u2003", "\u3000", "\x00", "\x1f", "\x85", "<s>", "ʼn", "e\u0301", "\u0301", "😀", " ", "  "]
+    texts = ["".join(rng.choice(pieces) + rng.choice(["", " ", " ", "  "]) for _ in range(rng.randint(1, 30))) for _ in range(3000)]
+    assert both.cuts and sum(len(tokenalign.cut_pieces(t)) > 2 for t in texts) > 500
+    for text, got in zip(texts, both.encode(texts), strict=True):
+        each = both.encode(tokenalign.cut_pieces(text))
+        want = None if None in each else tuple([i for x in each for i in x[side]] for side in (0, 1))
+        assert got == want, text
+        assert " ".join(tokenalign.cut_pieces(text)) == text
+
+
 def test_alignment_judges_rows_and_hot_pairs(spark, monkeypatch):
     rows = [(None, "the cat"), (None, "the cat"), (5, "the cat sat"), (5, None)]
     got = sorted(tuple(r) for r in tokenalign.align_vocabularies(docs(spark, rows)).fillna({"doc_id": -1}).select("doc_id", "n_links", "n_best", "count_sum").collect())
