@@ -63,6 +63,8 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: tupl
 
 def parse(data: bytes) -> dict:
     """Fields of one record; digests are checked against the bytes."""
+    if not data.startswith(b"WARC/"):
+        raise ValueError("damaged record: no header")
     head, _, rest = data.partition(_END)
     fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
     block = rest[: int(fields["Content-Length"])]
@@ -137,7 +139,7 @@ def _write_shards(rows, folder: str, roll_bytes: int, level: int):
             name = f"part-{shard:06d}-{state['seq']:05d}.warc.gz"
             temporary = f"_temporary/{attempt}-{name}"
             store.create_dir(f"{root}/_temporary", recursive=True)
-            state.update(out=store.open_output_stream(f"{root}/{temporary}"), name=name, temporary=temporary, records=0, bytes=0, hash=hashlib.sha256(), seq=state["seq"] + 1)
+            state.update(out=store.open_output_stream(f"{root}/{temporary}", compression=None), name=name, temporary=temporary, records=0, bytes=0, hash=hashlib.sha256(), seq=state["seq"] + 1)
         squeeze = zlib.compressobj(level, zlib.DEFLATED, 31)
         member = squeeze.compress(data) + squeeze.flush()
         state["out"].write(member)
@@ -171,8 +173,10 @@ def write_archive(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, sha
     Payloads cross the network once, for the range sort.  Which rows are revisits is found on digests alone:
     counts of equal digests are aggregated before the exchange, the few that hold a large share of all pages are
     broadcast to their rows, and the marks join the page rows inside the sort.
-    Files are written to _temporary under a name of the attempt; the manifest holds only files of attempts
-    that Spark committed, and the files it names are then moved.  What lost attempts left goes with _temporary.
+    Files are written to _temporary under a name of the attempt, each record a gzip member of its own; the manifest holds
+    only files of attempts that Spark committed, with the records, bytes and SHA-256 of the file as it lies in the
+    store.  The files it names are moved before it is written; one that is neither in its old nor its new place whole is an
+    error.  What lost attempts left goes with _temporary.
     """
     spark = pages.sparkSession
     payload = F.coalesce("html", F.lit("")).cast("binary")
@@ -219,9 +223,11 @@ def write_archive(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, sha
     def commit(batches):
         store, root = arrow_fs.FileSystem.from_uri(folder)
         for b in batches:
-            for temporary, name in zip(b["temporary"], b["name"], strict=True):
-                if store.get_file_info(f"{root}/{temporary}").type != arrow_fs.FileType.NotFound:  # else an earlier attempt moved it
+            for temporary, name, size in zip(b["temporary"], b["name"], b["bytes"], strict=True):
+                if store.get_file_info(f"{root}/{temporary}").type != arrow_fs.FileType.NotFound:
                     store.move(f"{root}/{temporary}", f"{root}/{name}")
+                if (there := store.get_file_info(f"{root}/{name}")).size != size:  # moved now, or by an earlier attempt
+                    raise OSError(f"{name} has {there.size} bytes of {size} that were written")
             yield b[["name", "records", "bytes", "sha256"]]
 
     manifest = written.mapInPandas(commit, "name string, records long, bytes long, sha256 string")
@@ -235,24 +241,29 @@ def write_archive(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, sha
 def read_archive(spark, folder: str) -> DataFrame:
     """The records of all files that the manifest names, each file streamed member by member.
 
+    A file that is missing, cut off or otherwise not the one that the manifest tells by bytes, records and digest is an error.
     page_id, url, payload (null for revisits), payload_bytes and payload_digest (both of the full payload),
     record_type, refers_to.  Nulls, repeated rows and empty payloads come back as they were written.
     """
     manifest = spark.read.parquet(f"{folder}/_manifest")
     kinds = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
-    def members(path: str, store, chunk: int = 1 << 20):
-        with store.open_input_stream(path) as f:
-            inflate, out = zlib.decompressobj(31), []
-            data = f.read(chunk)
-            while data:
-                out.append(inflate.decompress(data))
-                if inflate.eof:
-                    yield b"".join(out)
-                    data, inflate, out = inflate.unused_data, zlib.decompressobj(31), []
-                    if data:
-                        continue
-                data = f.read(chunk)
+    def members(path: str, store, wanted: tuple, chunk: int = 1 << 20):
+        records, size, digest = 0, 0, hashlib.sha256()
+        with store.open_input_stream(path, compression=None) as f:
+            inflate, out, begun = zlib.decompressobj(31), [], False
+            while data := f.read(chunk):
+                size += len(data)
+                digest.update(data)
+                while data:
+                    begun = True
+                    out.append(inflate.decompress(data))
+                    data = inflate.unused_data
+                    if inflate.eof:
+                        yield b"".join(out)
+                        records, inflate, out, begun = records + 1, zlib.decompressobj(31), [], False
+        if begun or (records, size, digest.hexdigest()) != wanted:
+            raise ValueError(f"{path} is not the file that was written: {records} records and {size} bytes of {wanted[0]} and {wanted[1]}")
 
     def read(batches):
         import pyarrow as pa
@@ -260,9 +271,9 @@ def read_archive(spark, folder: str) -> DataFrame:
         store, root = arrow_fs.FileSystem.from_uri(folder)
         schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
         for b in batches:
-            for name in b.column("name").to_pylist():
+            for name, *wanted in zip(*(b.column(c).to_pylist() for c in ("name", "records", "bytes", "sha256")), strict=True):
                 rows, size = [], 0
-                for data in members(f"{root}/{name}", store):
+                for data in members(f"{root}/{name}", store, tuple(wanted)):
                     rows.append(parse(data))
                     size += len(data)
                     if size > 4 << 20:
@@ -271,7 +282,7 @@ def read_archive(spark, folder: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    files = manifest.select("name").repartition(min(max(manifest.count(), 1), 100_000), "name")
+    files = manifest.select("name", "records", "bytes", "sha256").repartition(min(max(manifest.count(), 1), 100_000), "name")
     return files.mapInArrow(read, kinds)
 
 
