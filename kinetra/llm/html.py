@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -31,19 +33,31 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody tfoot thead tr ul caption title".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words of class and id names.  The first kind marks a container as no part of the article whatever else is in
-# the name; the second only where all other words of the name are of the third, which say nothing of what is inside.
-SURE_NAMES = frozenset("adsense advert adverts advertisement advertising breadcrumb breadcrumbs disqus navbar newsletter sidebar sidebars".split())
-BAD_NAMES = frozenset("ad ads banner comment comments consent cookie cookies footer header menu nav navigation notice notices popup promo promoted related reply replies respond share sharing social sponsor sponsored subscribe toolbar widget disclaimer".split())
-VAGUE_NAMES = frozenset("area articles bar block body bottom box button buttons col column container content entry fixed form global group head inner item items js left link links list main md modal outer page panel policy post posts reader right row section site slot sm sticky stories thread top user users view wrap wrapper".split())
+# the name; the second only where all other words of the name are of the last, which say nothing of what is inside.  Of the
+# second, hard ones stand a class name's one unknown word; an id may be a heading's anchor and so may not have one.
+SURE_NAMES = frozenset("adsense advert adverts advertisement advertising breadcrumb breadcrumbs disqus gdpr navbar newsletter outbrain sidebar sidebars taboola".split())
+HARD_NAMES = frozenset("ad ads banner cc comment comments consent cookie cookies footer menu nav navigation popup promo share sharing social sponsor sponsored subscribe subscription toolbar widget".split())
+BAD_NAMES = HARD_NAMES | frozenset("disclaimer header notice notices promoted related reply replies respond".split())
+VAGUE_NAMES = frozenset("area articles bar block body bottom box button buttons col column container content entry fixed form global google grid group head info inner item items js law left link links list main md modal only outer page panel policy post posts print reader right row section site slot sm sticky stories thread top user users view window wrap wrapper".split())
+# Words of an article element's class that make it a pointer to another page.
+TEASER_NAMES = frozenset("advert promo promoted recommended related sponsored teaser teasers".split())
 BAD_ROLES = frozenset("banner navigation complementary contentinfo search form dialog alert menu menubar".split())
 
 # A value may hold > inside quotes only right after =; a quote elsewhere is a character like others.
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAMES = re.compile(r"[a-z]+")
+_MAIN_ROLE = re.compile(r"(?<![^\s\"'])role\s*=\s*[\"']?main(?![^\s\"'/>])", re.I)
+#: Containers that an article never stands in, so that one around it has been left open.
+_LEFT_OPEN = frozenset("nav menu header ul ol li div p".split())
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+#: Elements inside a line whose content is no text: skipped up to their end, unless a block or cell begins or ends before it.
+_INLINE = SKIPPED - BLOCKS - {"head", "textarea"}
+_ENDS = {name: re.compile(rf"</{name}\s*>" + (rf"|</?(?:{'|'.join(sorted(BLOCKS | {'td', 'th'}))})[\s/>]" if name not in RAW else ""), re.I) for name in _INLINE}
+
+
 @dataclass
 class Block:
     text: str
@@ -54,10 +68,18 @@ class Block:
     label: str = ""
 
 
-def _marks_furniture(name: str) -> bool:
-    """Whether a class or id name such as cookie-notice or siteHeader is of a container beside the article."""
-    words = set(_NAMES.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()))
-    return not words.isdisjoint(SURE_NAMES) or not words.isdisjoint(BAD_NAMES) and words <= BAD_NAMES | VAGUE_NAMES
+def _words(name: str) -> set[str]:
+    """Words of two letters or more in a name such as site-header-v2 or siteHeader."""
+    return {w for w in _NAMES.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if len(w) > 1}
+
+
+def _marks_furniture(name: str, unknown: int = 0) -> bool:
+    """Whether a class or id name such as cookie-notice is of a container beside the article, with up to so many unknown words."""
+    words = _words(name)
+    if not words.isdisjoint(SURE_NAMES):
+        return True
+    others = len(words - BAD_NAMES - VAGUE_NAMES)
+    return not words.isdisjoint(BAD_NAMES) and others == 0 or not words.isdisjoint(HARD_NAMES) and others <= unknown
 
 
 def _badness(name: str, attributes: str, inside: bool) -> int:
@@ -68,7 +90,9 @@ def _badness(name: str, attributes: str, inside: bool) -> int:
         value, key = "".join(values), key.lower()
         if key == "hidden" and value.lower() != "until-found" or key == "aria-hidden" and value.lower() == "true" or key == "role" and value.lower() in BAD_ROLES:
             return 2
-        if key in ("class", "id") and name not in ("html", "body", "article", "main") and any(map(_marks_furniture, value.split())):
+        if key in ("class", "id") and name not in ("html", "body", "article", "main") and any(_marks_furniture(x, key == "class") for x in value.split()):
+            return 2
+        if key == "class" and name == "article" and not (words := _words(value)).isdisjoint(TEASER_NAMES) and words <= TEASER_NAMES | VAGUE_NAMES:
             return 2
     return 0
 
@@ -80,6 +104,8 @@ def split_blocks(page: str) -> list[Block]:
     """
     out: list[Block] = []
     stack: list[tuple[str, int, bool]] = []  # name, badness, inside; of open block-level and bad elements
+    opened: Counter = Counter()  # how many of each name the stack has
+    ends: dict[str, tuple] = {}  # of each inline element, where its end was searched from last, and what was found
     parts: list[str] = []
     link_parts: list[str] = []
     heading = False
@@ -120,12 +146,27 @@ def split_blocks(page: str) -> list[Block]:
         block = name in BLOCKS
         if block:
             flush()
+        if name in _ENDS and not closing and not m[3].endswith("/"):
+            begin, end = ends.get(name, (len(page), None))  # what an earlier search found may still be ahead
+            if at < begin or end and end.start() < at:
+                end = _ENDS[name].search(page, at)
+                ends[name] = (at, end)
+            if name in RAW:
+                at = end.end() if end else len(page)
+                continue
+            if end and end[0].lower().startswith(f"</{name}"):
+                add(" ")
+                at = end.end()
+                continue
         if closing:
-            if any(x[0] == name for x in stack):
+            if opened[name]:
                 if not block:
                     flush()
-                while stack.pop()[0] != name:
-                    pass
+                while True:
+                    last = stack.pop()[0]
+                    opened[last] -= 1
+                    if last == name:
+                        break
             heading = heading and name not in HEADINGS
             continue
         if block:
@@ -133,16 +174,21 @@ def split_blocks(page: str) -> list[Block]:
             if name in ("p", *HEADINGS) or name in ("li", "dd", "dt", "tr"):  # these end an open one of their kind
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == name or (stack[k][0] == "p" and name in ("p", *HEADINGS)):
+                        opened.subtract(x[0] for x in stack[k:])
                         del stack[k:]
                         break
                     if stack[k][0] not in ("p", *HEADINGS):
                         break
         was_bad, was_inside = (stack[-1][1], stack[-1][2]) if stack else (0, False)
         bad = _badness(name, m[3], was_inside)
+        main = name == "main" or _MAIN_ROLE.search(m[3]) is not None
+        if was_bad and (main or name == "article" and all(x[0] in _LEFT_OPEN for x in stack if x[1])):
+            was_bad = 0  # stands in nothing but a menu or header that was left open
         if (block or bad) and name not in VOID and not m[3].endswith("/"):
             if bad and not was_bad and not block:
                 flush()
-            stack.append((name, max(was_bad, bad), was_inside or name in ("article", "main")))
+            stack.append((name, max(was_bad, bad), was_inside or main or name == "article"))
+            opened[name] += 1
         if name in RAW:
             end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             if name == "title" or name == "textarea":
@@ -150,6 +196,7 @@ def split_blocks(page: str) -> list[Block]:
             parts.clear() if bad else None
             if stack and stack[-1][0] == name:
                 stack.pop()
+                opened[name] -= 1
             at = end.end() if end else len(page)
     flush()
     return out
@@ -160,7 +207,8 @@ def classify(blocks: list[Block], stop_words: frozenset = STOP_WORDS, short: int
 
     Outside the article element many links make a block bad, as few stop words do; inside it either makes it
     ambiguous, for an article may quote, link, list and count.  Where no longer block of the page reaches the low
-    density, its language is none of the stop words': density is left out and length alone decides.
+    density, its language is none of the stop words': density is left out and length alone decides.  Short blocks outside
+    the article element that are prose by their stop words and links, and long together, are nearly good.
     """
     density = []
     for b in blocks:
@@ -180,13 +228,22 @@ def classify(blocks: list[Block], stop_words: frozenset = STOP_WORDS, short: int
             b.label = "good" if len(b.text) > long else "neargood"
         else:
             b.label = "neargood" if d >= low else "bad"
+    run: list[Block] = []
+    for b, d in [*zip(blocks, density, strict=True), (None, 0)]:  # short blocks of prose in a row are together what a longer one is
+        if b and b.label == "short" and not (b.heading or b.inside) and d >= high and b.linked <= links * len(b.text):
+            run.append(b)
+            continue
+        if sum(len(x.text) for x in run) > long:
+            for x in run:
+                x.label = "neargood"
+        run = []
 
 
 def _sweep(blocks: list[Block], order) -> list[tuple[int, str]]:
     """For each block the distance and label of the last decided one before it in that order; "" if there is none.
 
-    It looks on its own side of the article's border only.  Inside the article element, what stands in a container of
-    comments, notices and such says nothing of the rest.
+    It looks on its own side of the article's border only.  What stands in a container of comments, menus, notices and such
+    says nothing of the rest.
     """
     out = [(len(blocks) + 1, "")] * len(blocks)
     last, inside = None, None
@@ -196,7 +253,7 @@ def _sweep(blocks: list[Block], order) -> list[tuple[int, str]]:
             last, inside = None, b.inside
         if last is not None:
             out[i] = (abs(i - last), blocks[last].label)
-        if b.label in ("good", "bad") and not (b.inside and b.bad):
+        if b.label in ("good", "bad") and not b.bad:
             last = i
     return out
 
@@ -204,15 +261,18 @@ def _sweep(blocks: list[Block], order) -> list[tuple[int, str]]:
 def inherit(blocks: list[Block]) -> list[bool]:
     """Second pass: whether each block is part of the article.
 
-    A nearly good block is good if either nearest decided neighbour is, or if there is none.  Then each
+    A nearly good block is good if either nearest decided neighbour is, or if there is none and no other part of the page is
+    marked as the article.  Then each
     short block takes the label of the nearest decided one; of two equally near ones that differ, bad
     outside the article element and good inside it.  A heading goes with what follows it.  Inside the
     article element a block without a decided neighbour is kept, elsewhere a short one is not.
     """
     there, back = range(len(blocks)), range(len(blocks) - 1, -1, -1)
+    marked = any(b.inside and b.label in ("good", "neargood") for b in blocks)
     for b, (_, before), (_, after) in zip(blocks, _sweep(blocks, there), _sweep(blocks, back), strict=True):
         if b.label == "neargood":
-            b.label = "neargood bad" if "good" not in (before, after) and "bad" in (before, after) else "neargood good"
+            alone = not before and not after and (b.inside or not marked)
+            b.label = "neargood good" if alone or "good" in (before, after) else "neargood bad"
     for b in blocks:
         b.label = b.label.removeprefix("neargood ")
     out = []
@@ -244,9 +304,9 @@ def extract(pages: DataFrame) -> DataFrame:
     finds nearest decided blocks in one sweep each way.
     """
 
-    def texts(batches):
+    @F.pandas_udf("string")
+    def get(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for html in batches:
             yield pd.Series([main_text(x) for x in html])
 
-    get = F.pandas_udf(texts, "string", F.PandasUDFType.SCALAR_ITER)
     return pages.select("page_id", "url", get(F.coalesce("html", F.lit(""))).alias("text")).withColumn("n_chars", F.length("text").cast("long"))
