@@ -64,13 +64,14 @@ def source_targets(totals: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.
 
 
 def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int = 1 << 13, seed: int = 17) -> np.ndarray:
-    """How many documents of each length to take so that their words come as near to budget as can be.
+    """How many documents of each length to take so that their words come near to budget from below, exactly where that is found.
 
     First a proportional share of every length, rounded so that among any stretch of lengths the number taken is within
     one of the proportion: the fractions are added up from the shortest length on, from a seeded start, and whole
     documents taken as the sum passes whole numbers.  What that leaves over or short is about one document.  Documents
     that come nearest make it less than window, then an exact bounded knapsack fits the rest: it finds
-    the sum nearest below, among all that the remaining documents can make.
+    the sum nearest below, among all that the remaining documents can make.  While something is left, a document, then two,
+    four and eight of each length are handed back, as far as window allows, and the knapsack fits what then is free.
     """
     lengths, counts = np.asarray(lengths, dtype=np.int64), np.where(np.asarray(lengths) > 0, counts, 0).astype(np.int64)
     total = int((lengths * counts).sum())
@@ -95,7 +96,20 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int
         k = min(int(counts[i] - take[i]), rest // int(lengths[i])) if lengths[i] > 0 else 0
         take[i] += k
         rest -= k * int(lengths[i])
-    return take + _knapsack(lengths, counts - take, rest, seed)
+    best = take + _knapsack(lengths, counts - take, rest, seed)
+    for many in (1, 2, 4, 8):
+        left = budget - int((best * lengths).sum())
+        if not left or rest > window:
+            break
+        tried, room = take.copy(), rest
+        for i in np.random.default_rng(seed).permutation(np.flatnonzero(take)):
+            k = min(many, int(tried[i]), (window - room) // int(lengths[i]))
+            tried[i] -= k
+            room += k * int(lengths[i])
+        found = tried + _knapsack(lengths, counts - tried, room, seed)
+        if budget - int((found * lengths).sum()) < left:
+            best = found
+    return best
 
 
 def _knapsack(lengths: np.ndarray, free: np.ndarray, rest: int, seed: int = 17) -> np.ndarray:
