@@ -92,11 +92,12 @@ class Index:
         self.names = sorted(templates)
         self.words = [word_hashes(templates[n].encode(), NOT_ALNUM)[0] for n in self.names]
         self.counts = [Counter(words.tolist()) for words in self.words]
-        self.need = []
+        self.need, self.edits = [], []
         rows: dict[int, list] = {}
         for t, words in enumerate(self.words):
             need, n, w = fingerprint_sizes(int(words.size), gram, window, least)
             self.need.append(need)
+            self.edits.append(int(words.size) - need + 1)  # words that a notice may have lost, and one more
             grams = gram_hashes(words, n, whole_if_short=False)
             rows.setdefault(n, []).extend((int(grams[i]), t, int(i)) for i in winnow(grams, w))
         self.tables = {n: tuple(np.array(c, dtype=d) for c, d in zip(zip(*sorted(found), strict=True), ("u8", "i8", "i8"), strict=True)) for n, found in rows.items() if found}
@@ -156,19 +157,19 @@ def find_licenses(data: bytes, index: Index, band: int, least: float) -> list[tu
     found = []
     groups: list[list] = []  # template, lowest and highest diagonal of hits close together
     for t, diagonal in sorted(index.hits(hashes)):
-        if groups and groups[-1][0] == t and diagonal - groups[-1][2] <= band:
+        if groups and groups[-1][0] == t and diagonal - groups[-1][2] <= max(band, index.edits[t]):
             groups[-1][2] = diagonal
         else:
             groups.append([t, diagonal, diagonal])
     for t, low, high in groups:
-        template = index.words[t]
+        template, wide = index.words[t], max(band, index.edits[t])
         # Many close occurrences in a row make a wide group: each stretch of it has a band of its own.
-        for base in range(low, high + 1, 4 * band):
-            top = min(base + 4 * band - 1, high)
-            first = max(0, base - band)
-            words = hashes[first : top + band + template.size + 1].tolist()
+        for base in range(low, high + 1, 4 * wide):
+            top = min(base + 4 * wide - 1, high)
+            first = max(0, base - wide)
+            words = hashes[first : top + wide + template.size + 1].tolist()
             while index.possible(t, words):  # until no further occurrence is in the band
-                m, a, b = align(template.tolist(), words, first, base - band, top + band)
+                m, a, b = align(template.tolist(), words, first, base - wide, top + wide)
                 if m / template.size < least:
                     break
                 found.append((m, t, a, b))
@@ -201,7 +202,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, gram: int = 4
     Null and empty texts and an empty table have none; a null doc_id stays null; equal rows each give their notices;
     other columns are ignored.  Texts of any length are searched whole, in time linear in their notices.
     gram and window are the largest used: a template has smaller ones where a notice with few words changed, up to
-    the share that least leaves, would have no fingerprint.  Words shifted by more than band are not matched.
+    the share that least leaves, would have no fingerprint.  Words shifted by more than band, and by more than a notice may
+    lose at the least coverage, are not matched.
     The templates are an argument of the call, at most 1 MB of text, and go to every task.
     """
     templates = TEMPLATES if templates is None else templates
