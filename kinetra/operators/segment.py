@@ -8,9 +8,12 @@ from pyspark.sql.window import Window
 
 from kinetra.functions.scalars import segment_dir
 from kinetra.operators.scan import scan
+from kinetra.scratch import cut
 from kinetra.spec import ModeSpec
 
 POINTS = "array<array<float>>"
+#: Sessions that one task numbers.
+SESSIONS_A_RANGE = 20_000
 
 
 def candidates(grids: DataFrame, modes: tuple[ModeSpec, ...], period: float) -> DataFrame:
@@ -22,11 +25,11 @@ def candidates(grids: DataFrame, modes: tuple[ModeSpec, ...], period: float) ->
     options = F.array(*(F.struct(F.lit(m.name).alias("mode"), F.lit(m.frames).cast("long").alias("frames"), F.lit(m.min_real or m.frames).cast("long").alias("least")) for m in modes))
     each = grids.select("session_id", "start", "n_frames", F.inline(options))
     n = F.floor((F.col("n_frames") + F.col("frames") - F.col("least")) / F.col("frames"))
-    cut = each.withColumn("n_seg", n).filter("n_seg > 0").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_seg").cast("long") - 1)).alias("seg"))
+    whole = each.withColumn("n_seg", n).filter("n_seg > 0").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_seg").cast("long") - 1)).alias("seg"))
     lo = F.col("seg") * F.col("frames")
     real = F.least(F.col("frames"), F.col("n_frames") - lo)
     p = F.lit(float(period))
-    return cut.select(
+    return whole.select(
         "session_id", "mode", "frames", "seg", lo.alias("k_lo"), (lo + real - 1).alias("k_hi"), real.alias("real"),
         (F.col("start") + lo * p).alias("t_lo"), (F.col("start") + (lo + real - 1) * p).alias("t_hi"),
     )
@@ -51,7 +54,7 @@ def segment_frames(frames: DataFrame, segments: DataFrame, modes: tuple[ModeSpec
     return each.join(segments.select("session_id", "mode", "seg", "real"), ["session_id", "mode", "seg"])
 
 
-def assemble(cut: DataFrame, period: float, signals: tuple[str, ...] = ("acc", "gyro")) -> DataFrame:
+def assemble(placed: DataFrame, period: float, signals: tuple[str, ...] = ("acc", "gyro")) -> DataFrame:
     """(session_id, mode, seg, frames, real, then an array [T][4] of float for each signal).
 
     Rows are local time in ms from 0, x, y, z; float only here.  Frames that are missing up to T are padding:
@@ -59,7 +62,7 @@ def assemble(cut: DataFrame, period: float, signals: tuple[str, ...] = ("acc", "
     """
     keys = ["session_id", "mode", "seg", "frames", "real"]
     lists = [F.array_sort(F.collect_list(F.when(F.col("signal") == s, F.struct("i", "x", "y", "z")))).alias(s) for s in signals]
-    grouped = cut.groupBy(*keys).agg(*lists)
+    grouped = placed.groupBy(*keys).agg(*lists)
 
     def points(s: str) -> Column:
         time = lambda i: (i * F.lit(float(period))).cast("float")
@@ -73,15 +76,22 @@ def assemble(cut: DataFrame, period: float, signals: tuple[str, ...] = ("acc", "
 def number_segments(segments: DataFrame, order: tuple[str, ...] = ("session_id",), groups: tuple[str, ...] = ("mode",)) -> DataFrame:
     """segments with number: from 1 in each group, by session order and then segment.
 
-    Counts a session are summed up on the small table of sessions; the order inside a session is found per
-    session.  No window ranks all segments in one task.
+    Segments are counted a session, the sessions dealt out as ranges of their order, and counts summed up inside each range
+    and over the ranges, of which a group has a few hundred: no task sees all sessions of a group, or all segments.
     """
     by_session = [*groups, *dict.fromkeys((*order, "session_id"))]
-    counts = segments.groupBy(*by_session).agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy(*groups).orderBy(*order, "session_id").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*by_session, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = F.row_number().over(Window.partitionBy(*by_session).orderBy("seg"))
-    return segments.withColumn("nth", inside).join(offsets, by_session).withColumn("number", F.col("offset") + F.col("nth")).drop("offset", "nth")
+    counts = cut(segments.groupBy(*by_session).agg(F.count(F.lit(1)).alias("n")), "counts")
+    parts = max(1, min(10_000, counts.count() // SESSIONS_A_RANGE))
+    ranged = cut(counts.repartitionByRange(parts, *by_session).withColumn("range", F.spark_partition_id()), "ranges")
+    place = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    totals = ranged.groupBy(*groups, "range").agg(F.sum("n").alias("n"))
+    before = totals.select(*groups, "range", place(Window.partitionBy(*groups).orderBy("range")).alias("before"))
+    inside = place(Window.partitionBy(*groups, "range").orderBy(*by_session[len(groups) :]))
+    offsets = ranged.withColumn("inside", inside).alias("a").join(before.alias("b"), [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*groups, "range")])
+    offsets = offsets.select(*(F.col(f"a.{c}").alias(c) for c in by_session), (F.col("b.before") + F.col("a.inside")).alias("offset"))
+    nth = F.row_number().over(Window.partitionBy(*by_session).orderBy("seg"))
+    each = segments.withColumn("nth", nth).alias("s").join(offsets.alias("o"), [F.col(f"s.{c}").eqNullSafe(F.col(f"o.{c}")) for c in by_session])
+    return each.select("s.*", "o.offset").withColumn("number", F.col("offset") + F.col("nth")).drop("offset", "nth")
 
 
 def strict_period(rows: DataFrame, period_us: int, tolerance_us: int = 0, key: str = "session_id") -> DataFrame:
@@ -107,8 +117,8 @@ def segment_label(labelled: DataFrame, frames: int, key: str = "session_id") ->
     listed in the order they first occur.  The first reason that applies is given otherwise.
     """
     text = F.trim(F.coalesce("annotation", F.lit("")))
-    cut = labelled.withColumn("seg", F.floor(F.col("pos") / frames)).groupBy(key, "seg", text.alias("annotation"), "activity").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n"))
-    grouped = cut.groupBy(key, "seg").agg(
+    counted = labelled.withColumn("seg", F.floor(F.col("pos") / frames)).groupBy(key, "seg", text.alias("annotation"), "activity").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n"))
+    grouped = counted.groupBy(key, "seg").agg(
         F.sum("n").alias("n"), F.count_if(F.col("annotation") == "").alias("blank"), F.count_if(F.col("activity").isNull()).alias("unknown"),
         F.count_distinct("activity").alias("activities"), F.min("activity").alias("activity"),
         F.transform(F.array_sort(F.collect_list(F.struct("first", "annotation"))), lambda a: a["annotation"]).alias("annotations"),
