@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinetra.functions.scalars import low_byte
@@ -423,6 +423,68 @@ def validate_segments(spark, sf):
     return validate.validate_segments(_assembled(spark, sf)).groupBy("mode", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+# Each fault that is put in, by its number, and the rules that it breaks.
+_BROKEN = {
+    1: ["segment missing"], 2: ["dir is absolute", "src differs from dir", "mode differs from dir", "device differs from dir"], 3: ["device domain", "device differs from dir"],
+    4: ["mode domain", "mode differs from dir"], 5: ["src differs from dir"], 6: ["device differs from dir"], 7: ["mode differs from dir"], 8: ["acc missing"], 9: ["gyro missing"], 10: ["gyro made up"],
+    11: ["acc frames"], 12: ["gyro frames"], 13: ["acc columns"], 14: ["gyro columns"], 15: ["acc time starts at 0"], 16: ["gyro time starts at 0"], 17: ["acc time not all 0"], 18: ["gyro time not all 0"],
+    19: ["acc finite"], 20: ["gyro finite"], 21: ["acc frames", "gyro frames", "duration"], 22: ["duration"], 23: ["mode domain", "mode differs from dir", "10s frames"], 24: ["mode domain", "mode differs from dir", "1000f frames"],
+}
+_NUMBERED = _TO_FRAMES + f", {_MODES}, {_CAND}, n AS (SELECT mode, row_number() OVER (PARTITION BY mode ORDER BY session_id, seg) AS k FROM cand)"
+
+
+def _with(points: str, first: Column | None = None, value: Column | None = None) -> Column:
+    """An array [T][4] with other times, or with other values of x."""
+    return F.transform(points, lambda p: F.array(F.get(p, 0) if first is None else first.cast("float"), F.get(p, 1) if value is None else value.cast("float"), F.get(p, 2), F.get(p, 3)))
+
+
+def _put(column: str, number: Column, **faults: Column) -> Column:
+    """A column with each fault's value where the row has that fault's number."""
+    out = F.col(column)
+    for name, value in faults.items():
+        out = F.when(number == int(name[1:]), value).otherwise(out)
+    return out.alias(column)
+
+
+@query(_NUMBERED + f", b AS (SELECT * FROM (VALUES {', '.join(f"({k}, '{r}')" for k, rules in _BROKEN.items() for r in rules)}) t(fault, rule)) SELECT rule, count(k) AS violations FROM b LEFT JOIN n ON k % 31 = fault GROUP BY rule")
+def acceptance_faults(spark, sf):
+    """Every rule over all segments of the events, each fault put into one in 31."""
+    arrays = segment.number_segments(_assembled(spark, sf))
+    e, n = segment.manifest_entry(arrays, "events", "watch", 1000.0 / v.HOUR), F.regexp_extract("dir", r"(\d+)\.npz", 1).cast("long") % 31
+    entries = e.select(
+        _put("dir", n, f2=F.concat(F.lit("/"), "dir")), _put("src", n, f5=F.lit("other")), _put("device", n, f3=F.lit("hat"), f6=F.lit("ring")), "freq",
+        _put("mode", n, f4=F.lit("5s"), f7=F.when(F.col("mode") == "24f", "100f").otherwise("24f"), f23=F.lit("10s"), f24=F.lit("1000f")), _put("num_frames", n, f21=F.col("num_frames") + 1),
+        _put("duration_sec", n, f22=F.col("duration_sec") + 1), _put("has_timestamp", n, f17=F.lit(False), f18=F.lit(False)), _put("has_gyro", n, f10=F.lit(False)), "label",
+    )
+    place, n = segment.segment_dir(F.lit("events"), F.col("mode"), F.lit("watch"), F.col("number")), F.col("number") % 31
+    segs = arrays.select(place.alias("dir"), "number", "frames", "acc", "gyro").filter(n != 1)
+    zero, late, nan, few = F.lit(0), F.lit(1), F.lit(float("nan")), F.col("frames").cast("int") - 1
+    none, three = F.lit(None).cast(segment.POINTS), lambda s: F.transform(s, lambda p: F.slice(p, 1, 3))
+    segs = segs.select(
+        _put("dir", n, f2=F.concat(F.lit("/"), "dir")),
+        _put("acc", n, f8=none, f11=F.slice("acc", 1, few), f13=three("acc"), f15=_with("acc", late), f18=_with("acc", zero), f19=_with("acc", value=nan)),
+        _put("gyro", n, f9=none, f12=F.slice("gyro", 1, few), f14=three("gyro"), f16=_with("gyro", late), f17=_with("gyro", zero), f20=_with("gyro", value=nan)),
+    )
+    return validate.acceptance(entries, segs, validate.acceptance_rules(modes=("24f", "100f")))
+
+
+# The reason that each fault gives a segment, by its number.
+_REASONS = {1: "acc shape", 2: "time does not start at 0", 3: "acc not finite", 4: "padding not zero", 5: "gyro shape", 6: "gyro time differs", 7: "gyro not finite", 8: "gyro padding not zero"}
+
+
+@query(_NUMBERED + f" SELECT mode, CASE k % 13 {' '.join(f"WHEN {k} THEN '{r}'" for k, r in _REASONS.items())} END AS reason, count(*) AS n FROM n GROUP BY 1, 2")
+def validate_faults(spark, sf):
+    """Every check of finished segments over all of the events, each fault put into one in 13."""
+    arrays, n = segment.number_segments(_assembled(spark, sf)), F.col("number") % 13
+    few, nan, late = F.col("frames").cast("int") - 1, F.lit(float("nan")), F.lit(1)
+    ends = lambda s: F.concat(F.slice(s, 1, few), F.array(F.array(F.get(F.get(s, few), 0), *[F.lit(0.0).cast("float")] * 3)))
+    faulty = arrays.select(
+        "mode", "frames", _put("real", n, f4=F.col("frames") - 1, f8=F.col("frames") - 1), _put("acc", n, f1=F.slice("acc", 1, few), f2=_with("acc", late), f3=_with("acc", value=nan), f8=ends("acc")),
+        _put("gyro", n, f5=F.slice("gyro", 1, few), f6=_with("gyro", late), f7=_with("gyro", value=nan)),
+    )
+    return validate.validate_segments(faulty).groupBy("mode", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 _LOSS = """o AS (SELECT *, row_number() OVER w AS nth, ts - lag(ts) OVER w AS d FROM clock WINDOW w AS (PARTITION BY file ORDER BY row_idx)),
 g AS (SELECT file, count(*) AS n, arg_max(ts, nth) AS last, max(ts) FILTER (WHERE nth = 111) AS origin, sum(d) FILTER (WHERE nth > 101 AND d > 1e6 / 0.0001 + 300) AS gap_us, count(d) FILTER (WHERE nth > 101 AND d > 1e6 / 0.0001 + 300) AS gaps, max(d) FILTER (WHERE nth > 101 AND d > 1e6 / 0.0001 + 300) AS max_gap_us FROM o GROUP BY file),
 l AS (SELECT file, n, CASE WHEN gaps > 0 THEN CAST(trunc((last - origin) / (1e6 / 0.0001)) AS BIGINT) END AS expected, CAST(coalesce(trunc(gap_us / (1e6 / 0.0001)), 0) AS BIGINT) AS lost, gaps, max_gap_us FROM g),
