@@ -47,4 +47,4 @@ def test_near_duplicate_stage(spark):
 
 
 def test_queries_are_named():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11)) and set(ORACLE_SQL) <= set(QUERIES)
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14)) and set(ORACLE_SQL) <= set(QUERIES)
