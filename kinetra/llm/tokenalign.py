@@ -1,7 +1,8 @@
 """Alignment of the tokens that two tokenizers give for one text, and of their vocabularies over a corpus.
 
 Both cut the same bytes, so tokens meet where both end.  Before a single space neither has a token that goes on, so texts are
-cut there and each distinct piece is encoded and aligned once, many of them end to end.  The shorter list of ends drives a galloping intersection with the
+cut there, and a worker encodes and aligns each distinct piece once, many of them end to end; a text's groups and links are
+those of its pieces in a row.  The shorter list of ends drives a galloping intersection with the
 longer: exponential steps bracket each end's rank, binary search finds it.  Common ends cut groups, and the
 difference of ranks from one end to the next is the range of tokens that a token overlaps.
 """
@@ -103,11 +104,20 @@ def cut_pieces(text: str) -> list[str]:
     return _CUT.split(text)
 
 
+class _Numbers(dict):
+    """Numbers pieces from 0 in the order in which they first come."""
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = n = len(self)
+        return n
+
+
 class Tokenizers:
     """A: a byte-level BPE in JSON, given a space and the text.  B: a sentencepiece model with byte fallback, which adds the space."""
 
-    #: Pieces whose ids a worker remembers, about 300 bytes each; then it starts anew.
-    REMEMBERED = 200_000
+    #: Pieces that a worker remembers, about 300 bytes each, and their characters and tokens together.  Beyond either, it keeps
+    #: half, those used most of late, and none of more than LONG characters and tokens.
+    REMEMBERED, WEIGHT, LONG = 200_000, 6_000_000, 200
 
     def __init__(self, a: bytes, b: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -131,7 +141,13 @@ class Tokenizers:
         self.cuts = bool(words) and not any("▁" in p.lstrip("▁") for p in pieces)
         # Each id's digits with what may follow it in the listing of groups.
         self.listed = [f"{i}{end}" for end in ",|;" for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
-        self.known: dict[str, tuple[list[int], list[int]] | None] = {}
+        # What is known of each numbered piece: whether its tokens give back its bytes, how many tokens of A and B, groups and links
+        # it has, its characters and tokens, how often it came, the listing of its groups, and all pieces' linked id pairs in a row.
+        self.known = _Numbers()
+        self.exact, self.sizes = np.zeros(0, dtype=bool), np.zeros((0, 4), dtype=np.int64)
+        self.weights, self.uses = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.listed_pieces: list[str] = []
+        self.pairs = np.zeros(0, dtype=np.int64)
 
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
         """Ids of each text by A and B; None where a text's bytes are not those of the tokens."""
@@ -158,32 +174,67 @@ class Tokenizers:
         after_a[found.a_ends - 1], after_b[found.b_ends - 1] = n, 2 * n
         return list(map(self.listed.__getitem__, np.concatenate([a + after_a, b + after_b])[order].tolist()))
 
+    def learn(self, pieces: list[str]) -> None:
+        """Encode and align pieces, end to end, and add them to what is known."""
+        found_ids = self.encode(pieces)
+        sides = [[ids[k] if ids else [] for ids in found_ids] for k in (0, 1)]
+        a, b = (np.array(list(itertools.chain.from_iterable(x)), dtype=np.int64) for x in sides)
+        many = [np.array([len(x) for x in side], dtype=np.int64) for side in sides]
+        found = align(np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b]), (many[0], many[1]))
+        # Where each piece ends among tokens, groups and links.
+        a_last, b_last = (np.cumsum(x) for x in many)
+        last = [a_last, b_last, np.searchsorted(found.a_ends, a_last, side="right"), np.searchsorted(found.a, a_last)]
+        listed, before = self.listing(a, b, found), 0
+        for end in (a_last + b_last).tolist():
+            self.listed_pieces.append("".join(listed[before:end]))
+            before = end
+        self.exact = np.concatenate([self.exact, [ids is not None for ids in found_ids]])
+        self.sizes = np.concatenate([self.sizes, np.diff(np.column_stack(last), axis=0, prepend=0)])
+        self.weights = np.concatenate([self.weights, many[0] + many[1] + [len(p) for p in pieces]])
+        self.uses = np.concatenate([self.uses, np.zeros(len(pieces), dtype=np.int64)])
+        self.pairs = np.concatenate([self.pairs, a[found.a] << 32 | b[found.b]])
+
+    def links_of(self, numbers: np.ndarray) -> np.ndarray:
+        """Linked id pairs of pieces in a row."""
+        many = self.sizes[numbers, 3]
+        starts = (np.cumsum(self.sizes[:, 3]) - self.sizes[:, 3])[numbers]
+        return self.pairs[np.arange(many.sum()) + np.repeat(starts - (np.cumsum(many) - many), many)]
+
+    def forget(self) -> None:
+        """Keep half of what may be remembered, if there is more than that."""
+        if len(self.known) <= self.REMEMBERED and self.weights.sum() <= self.WEIGHT:
+            return
+        kept = np.argsort(-self.uses, kind="stable")
+        kept = kept[self.weights[kept] <= self.LONG][: self.REMEMBERED // 2]
+        kept = np.sort(kept[np.cumsum(self.weights[kept]) <= self.WEIGHT // 2])
+        names, numbers = list(self.known), kept.tolist()
+        self.known = _Numbers(zip(map(names.__getitem__, numbers), range(len(numbers)), strict=True))
+        self.listed_pieces = list(map(self.listed_pieces.__getitem__, numbers))
+        self.pairs = self.links_of(kept)
+        self.exact, self.sizes, self.weights, self.uses = self.exact[kept], self.sizes[kept], self.weights[kept], (self.uses[kept] + 1) // 2
+
     def describe(self, texts: list[str]) -> list[tuple]:
         """(n_a, n_b, n_groups, n_links, groups, pairs, times) of each text, all empty where it has no tokens."""
-        cut = [(cut_pieces(t) if self.cuts else [t]) if t else [] for t in texts]
-        if len(self.known) > self.REMEMBERED:
-            self.known.clear()
-        new = [p for p in dict.fromkeys(itertools.chain.from_iterable(cut)) if p not in self.known]
+        self.forget()
+        before = len(self.known)
+        seen = [list(map(self.known.__getitem__, cut_pieces(t) if self.cuts else [t])) if t else [] for t in texts]
+        new = list(itertools.islice(self.known, before, None))
         for begin, end in _slices([len(p) for p in new], _CALL):
-            self.known |= zip(new[begin:end], self.encode(new[begin:end]), strict=True)
-        seen = [[self.known[p] for p in pieces] for pieces in cut]
-        seen = [[] if None in ids else ids for ids in seen]
-        sides = [[x[k] for ids in seen for x in ids] for k in (0, 1)]
-        a, b = (np.array(list(itertools.chain.from_iterable(x)), dtype=np.int64) for x in sides)
-        pieces = [np.array([len(x) for x in side], dtype=np.int64) for side in sides]
-        found = align(np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b]), (pieces[0], pieces[1]))
-        listed = self.listing(a, b, found)
-        pairs = a[found.a] << 32 | b[found.b]
-        # All texts stand end to end: where each ends among pieces, tokens, groups and links.
-        last = np.cumsum([len(ids) for ids in seen])
-        a_last, b_last = (np.concatenate([[0], np.cumsum(x)])[last] for x in pieces)
-        ends = np.column_stack([a_last, b_last, np.searchsorted(found.a_ends, a_last, side="right"), np.searchsorted(found.a, a_last)])
-        out, before = [], [0, 0, 0, 0]
-        for now in ends.tolist():
-            groups = "".join(listed[before[0] + before[1] : now[0] + now[1]])[:-1]
-            distinct, times = np.unique(pairs[before[3] : now[3]], return_counts=True)
-            out.append((*(y - x for x, y in zip(before, now, strict=True)), groups, distinct, times))
-            before = now
+            self.learn(new[begin:end])
+        inexact = set(np.flatnonzero(~self.exact).tolist())
+        if inexact:
+            seen = [x if inexact.isdisjoint(x) else [] for x in seen]
+        numbers = np.array(list(itertools.chain.from_iterable(seen)), dtype=np.int64)
+        self.uses += np.bincount(numbers, minlength=self.uses.size)
+        # All texts stand end to end: where each ends among tokens, groups and links.
+        sizes = np.concatenate([np.zeros((1, 4), dtype=np.int64), np.cumsum(self.sizes[numbers], axis=0)])
+        ends = sizes[np.cumsum([len(x) for x in seen], dtype=np.int64)]
+        pairs, out, link = self.links_of(numbers), [], 0
+        for ids, counts, end in zip(seen, np.diff(ends, axis=0, prepend=0).tolist(), ends[:, 3].tolist(), strict=True):
+            groups = "".join(map(self.listed_pieces.__getitem__, ids))[:-1]
+            distinct, times = np.unique(pairs[link:end], return_counts=True)
+            out.append((*counts, groups, distinct, times))
+            link = end
         return out
 
 

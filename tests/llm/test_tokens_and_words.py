@@ -199,6 +199,23 @@ def test_alignment_judges_rows_and_hot_pairs(spark, monkeypatch):
     assert {r.doc_id: (r.n_best, r.count_sum) for r in hot.collect()} == {i: w[5:] for i, w in enumerate(want)}
 
 
+def test_a_piece_is_aligned_once_and_what_is_forgotten_is_learnt_again(monkeypatch):
+    made = [tokenalign.Tokenizers(*(Path(vocab.place(n)).read_bytes() for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))) for _ in range(2)]
+    aligned, align = [], tokenalign.align
+    monkeypatch.setattr(tokenalign, "align", lambda a, *more: aligned.append(a.size) or align(a, *more))
+    made[0].describe(["the cat sat on the mat"] * 50)
+    assert sum(aligned) == 5
+    # one of them keeps next to nothing from call to call
+    rng = random.Random(15)
+    made[1].REMEMBERED, made[1].WEIGHT, made[1].LONG = 20, 100, 12
+    for _ in range(60):
+        texts = [" ".join(rng.choice(["the", "cat", "▁", "日本", "é", "x" * rng.randint(1, 40), str(rng.randint(0, 99)), ""]) for _ in range(rng.randint(0, 9))) for _ in range(8)]
+        want, got = ([(*x[:5], x[5].tolist(), x[6].tolist()) for x in m.describe(texts)] for m in made)
+        assert got == want
+        assert [x[:5] for x in got] == [tuple(x[:5]) for x in plain_alignments(made[0], texts)]
+    assert len(made[1].known) < len(made[0].known) and made[1].describe([]) == [] and len(made[1].known) <= 10
+
+
 # 13 spelling variants
 
 
