@@ -217,10 +217,15 @@ class Tokenizers:
         """(n_a, n_b, n_groups, n_links, groups, pairs, times) of each text, all empty where it has no tokens."""
         self.forget()
         before = len(self.known)
-        seen = [list(map(self.known.__getitem__, cut_pieces(t) if self.cuts else [t])) if t else [] for t in texts]
-        new = list(itertools.islice(self.known, before, None))
-        for begin, end in _slices([len(p) for p in new], _CALL):
-            self.learn(new[begin:end])
+        try:
+            seen = [list(map(self.known.__getitem__, cut_pieces(t) if self.cuts else [t])) if t else [] for t in texts]
+            new = list(itertools.islice(self.known, before, None))
+            for begin, end in _slices([len(p) for p in new], _CALL):
+                self.learn(new[begin:end])
+        except BaseException:
+            for piece in list(self.known)[self.exact.size :]:
+                del self.known[piece]  # numbered, but not learnt
+            raise
         inexact = set(np.flatnonzero(~self.exact).tolist())
         if inexact:
             seen = [x if inexact.isdisjoint(x) else [] for x in seen]

@@ -214,6 +214,10 @@ def test_a_piece_is_aligned_once_and_what_is_forgotten_is_learnt_again(monkeypat
         assert got == want
         assert [x[:5] for x in got] == [tuple(x[:5]) for x in plain_alignments(made[0], texts)]
     assert len(made[1].known) < len(made[0].known) and made[1].describe([]) == [] and len(made[1].known) <= 10
+    # what a failed call has numbered does not stay
+    with pytest.raises((TypeError, UnicodeEncodeError)):
+        made[0].describe(["quite new", "\ud800"])
+    assert [x[:5] for x in made[0].describe(["other words", "quite new"])] == [tuple(x[:5]) for x in plain_alignments(made[0], ["other words", "quite new"])]
 
 
 # 13 spelling variants
