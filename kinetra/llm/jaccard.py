@@ -8,9 +8,10 @@ the long ones (DivideSkip).
 Blocks come from an exact filter.  All sets have their shingles in one order, that of their hashes.  Sets that link
 share at least so many shingles that the first few of those shared lie in a prefix of either set; the prefixes
 are made a tenth of a set longer than for one such shingle, so that about a tenth of a set must be shared there.
-A set with too few prefix shingles that another prefix has links with nothing and goes.  The sets left are told
-apart by the rarest of their prefix shingles: sets that have one of these in common, and the sets these
-have one in common with, form a family.  Passages shared by many documents are not rare and so make none.
+A set with too few prefix shingles that another prefix has links with nothing and goes.  The sets left meet by the
+rarest of their prefix shingles, and sketches tell most sets apart that meet by chance: sets that meet and may
+link by their sketches, and the sets these may link with, form a family.  Passages shared by many documents are
+not rare and so make none.
 """
 
 from __future__ import annotations
@@ -62,6 +63,48 @@ def needed(size: int, percent: int = 90) -> int:
     return _early(least(size, percent), percent)
 
 
+def sketch(tokens: np.ndarray, percent: int = 90) -> bytes:
+    """The size of a set, and for each of 64 bits or more whether an odd number of its shingles falls there.
+
+    Every shingle that only one of two sets has changes one bit, so that sets that link differ in few; unrelated
+    ones differ in half of the bits, which are 2.5 times as many as equally large sets that link may differ in.
+    """
+    bits = 64
+    while 2 * bits < 10 * (tokens.size - required(tokens.size, tokens.size, percent)):
+        bits *= 2
+    odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.array([tokens.size], dtype="<u8").tobytes() + np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+class _Sketches:
+    def __init__(self, sketches: list[bytes], percent: int):
+        self.percent = percent
+        self.words = np.frombuffer(b"".join(sketches), dtype="<u8")
+        length = np.array([len(s) // 8 for s in sketches], dtype=np.int64)
+        self.begin, self.width = np.cumsum(length) - length + 1, length - 1
+        self.size = self.words[self.begin - 1].astype(np.int64)
+
+    def _folded(self, at: np.ndarray, width: int, to: int) -> np.ndarray:
+        """Words of these sets' bits, all of one width, as they are for fewer bits."""
+        words = self.words[self.begin[at][:, None] + np.arange(width)]
+        return np.bitwise_xor.reduce(words.reshape(at.size, width // to, to), axis=1)
+
+    def may_link(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """For each i whether sets a[i] and b[i] may link; of sets that do, it is always true."""
+        found = np.zeros(a.size, dtype=bool)
+        for k in range(0, a.size, 1 << 14):
+            x, y = a[k : k + (1 << 14)], b[k : k + (1 << 14)]
+            at = np.flatnonzero(100 * np.minimum(self.size[x], self.size[y]) >= self.percent * np.maximum(self.size[x], self.size[y]))
+            widths = np.stack([self.width[x[at]], self.width[y[at]]], axis=1)
+            for wx, wy in np.unique(widths, axis=0).tolist():
+                i = at[(widths == (wx, wy)).all(axis=1)]
+                to = min(wx, wy)
+                apart = np.bitwise_count(self._folded(x[i], wx, to) ^ self._folded(y[i], wy, to)).sum(axis=1, dtype=np.int64)
+                n, m = self.size[x[i]], self.size[y[i]]
+                found[k + i] = apart <= n + m - 2 * required(n, m, self.percent)
+        return found
+
+
 class _Forest:
     def __init__(self, n: int):
         self.up = np.arange(n)
@@ -180,20 +223,72 @@ def link_block(sets: list[np.ndarray], percent: int = 90, sides: list[int] | Non
     return links
 
 
-def _runs(batches, keys: list[str]):
-    """Rows of each key, from batches sorted by it."""
+def _starts(rows: pd.DataFrame, keys: list[str]) -> np.ndarray:
+    """Where the rows of each key begin in rows sorted by it, and their end."""
+    values = rows[keys].to_numpy()
+    return np.concatenate([[0], 1 + np.flatnonzero((values[1:] != values[:-1]).any(axis=1)), [len(rows)]])
+
+
+def _whole(batches, keys: list[str]):
+    """Batches sorted by a key, divided anew so that all rows of a key are in one."""
     rest = None
     for b in batches:
         b = b if rest is None else pd.concat([rest, b], ignore_index=True)
-        values = b[keys].to_numpy()
-        starts = np.concatenate([[0], 1 + np.flatnonzero((values[1:] != values[:-1]).any(axis=1)), [len(b)]]) if len(b) else np.array([0])
-        for s, e in zip(starts[:-2], starts[1:-1], strict=True):
-            yield b.iloc[s:e]
-        rest = b.iloc[starts[-2] :] if len(b) else b
+        last = _starts(b, keys)[-2] if len(b) else 0
+        if last:
+            yield b.iloc[:last]
+        rest = b.iloc[last:]
     if rest is not None and len(rest):
         yield rest
 
 
+def _runs(batches, keys: list[str]):
+    """Rows of each key, from batches sorted by it."""
+    for b in _whole(batches, keys):
+        for s, e in itertools.pairwise(_starts(b, keys)):
+            yield b.iloc[s:e]
+
+
+def near_pairs(starts: np.ndarray, sketches: _Sketches, few: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of sets that span the components of those that meet in a bucket and may link.
+
+    Sets are numbered bucket by bucket, starts as _starts gives them.  In buckets of few sets every pair is looked at.  In
+    others one set after the other gathers those it may link with from the sets that none has gathered yet.
+    """
+    n = np.diff(starts)
+    after = np.repeat(np.where(n <= few, starts[1:], 0), n) - 1 - np.arange(starts[-1])
+    after = np.maximum(after, 0)  # how many sets of its bucket each is compared with
+    a = np.repeat(np.arange(starts[-1]), after)
+    b = a + 1 + np.arange(a.size) - np.repeat(np.cumsum(after) - after, after)
+    found = sketches.may_link(a, b)
+    out = [(a[found], b[found])]
+    for s, e in zip(starts[:-1][n > few].tolist(), starts[1:][n > few].tolist(), strict=True):
+        left = np.arange(s, e)
+        while left.size:
+            todo, left = [left[0]], left[1:]
+            while todo and left.size:
+                x = np.full(left.size, todo.pop())
+                found = sketches.may_link(x, left)
+                out.append((x[found], left[found]))
+                todo += left[found].tolist()
+                left = left[~found]
+    a, b = zip(*out, strict=True)
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _near(rare: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) among k1 that connect all sets of rare (k1, token) that link, by their sketches (k1, sketch)."""
+
+    def meet(batches):
+        for rows in _whole(batches, ["token"]):
+            k1 = rows["k1"].to_numpy()
+            a, b = near_pairs(_starts(rows, ["token"]), _Sketches(rows["sketch"].tolist(), percent))
+            yield pd.DataFrame({"a": np.minimum(k1[a], k1[b]), "b": np.maximum(k1[a], k1[b])}).drop_duplicates()
+
+    dealt = rare.join(sketches.hint("merge"), "k1").select("token", "k1", "sketch").repartition("token").sortWithinPartitions("token")
+    return dealt.mapInPandas(meet, "a long, b long").distinct()
+
+
 def _solve(sets: DataFrame, percent: int, pairs: bool) -> DataFrame:
     """Edges (a, b) among sets (family, i, j, side, label, node, tokens), block by block of (family, i, j)."""
 
@@ -234,18 +329,18 @@ def _text_digest():
 
 
 def _describe(docs: DataFrame, n: int, percent: int, digest: bool) -> DataFrame:
-    """(doc_id, n_shingles, k1, k2, needed, alone, met, told) of each row; k1, k2 are a hash of the set, none of no shingles.
+    """(doc_id, n_shingles, k1, k2, needed, alone, met, told, sketch) of each row; k1, k2 are a hash of the set, none of no shingles.
 
     If asked for, digest, of the whole text, comes before them.
     alone and met are the set's prefix: shingles that no other set of the same batch of rows has there, and those that
-    another has.  A task gives them once a set, however many copies it meets, as long as it remembers it.  told
+    another has.  A task gives them and the sketch once a set, however many copies it meets, as long as it remembers it.  told
     is true where a shingle of met must be known outside: a shingle of a third of all sets so reaches the exchange twice a batch.
     """
 
     def describe(batches):
         seen: set = set()
         for b in batches:
-            out, prefixes, new = [], [], []
+            out, prefixes, new, sketches = [], [], [], [None] * len(b)
             for data in b["data"]:
                 tokens = shingles(bytes(data), n)
                 if not tokens.size:
@@ -254,6 +349,7 @@ def _describe(docs: DataFrame, n: int, percent: int, digest: bool) -> DataFrame:
                 key = set_key(tokens)
                 if key not in seen:
                     seen.add(key)
+                    sketches[len(out)] = sketch(tokens, percent)
                     new.append(len(out))
                     prefixes.append(tokens[: prefix_size(tokens.size, percent)].view(np.int64))
                 out.append((tokens.size, *key, needed(tokens.size, percent)))
@@ -264,21 +360,21 @@ def _describe(docs: DataFrame, n: int, percent: int, digest: bool) -> DataFrame:
             for i, p, shared, tell in zip(new, prefixes, *_met_here([k1[i] for i in new], prefixes), strict=True):
                 alone[i], met[i], told[i] = p[~shared], p[shared], tell[shared]
             keys = {"k1": pd.Series(k1, dtype="Int64"), "k2": pd.Series(k2, dtype="Int64"), "needed": pd.Series(need, dtype="Int64")}
-            yield pd.DataFrame({**{c: b[c] for c in names}, "n_shingles": size, **keys, "alone": alone, "met": met, "told": told})
+            yield pd.DataFrame({**{c: b[c] for c in names}, "n_shingles": size, **keys, "alone": alone, "met": met, "told": told, "sketch": sketches})
 
     raw = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), text_bytes().alias("data"), *[_text_digest().alias("digest")] * digest)
     names = [c for c in raw.columns if c != "data"]
     kinds = "doc_id long, digest binary" if digest else "doc_id long"
-    kinds += ", n_shingles long, k1 long, k2 long, needed long, alone array<long>, met array<long>, told array<boolean>"
+    kinds += ", n_shingles long, k1 long, k2 long, needed long, alone array<long>, met array<long>, told array<boolean>, sketch binary"
     return raw.mapInPandas(describe, kinds)
 
 
-def _rare_shingles(described: DataFrame) -> DataFrame:
-    """(k1, token, low): prefix shingles by which sets may link; any two sets that link both have a row of one token.
+def _rare_shingles(described: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(k1, token): prefix shingles by which sets may link; any two sets that link both have a row of one token.  And (k1, sketch).
 
     First, sets with too few prefix shingles that another set has go; copies of a set in several tasks can only keep
     one more.  Of the s shingles that a set then still shares, another set must have needed, so that of the
-    s - needed + 1 rarest both have one, whatever the ties.  low is the smallest k1 that has the token.
+    s - needed + 1 rarest both have one, whatever the ties.
     """
     sets = described.filter("alone IS NOT NULL")
     alone = sets.select(F.explode("alone").alias("token"), "k1", F.lit(True).alias("counts"))
@@ -286,20 +382,20 @@ def _rare_shingles(described: DataFrame) -> DataFrame:
     bucket = Window.partitionBy("token")
     ends = alone.unionByName(told).select("k1", "counts", F.min("k1").over(bucket).alias("low"), F.max("k1").over(bucket).alias("high"))
     elsewhere = ends.filter("counts AND low < high").groupBy("k1").agg(F.count(F.lit(1)).alias("elsewhere"))
-    here = sets.groupBy("k1").agg(F.max(F.size("met")).alias("here"), F.min("needed").alias("needed"))
+    here = sets.groupBy("k1").agg(F.max(F.size("met")).alias("here"), F.min("needed").alias("needed"), F.collect_set("sketch").alias("sketches"))
     enough = F.col("here") + F.coalesce("elsewhere", F.lit(0)) >= F.col("needed")
-    left = cut(here.join(elsewhere, "k1", "left").filter(enough).select("k1", "needed"), "left")
+    left = cut(here.join(elsewhere, "k1", "left").filter(enough).select("k1", "needed", "sketches"), "left")
 
-    postings = sets.select("k1", F.explode(F.concat("alone", "met")).alias("token")).join(_checked(left), "k1")
+    postings = sets.select("k1", F.explode(F.concat("alone", "met")).alias("token")).join(_checked(left.select("k1", "needed")), "k1")
     postings = cut(postings.distinct(), "postings")
-    tokens = postings.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), F.min("k1").alias("low")).filter("sets > 1")
+    tokens = postings.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
     tokens = tokens.withColumn("rows", F.col("sets"))
     shared = join_counted(postings, tokens, "token", "rows", postings.count(), written=True)
     mine = Window.partitionBy("k1")
     ranked = shared.select(
-        "k1", "token", "low", "needed", F.count(F.lit(1)).over(mine).alias("of"), F.row_number().over(mine.orderBy("sets", "token")).alias("at")
+        "k1", "token", "needed", F.count(F.lit(1)).over(mine).alias("of"), F.row_number().over(mine.orderBy("sets", "token")).alias("at")
     )
-    return cut(ranked.filter("at <= of - needed + 1").select("k1", "token", "low"), "rare")
+    return cut(ranked.filter("at <= of - needed + 1").select("k1", "token"), "rare"), left.select("k1", F.explode("sketches").alias("sketch"))
 
 
 def _checked(few: DataFrame) -> DataFrame:
@@ -353,9 +449,8 @@ def _label_sets(docs: DataFrame, n: int, percent: int, block: int, digest: bool
     such shingles lead to.
     """
     described = cut(_describe(docs, n, percent, digest), "described")
-    rare = _rare_shingles(described)
-    edges = cut(rare.filter("k1 != low").select(F.col("k1").alias("a"), F.col("low").alias("b")).distinct(), "near")
-    families = components(edges).select(F.col("node").alias("k1"), F.col("label").alias("family"))
+    rare, sketches = _rare_shingles(described)
+    families = components(cut(_near(rare, sketches, percent), "near")).select(F.col("node").alias("k1"), F.col("label").alias("family"))
 
     classes = cut(described.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id")), "classes")
     reps = cut(classes.join(families, "k1").select("doc_id", "k1", "k2", "family"), "reps")
@@ -368,13 +463,14 @@ def _label_sets(docs: DataFrame, n: int, percent: int, block: int, digest: bool
         big = sets.join(_checked(large), "family", "left_semi")
         links += [cut(_solve(_blocks(big, block, salt), percent, pairs=False), "links") for salt in (1, 2)]
         labels = components(links[1].unionByName(links[2]))
-        labelled = big.select("k1", "node").distinct().join(labels, "node", "left").select("k1", "node", F.coalesce("label", "node").alias("label"))
-        # Shingles meet numbers of labels, so that little crosses the network: those of two labels or more, then their sets.
+        labelled = big.select("k1", "node", "family").distinct().join(labels, "node", "left")
+        labelled = labelled.select("k1", "node", F.col("family").alias("of"), F.coalesce("label", "node").alias("label"))
+        # Shingles meet numbers of labels, so that little crosses the network: those of two labels of a family or more, then their sets.
         numbered = cut(labelled.withColumn("number", F.xxhash64("label")), "labelled")
-        few = _checked(numbered.select("k1", "number"))
-        buckets = rare.join(few, "k1").groupBy("token").agg(F.min("number").alias("low"), F.max("number").alias("high")).filter("low < high")
-        buckets = cut(buckets.select("token", F.col("low").alias("first")), "buckets")
-        shared = rare.join(few, "k1").join(_checked(buckets), "token")
+        few = _checked(numbered.select("k1", "number", "of"))
+        buckets = rare.join(few, "k1").groupBy("token", "of").agg(F.min("number").alias("low"), F.max("number").alias("high")).filter("low < high")
+        buckets = cut(buckets.select("token", "of", F.col("low").alias("first")), "buckets")
+        shared = rare.join(few, "k1").join(_checked(buckets), ["token", "of"])
         shared = cut(shared.select("k1", "number", F.col("first").alias("low")).distinct(), "shared")
         near = components(shared.select(F.col("number").alias("a"), F.col("low").alias("b")).distinct())
         open_ = shared.join(_checked(near.select(F.col("node").alias("number"), F.col("label").alias("family"))), "number").select("k1", "family").distinct()

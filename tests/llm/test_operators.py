@@ -396,6 +396,53 @@ def test_link_block_of_unequal_sizes(percent):
     assert all(sides[i] != sides[j] for i, j in jaccard.link_block(families[0], percent, sides))
 
 
+@pytest.mark.parametrize("percent", [90, 80, 40])
+def test_sketches_keep_what_links(percent):
+    rng = np.random.default_rng(percent)
+    fresh = lambda n: rng.integers(0, 1 << 64, n, dtype=np.uint64)
+    sets = []
+    for size in (1, 2, 9, 64, 120, 400, 3000):
+        for _ in range(6):  # copies about the threshold, many of them shorter
+            base = fresh(size)
+            sets.append(np.unique(base))
+            for _ in range(8):
+                gone, more = rng.integers(0, 2 + size * (100 - percent) // 100, 2)
+                sets.append(np.unique(np.concatenate([rng.permutation(base)[gone:], fresh(more * int(rng.integers(2)))])))
+    sets = [s for s in sets if s.size]
+    sketches = jaccard._Sketches([jaccard.sketch(s, percent) for s in sets], percent)
+    a, b = np.triu_indices(len(sets), 1)
+    both = np.array([np.intersect1d(sets[i], sets[j], assume_unique=True).size for i, j in zip(a, b, strict=True)])
+    size = np.array([s.size for s in sets])
+    links = 100 * both >= percent * (size[a] + size[b] - both)
+    assert links.sum() > 200 and sketches.may_link(a, b)[links].all() and sketches.may_link(b, a)[links].all()
+    strangers = (both == 0) & (np.minimum(size[a], size[b]) > 50)
+    assert percent < 80 or sketches.may_link(a, b)[strangers].mean() < 0.01
+    starts = np.array([0, 5, 6, 6 + 130, len(sets)])  # few or many sets in a bucket, the same components
+    for few in (1, 64, 1000):
+        forest = jaccard._Forest(len(sets))
+        for i, j in zip(*jaccard.near_pairs(starts, sketches, few), strict=True):
+            forest.join(i, j)
+        root = forest.roots(np.arange(len(sets)))
+        same_bucket = np.searchsorted(starts, a, side="right") == np.searchsorted(starts, b, side="right")
+        assert (root[a] == root[b])[links & same_bucket].all() and not (root[a] == root[b])[~same_bucket].any()
+        found = len(set(root.tolist())) if few == 1 else found
+        assert len(set(root.tolist())) == found
+
+
+def test_chance_meetings_are_not_dealt_to_blocks(spark, monkeypatch):
+    """Texts that share half with the next and so form one chain: the sets compared grow with their number, not with its square."""
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(5000)]
+    passages = [" ".join(rng.choice(words, 60)) for _ in range(201)]
+    rows = [(i, f"{passages[i]} {passages[i + 1]}") for i in range(200)]
+    rows += [(1000 + i, f"{rows[i][1]} end") for i in range(0, 200, 20)]
+    solve, dealt = jaccard._solve, []
+    monkeypatch.setattr(jaccard, "_solve", lambda sets, *a, **b: (dealt.append(sets.count()), solve(sets, *a, **b))[1])
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), block=8).collect()
+    assert sorted(str(tuple(r)) for r in got) == brute_components(rows)
+    assert sum(dealt) <= 3 * len(rows)
+
+
 @pytest.mark.parametrize("n, percent", [(3, 90), (5, 80)])
 def test_keep_one_judges_rows(spark, n, percent):
     rng = np.random.default_rng(5)
